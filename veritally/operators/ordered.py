@@ -85,10 +85,13 @@ def neighbour_violations(
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times, spread over tasks so that no single one writes a huge run."""
     columns = [c for c in df.columns if c != times]
+    last_block = F.floor((F.col(times) - 1) / COPIES_PER_TASK)
     blocks = df.select(
-        *columns,
-        times,
-        F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / COPIES_PER_TASK))).alias("__block"),
-    ).repartition()
+        *columns, times, F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)).alias("__block")
+    )
+    # A stated number of partitions is kept as it is; blocks are few bytes each and would
+    # otherwise be put back together before they grow.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = blocks.repartition(tasks, "__block", *columns)
     size = F.least(F.lit(COPIES_PER_TASK), F.col(times) - F.col("__block") * COPIES_PER_TASK)
     return blocks.select(*columns, F.explode(F.sequence(F.lit(1), size)).alias("__copy")).drop("__copy")
