@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,8 @@ FILE_PATTERN = "*.{ndjson,txt}"
 
 
 def landing_path(root: str, resource: str, transaction_time: str) -> str:
-    return f"{root}/{resource}/{transaction_time}/"
+    """Where a snapshot is landed. Colons are escaped, because not every file system has them."""
+    return f"{root}/{resource}/{quote(transaction_time, safe='')}/"
 
 
 def read_ndjson(
@@ -31,25 +33,26 @@ def read_ndjson(
 ) -> DataFrame | None:
     """The records of one snapshot, or None (with a warning) where no file has landed.
 
-    Blank lines are skipped. A malformed line fails the job unless ``strict`` is off.
+    The folder may be named by the transaction time as it is, or escaped. Blank lines are skipped.
+    A malformed line fails the job unless ``strict`` is off.
     """
-    path = landing_path(root, resource, transaction_time)
     reader = (
         spark.read.schema(schema or RESOURCES[resource])
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
         .option("pathGlobFilter", FILE_PATTERN)
     )
-    try:
-        records = reader.json(path)
-        landed = bool(records.inputFiles())
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        landed = False
-    if not landed:
-        logger.warning("no %s records landed for %s", resource, transaction_time)
-        return None
-    return records
+    escaped = landing_path(root, resource, transaction_time)
+    for path in dict.fromkeys((escaped, f"{root}/{resource}/{transaction_time}/")):
+        try:
+            records = reader.json(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        if records.inputFiles():
+            return records
+    logger.warning("no %s records landed for %s", resource, transaction_time)
+    return None
 
 
 def land_ndjson(
