@@ -1,240 +1,214 @@
 """Nested claims records made from the star-schema tables, and the models over them.
 
 Customers are patients; every order is one coverage and one claim; every line item is one claim
-with two diagnoses. The records are written as JSON, so that parsing is part of every query.
+with two diagnoses. Queries of the sources and streams write these records as JSON and read them back.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings.base import Tables, query
 from veritally.functions.nested import json_scalar, strip_prefix
 from veritally.operators import flatten as fl
+from veritally.operators.spread import spread
 from veritally.plans import dashboards, intermediate, marts, staging
-from veritally.sources.schemas import RESOURCES
+from veritally.sources.schemas import DIAGNOSES, ITEMS, RESOURCES
 
 LOADED = "2024-02-01 00:00:00"
 
 
 # --- records ---------------------------------------------------------------------------------
 
+# The fields of the records as SQL over the flat tables; a field that is not listed is absent.
 
-def text(column) -> Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("string")
 
-
-def coding(code, display=None, system=None) -> Column:
+def coding(code: str, display: str = "null", system: str = "null") -> str:
     fields = {"system": system, "code": code, "display": display}
-    return F.struct(*[text(v).alias(k) for k, v in fields.items() if v is not None])
+    return "named_struct(" + ", ".join(f"'{k}', cast({v} as string)" for k, v in fields.items()) + ")"
 
 
-def concept(code, display=None, system=None) -> Column:
-    return F.struct(F.array(coding(code, display, system)).alias("coding"))
+def concept(code: str, display: str = "null", system: str = "null") -> str:
+    return f"named_struct('coding', array({coding(code, display, system)}))"
 
 
-def extension(url: str, code=None, display=None, date=None) -> Column:
-    fields = [F.lit(url).alias("url")]
-    if code is not None:
-        fields.append(coding(code, display).alias("valueCoding"))
-    if date is not None:
-        fields.append(text(date).alias("valueDate"))
-    return F.struct(*fields)
+def extension(url: str, code: str = "null", display: str = "null") -> str:
+    value = f"named_struct('code', cast({code} as string), 'display', cast({display} as string))"
+    return f"named_struct('url', '{url}', 'valueCoding', {value})"
 
 
-def as_json(df: DataFrame, **fields: Column) -> DataFrame:
-    """One JSON line per row; null fields are left out, as in the landed records."""
-    body = F.struct(*[c.alias(name) for name, c in fields.items()])
-    return df.select(F.to_json(body).alias("value"))
+def dated_extension(url: str, code: str = "null", display: str = "null", date: str = "null") -> str:
+    return extension(url, code, display)[:-1] + f", 'valueDate', cast({date} as string))"
 
 
-def parse(lines: DataFrame, resource: str) -> DataFrame:
-    return lines.select(F.from_json("value", RESOURCES[resource]).alias("r")).select("r.*")
+def diagnosis(kind: str, code: str, display: str) -> str:
+    return (
+        f"named_struct('type', array({concept(kind)}), 'diagnosisCodeableConcept', {concept(code, display)})"
+    )
 
 
-def _meta(stamp: Column) -> Column:
-    return F.struct(text(stamp).alias("lastUpdated"))
+def member(role: str, kind: str, value: str) -> str:
+    identifier = f"named_struct('type', {concept(kind)}, 'value', {value})"
+    provider = f"named_struct('identifier', {identifier})"
+    return f"named_struct('role', {concept(role)}, 'provider', {provider})"
 
 
-def _patient_ref(present: Column) -> Column:
-    reference = F.concat(F.lit("Patient/"), text("o_custkey"))
-    return F.when(present, F.struct(reference.alias("reference")))
+def info(category: str, code: str, display: str) -> str:
+    return f"named_struct('category', {concept(category)}, 'code', {concept(code, display)})"
 
 
-def patient_lines(t: Tables) -> DataFrame:
-    rows = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    birth = F.date_add(F.lit("1930-01-01").cast("date"), (F.col("c_custkey") % 20000).cast("int"))
-    gender = F.when(F.col("c_mktsegment").isin("MACHINERY", "BUILDING"), "female").when(
-        F.col("c_mktsegment") == "AUTOMOBILE", "male"
-    )
-    address = F.struct(
-        F.concat(F.lit("S"), text("c_nationkey")).alias("state"),
-        F.lpad(text("c_nationkey"), 5, "0").alias("postalCode"),
-    )
-    ethnic = extension("urn:x/ethnicity", F.lit("0"), F.lit("none"))
-    race = extension("urn:x/us-core-race", "c_nationkey", "n_name")
-    later = extension("urn:x/us-core-race-2", F.lit("9"), F.lit("later"))
-    ident = lambda system, v: F.struct(F.lit(system).alias("system"), text(v).alias("value"))
-    return as_json(
-        rows,
-        id=text("c_custkey"),
-        birthDate=text(birth),
-        gender=gender,
-        deceasedBoolean=F.col("c_acctbal") < 0,
-        address=F.when(F.col("c_nationkey") != 0, F.array(address, address)),
-        extension=F.when(F.col("c_nationkey") < 20, F.array(ethnic, race, later)).otherwise(
-            F.array(ethnic)
-        ),
-        identifier=F.array(ident("urn:x/local", F.lit("no")), ident("urn:x/us-mbi", "c_name")),
-        meta=_meta(F.lit("2024-01-15T08:30:00Z")),
-    )
+def money(amount: str) -> str:
+    return f"named_struct('category', {concept('null')}, 'amount', named_struct('value', {amount}))"
 
 
-def coverage_lines(t: Tables) -> DataFrame:
-    part = (
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "5-LOW"), "Part A")
-        .when(F.col("o_orderpriority") == "2-HIGH", "Part B")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "Part D")
-    )
-    entry = lambda code, v: F.struct(concept(F.lit(code)).alias("type"), v.alias("value"))
-    dual = F.when(F.col("o_totalprice") > 300000, "Y").when(F.col("o_totalprice") > 200000, "N")
-    none = F.lit(None).cast("string")
-    status = F.concat(F.lit("Status "), F.col("o_orderstatus"))
-    extensions = F.array(
-        extension("urn:x/ms_cd", "o_orderstatus", status, none),
-        extension("urn:x/a_trm_cd", F.col("o_orderkey") % 10, F.lit("t"), none),
-        extension("urn:x/rfrnc_yr", none, none, F.year("o_orderdate")),
-        extension("urn:x/dual_eligible", dual, F.lit("d"), none),
-    )
-    return as_json(
-        t("orders"),
-        **{
-            "id": text("o_orderkey"),
-            "status": F.lit("active"),
-            "subscriberId": F.concat(F.lit("S"), text("o_custkey")),
-            "beneficiary": _patient_ref(F.col("o_totalprice") >= 10000),
-            "class": F.when(
-                part.isNotNull(), F.array(entry("group", F.lit("g")), entry("plan", part))
-            ).otherwise(F.array(entry("group", F.lit("g")))),
-            "extension": F.when(dual.isNotNull(), extensions).otherwise(F.slice(extensions, 1, 3)),
-            "meta": _meta(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-        },
+def item(state: str, service: str) -> str:
+    return (
+        f"named_struct('locationAddress', named_struct('state', {state}), "
+        f"'productOrService', {concept(service)})"
     )
 
 
-def _diagnosis(kind, code, display) -> Column:
-    return F.struct(
-        F.array(concept(kind)).alias("type"), concept(code, display).alias("diagnosisCodeableConcept")
+PATIENT_REF = "named_struct('reference', if(o_totalprice >= 10000, concat('Patient/', o_custkey), null))"
+ORDER_META = "named_struct('lastUpdated', date_format(o_orderdate, \"yyyy-MM-dd'T'HH:mm:ss'Z'\"))"
+
+PATIENT_FIELDS = {
+    "id": "cast(c_custkey as string)",
+    "birthDate": "cast(date_add(date'1930-01-01', cast(c_custkey % 20000 as int)) as string)",
+    "gender": "case when c_mktsegment in ('MACHINERY', 'BUILDING') then 'female' "
+    "when c_mktsegment = 'AUTOMOBILE' then 'male' end",
+    "deceasedBoolean": "c_acctbal < 0",
+    "address": "if(c_nationkey <> 0, array_repeat(named_struct('state', concat('S', c_nationkey), "
+    "'postalCode', lpad(cast(c_nationkey as string), 5, '0')), 2), null)",
+    "extension": f"if(c_nationkey < 20, array({extension('urn:x/ethnicity', '0')}, "
+    f"{extension('urn:x/us-core-race', 'c_nationkey', 'n_name')}, {extension('urn:x/us-core-race-2', '9')}), "
+    f"array({extension('urn:x/ethnicity', '0')}))",
+    "identifier": "array(named_struct('system', 'urn:x/local', 'value', 'no'), "
+    "named_struct('system', 'urn:x/us-mbi', 'value', c_name))",
+    "meta": "named_struct('lastUpdated', '2024-01-15T08:30:00Z')",
+}
+
+PART = (
+    "case when o_orderpriority in ('1-URGENT', '5-LOW') then 'Part A' "
+    "when o_orderpriority = '2-HIGH' then 'Part B' when o_orderpriority = '3-MEDIUM' then 'Part D' end"
+)
+DUAL = "case when o_totalprice > 300000 then 'Y' when o_totalprice > 200000 then 'N' end"
+COVERAGE_FIELDS = {
+    "id": "cast(o_orderkey as string)",
+    "status": "'active'",
+    "subscriberId": "concat('S', o_custkey)",
+    "beneficiary": PATIENT_REF,
+    "class": f"filter(array(named_struct('type', {concept(repr('group'))}, 'value', 'g'), "
+    f"named_struct('type', {concept(repr('plan'))}, 'value', {PART})), c -> c.value is not null)",
+    "extension": "filter(array("
+    + ", ".join(
+        (
+            dated_extension("urn:x/ms_cd", "o_orderstatus", "concat('Status ', o_orderstatus)"),
+            dated_extension("urn:x/a_trm_cd", "o_orderkey % 10", "'t'"),
+            dated_extension("urn:x/rfrnc_yr", "'y'", date="year(o_orderdate)"),
+            dated_extension("urn:x/dual_eligible", DUAL, "'d'"),
+        )
     )
-
-
-def _member(role: str, kind: str, value: Column) -> Column:
-    identifier = F.struct(concept(F.lit(kind)).alias("type"), value.alias("value"))
-    return F.struct(
-        concept(F.lit(role)).alias("role"), F.struct(identifier.alias("identifier")).alias("provider")
+    + "), e -> e.valueCoding.code is not null)",
+    "meta": ORDER_META,
+}
+
+EOB_FIELDS = {
+    "id": "cast(o_orderkey as string)",
+    "patient": PATIENT_REF,
+    "type": f"named_struct('coding', array({coding(repr('zzz'), system=repr('urn:x/other'))}, "
+    + coding(
+        "case o_orderstatus when 'O' then 'OUTPATIENT' when 'F' then 'CARRIER' when 'P' then 'PDE' end",
+        system="'urn:x/eob-type'",
     )
+    + "))",
+    "subType": concept("o_orderpriority"),
+    "billablePeriod": "named_struct('start', cast(cast(o_orderdate as date) as string), "
+    "'end', cast(date_add(cast(o_orderdate as date), 3) as string))",
+    "careTeam": f"array({member(repr('primary'), repr('npi'), repr('N0'))}, "
+    f"{member(repr('attending'), repr('tax'), repr('T0'))}, "
+    + member("'attending'", "'npi'", "concat('N', o_custkey % 97)")
+    + ")",
+    "item": "if(o_totalprice >= 15000, array("
+    + item("concat('S', o_custkey % 25)", "if(o_orderkey % 2 = 0, 'NULL', concat('9', o_orderkey % 7))")
+    + "), null)",
+    "payment": "if(o_orderstatus <> 'P', named_struct('amount', named_struct('value', o_totalprice)), null)",
+    "total": f"array({money('o_totalprice')}, {money('1.0d')})",
+    "diagnosis": "if(o_totalprice >= 20000, array("
+    + diagnosis("'secondary'", "concat('D-', o_custkey % 40)", "'second'")
+    + ", "
+    + diagnosis("'principal'", "concat('E-', o_orderkey % 30)", "concat('Main ', o_orderkey % 30)")
+    + "), null)",
+    "supportingInfo": f"array({info(repr('other'), repr('o'), repr('other'))}, "
+    f"{info(repr('admtype'), repr('a'), 'o_orderpriority')}, "
+    f"{info(repr('discharge-status'), 'o_orderstatus', repr('left'))})",
+    "meta": ORDER_META,
+}
+
+# Line items as claims: supplier and part as diagnoses, the part as principal on line 1.
+LINE_FIELDS = {
+    "id": "concat(l_orderkey, '-', l_linenumber)",
+    "diagnosis": "array("
+    + diagnosis("'secondary'", "concat('S', l_suppkey)", "'supplier'")
+    + ", "
+    + diagnosis("if(l_linenumber = 1, 'principal', 'secondary')", "concat('P', l_partkey)", "'part'")
+    + ")",
+    "item": "array(" + item("null", "if(l_returnflag = 'N', 'NULL', concat('C', l_partkey))") + ")",
+    "supportingInfo": f"array({info(repr('admtype'), repr('x'), 'l_returnflag')}, "
+    f"{info(repr('discharge-status'), 'l_linestatus', repr('y'))}, "
+    f"{info(repr('admtype'), repr('x'), repr('later'))})",
+}
+
+# In these records the carried arrays are arrays; read from files they are JSON text.
+TYPED = {"diagnosis": DIAGNOSES, "item": ITEMS}
+
+
+def records(df: DataFrame, resource: str, fields: dict[str, str]) -> DataFrame:
+    """The rows as nested records of a resource, with every field of its schema."""
+    df = spread(df)
+    kinds = {f.name: TYPED.get(f.name, f.dataType).simpleString() for f in RESOURCES[resource]}
+    return df.selectExpr(*[f"cast({fields.get(n, 'null')} as {k}) as `{n}`" for n, k in kinds.items()])
+
+
+def lines(df: DataFrame) -> DataFrame:
+    """Records as JSON, one per line; absent fields are left out."""
+    return df.select(F.to_json(F.struct("*")).alias("value"))
+
+
+def patients(t: Tables) -> DataFrame:
+    rows = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return records(rows, "Patient", PATIENT_FIELDS)
 
 
-def _info(category: str, code, display) -> Column:
-    return F.struct(concept(F.lit(category)).alias("category"), concept(code, display).alias("code"))
-
-
-def _money(amount: Column) -> Column:
-    return F.struct(F.struct(amount.alias("value")).alias("amount"))
-
-
-CLAIM_TYPES = {"O": "OUTPATIENT", "F": "CARRIER", "P": "PDE"}
+def coverages(t: Tables) -> DataFrame:
+    return records(t("orders"), "Coverage", COVERAGE_FIELDS)
 
 
-def eob_lines(t: Tables) -> DataFrame:
-    status, price = F.col("o_orderstatus"), F.col("o_totalprice")
-    kind = F.lit(None).cast("string")
-    for code, name in CLAIM_TYPES.items():
-        kind = F.when(status == code, name).otherwise(kind)
-    first = _diagnosis(
-        F.lit("secondary"), F.concat(F.lit("D-"), F.col("o_custkey") % 40), F.lit("second")
-    )
-    main = _diagnosis(
-        F.lit("principal"),
-        F.concat(F.lit("E-"), F.col("o_orderkey") % 30),
-        F.concat(F.lit("Main "), F.col("o_orderkey") % 30),
-    )
-    place = F.struct(F.concat(F.lit("S"), F.col("o_custkey") % 25).alias("state"))
-    service = F.when(F.col("o_orderkey") % 2 == 0, "NULL").otherwise(
-        F.concat(F.lit("9"), F.col("o_orderkey") % 7)
-    )
-    item = F.struct(place.alias("locationAddress"), concept(service).alias("productOrService"))
-    return as_json(
-        t("orders"),
-        id=text("o_orderkey"),
-        patient=_patient_ref(price >= 10000),
-        type=F.struct(
-            F.array(
-                coding(F.lit("zzz"), None, F.lit("urn:x/other")),
-                coding(kind, None, F.lit("urn:x/eob-type")),
-            ).alias("coding")
-        ),
-        subType=concept("o_orderpriority"),
-        billablePeriod=F.struct(
-            text(F.col("o_orderdate").cast("date")).alias("start"),
-            text(F.date_add("o_orderdate", 3)).alias("end"),
-        ),
-        careTeam=F.array(
-            _member("primary", "npi", F.lit("N0")),
-            _member("attending", "tax", F.lit("T0")),
-            _member("attending", "npi", F.concat(F.lit("N"), F.col("o_custkey") % 97)),
-        ),
-        item=F.when(price >= 15000, F.array(item)),
-        payment=F.when(status != "P", F.struct(F.struct(price.alias("value")).alias("amount"))),
-        total=F.array(_money(price), _money(F.lit(1.0))),
-        diagnosis=F.when(price >= 20000, F.array(first, main)),
-        supportingInfo=F.array(
-            _info("other", F.lit("o"), F.lit("other")),
-            _info("admtype", F.lit("a"), F.col("o_orderpriority")),
-            _info("discharge-status", status, F.lit("left")),
-        ),
-        meta=_meta(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
-    )
+def eobs(t: Tables) -> DataFrame:
+    return records(t("orders"), "ExplanationOfBenefit", EOB_FIELDS)
 
 
-def line_claim_lines(t: Tables) -> DataFrame:
-    """Line items as claims: supplier and part as diagnoses, the part as principal on line 1."""
-    kind = F.when(F.col("l_linenumber") == 1, "principal").otherwise("secondary")
-    return as_json(
-        t("lineitem"),
-        id=F.concat_ws("-", "l_orderkey", "l_linenumber"),
-        diagnosis=F.array(
-            _diagnosis(F.lit("secondary"), F.concat(F.lit("S"), F.col("l_suppkey")), F.lit("supplier")),
-            _diagnosis(kind, F.concat(F.lit("P"), F.col("l_partkey")), F.lit("part")),
-        ),
-        item=F.array(F.struct(concept(F.when(F.col("l_returnflag") == "N", "NULL").otherwise(
-            F.concat(F.lit("C"), F.col("l_partkey")))).alias("productOrService"))),
-        supportingInfo=F.array(
-            _info("admtype", F.lit("x"), F.col("l_returnflag")),
-            _info("discharge-status", F.col("l_linestatus"), F.lit("y")),
-            _info("admtype", F.lit("x"), F.lit("later")),
-        ),
-    )
+def line_eobs(t: Tables) -> DataFrame:
+    return records(t("lineitem"), "ExplanationOfBenefit", LINE_FIELDS)
 
 
 # --- models ----------------------------------------------------------------------------------
 
 
 def silver_patient(t: Tables) -> DataFrame:
-    return fl.flatten_patient(parse(patient_lines(t), "Patient"))
+    return fl.flatten_patient(patients(t))
 
 
 def silver_coverage(t: Tables) -> DataFrame:
-    return fl.flatten_coverage(parse(coverage_lines(t), "Coverage"))
+    return fl.flatten_coverage(coverages(t))
 
 
 def silver_eob(t: Tables) -> DataFrame:
-    return fl.flatten_eob(parse(eob_lines(t), "ExplanationOfBenefit"))
+    return fl.flatten_eob(eobs(t))
 
 
 def line_claims(t: Tables) -> DataFrame:
-    return fl.flatten_eob(parse(line_claim_lines(t), "ExplanationOfBenefit"))
+    return fl.flatten_eob(line_eobs(t))
 
 
 def stg_patient(t: Tables) -> DataFrame:
@@ -436,7 +410,7 @@ def raw_json_carry(t):
        AS patient_id FROM orders"""
 )
 def strip_reference_prefix(t):
-    reference = F.concat(F.lit("Patient/"), text("o_custkey"), F.lit("/Patient/"))
+    reference = F.concat(F.lit("Patient/"), "o_custkey", F.lit("/Patient/"))
     absent = F.when(F.col("o_orderstatus") != "P", reference)
     return t("orders").select("o_orderkey", strip_prefix(absent).alias("patient_id"))
 

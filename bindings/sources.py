@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from bindings.base import query
 from bindings.claims import (
-    coverage_lines,
-    eob_lines,
+    coverages,
+    eobs,
     fct_claims,
-    patient_lines,
+    lines,
+    patients,
     stg_eob,
     wall_clock,
 )
@@ -22,11 +23,11 @@ from veritally.sources.schemas import SILVER_PATIENT
 TIME = "2024-01-20T10:00:00.000Z"
 
 
-def landed(t, lines, resource: str, times: int = 1, lines_per_file: int = 0):
+def landed(t, json, resource: str, times: int = 1, lines_per_file: int = 0):
     """The records of a snapshot after landing it ``times`` times over."""
     root = scratch_path(t.spark, "bronze")
     for _ in range(times):
-        landing.land_ndjson(lines, root, resource, TIME, lines_per_file)
+        landing.land_ndjson(json, root, resource, TIME, lines_per_file)
     return landing.read_ndjson(t.spark, root, resource, TIME)
 
 
@@ -35,7 +36,7 @@ def landed(t, lines, resource: str, times: int = 1, lines_per_file: int = 0):
        CASE WHEN o_orderstatus <> 'P' THEN o_totalprice ELSE 0.0 END AS total_payment FROM orders"""
 )
 def ndjson_read(t):
-    records = landed(t, eob_lines(t), "ExplanationOfBenefit")
+    records = landed(t, lines(eobs(t)), "ExplanationOfBenefit")
     return flatten_eob(records).select("eob_id", "total_amount", "total_payment")
 
 
@@ -44,9 +45,9 @@ def ndjson_read(t):
 )
 def snapshot_overwrite(t):
     root = scratch_path(t.spark, "silver")
-    patients = flatten_patient(landed(t, patient_lines(t), "Patient"))
+    stored = flatten_patient(landed(t, lines(patients(t)), "Patient"))
     for _ in range(2):
-        tables.write_snapshot(patients, root, "Patient", TIME)
+        tables.write_snapshot(stored, root, "Patient", TIME)
     stored = tables.read_snapshots(t.spark, root, "Patient", SILVER_PATIENT, TIME)
     return stored.select("patient_id", "mbi", "deceased")
 
@@ -58,10 +59,10 @@ def snapshot_overwrite(t):
 def snapshot_parts(t):
     """Many part files, written twice, leave one copy of every row."""
     root = scratch_path(t.spark, "silver")
-    lines = t("lineitem")
+    table = t("lineitem")
     for _ in range(2):
-        tables.write_snapshot(lines, root, "lines", TIME, rows_per_file=10_000)
-    stored = tables.read_snapshots(t.spark, root, "lines", lines.schema, TIME)
+        tables.write_snapshot(table, root, "lines", TIME, rows_per_file=10_000)
+    stored = tables.read_snapshots(t.spark, root, "lines", table.schema, TIME)
     return stored.groupBy("l_returnflag", "l_linestatus").agg(
         F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("total")
     )
@@ -69,7 +70,7 @@ def snapshot_parts(t):
 
 @query("SELECT CAST(1 AS BIGINT) AS copies, count(*) AS key_count FROM orders")
 def landing_is_idempotent(t):
-    records = landed(t, eob_lines(t), "ExplanationOfBenefit", times=3, lines_per_file=5_000)
+    records = landed(t, lines(eobs(t)), "ExplanationOfBenefit", times=3, lines_per_file=5_000)
     return duplicate_multiplicity(records, ["id"])
 
 
@@ -124,7 +125,7 @@ def materialised_models(t):
 )
 def typed_sparse_columns(t):
     """A column that is null in every record is read as text all the same."""
-    coverage = flatten_coverage(landed(t, coverage_lines(t), "Coverage"))
+    coverage = flatten_coverage(landed(t, lines(coverages(t)), "Coverage"))
     kinds = dict(coverage.dtypes)
     return coverage.agg(
         F.lit(kinds["period_start"]).alias("period_start_type"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.base import query
-from bindings.claims import coverage_lines, patient_lines
+from bindings.claims import coverages, lines, patients
 from veritally.session import scratch_path
 from veritally.sources.landing import land_ndjson
 from veritally.sources.schemas import SILVER_COVERAGE, SILVER_PATIENT
@@ -22,9 +22,9 @@ def _run(stream_query):
 def stream_to_silver(t):
     """Two increments land and are processed one after the other, exactly once."""
     root = scratch_path(t.spark, "stream")
-    lines = patient_lines(t)
+    json = lines(patients(t))
     deceased = F.get_json_object("value", "$.deceasedBoolean") == "true"
-    for time, part in (("2024-01-01", lines.filter(deceased)), ("2024-01-02", lines.filter(~deceased))):
+    for time, part in (("2024-01-01", json.filter(deceased)), ("2024-01-02", json.filter(~deceased))):
         land_ndjson(part, f"{root}/bronze", "Patient", time)
         _run(
             increments.stream_resource(
@@ -39,11 +39,11 @@ def stream_to_silver(t):
 def stream_landing_times(t):
     """The folder of a record tells when it landed."""
     root = scratch_path(t.spark, "stream")
-    lines = coverage_lines(t).withColumn(
+    json = lines(coverages(t)).withColumn(
         "transaction_time", F.substring(F.get_json_object("value", "$.meta.lastUpdated"), 1, 4)
     )
     # One write lands all snapshots, each in its own folder.
-    lines.write.partitionBy("transaction_time").text(f"{root}/bronze/Coverage")
+    json.write.partitionBy("transaction_time").text(f"{root}/bronze/Coverage")
     stream = increments.stream_ndjson(t.spark, f"{root}/bronze/Coverage", SILVER_COVERAGE)
     timed = increments.with_landing_time(stream)
     _run(increments.write_batches(timed, f"{root}/times", f"{root}/checkpoint"))

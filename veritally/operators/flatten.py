@@ -31,9 +31,11 @@ def _typed(df: DataFrame, column: str, kind: T.DataType) -> Column:
 
 def flatten_patient(df: DataFrame) -> DataFrame:
     address = first_item("address")
-    race = _extension("race")["valueCoding"]
     mbi = first_match("identifier", lambda i: i["system"].contains("us-mbi"))
-    return df.select(
+    # Searches that feed two columns are columns of their own, so that they run once per row.
+    searched = df.withColumn("__race", _extension("race")["valueCoding"])
+    race = F.col("__race")
+    return searched.select(
         F.col("id").alias("patient_id"),
         F.col("birthDate").alias("birth_date"),
         F.col("gender"),
@@ -49,8 +51,9 @@ def flatten_patient(df: DataFrame) -> DataFrame:
 
 def flatten_coverage(df: DataFrame) -> DataFrame:
     plan = first_match("class", lambda c: first_coding(c["type"])["code"] == "plan")
-    status_code = _extension("ms_cd")["valueCoding"]
-    return df.select(
+    searched = df.withColumn("__status", _extension("ms_cd")["valueCoding"])
+    status_code = F.col("__status")
+    return searched.select(
         F.col("id").alias("coverage_id"),
         F.col("status"),
         F.col("subscriberId").alias("subscriber_id"),
@@ -96,10 +99,11 @@ def attending_npi(care_team: Column | str) -> Column:
 def flatten_eob(df: DataFrame) -> DataFrame:
     """Claims stay at claim grain; the diagnosis and item arrays are carried as JSON text."""
     claim_type = first_match("type.coding", lambda c: c["system"].contains("eob-type"))
-    diagnosis = primary_diagnosis(_typed(df, "diagnosis", DIAGNOSES))
+    searched = df.withColumn("__principal", primary_diagnosis(_typed(df, "diagnosis", DIAGNOSES)))
+    diagnosis = F.col("__principal")
     item = first_item(_typed(df, "item", ITEMS))
     zero = F.lit(0.0)
-    return df.select(
+    return searched.select(
         F.col("id").alias("eob_id"),
         strip_prefix("patient.reference").alias("patient_id"),
         F.col("billablePeriod.start").alias("service_start_date"),

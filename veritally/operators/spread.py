@@ -1,0 +1,15 @@
+"""Enough tasks for work that is heavy per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``df`` in at least ``tasks`` partitions, by default one per core.
+
+    A few files of one row group each keep all but a few cores idle, however much work a row
+    takes. Input that already comes in enough partitions is left as it is, without a shuffle.
+    """
+    wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

@@ -2,30 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from veritally.functions.nested import json_scalar
+from veritally.functions.nested import first_coding, first_item
+from veritally.sources.schemas import DIAGNOSES, ITEMS
 
 # Fixed value: the text a source without procedure codes writes in their place.
 MISSING_CODE = "NULL"
 
 
-def explode_json(df: DataFrame, column: str, alias: str) -> DataFrame:
-    """One row per element of a JSON array, each kept as JSON text; empty arrays leave no row."""
-    return df.withColumn(alias, F.explode(F.from_json(F.col(column), "array<string>")))
+def explode_json(df: DataFrame, column: str, alias: str, kind: T.ArrayType) -> DataFrame:
+    """One row per element of a JSON array, parsed once; empty arrays leave no row."""
+    return df.withColumn(alias, F.explode(F.from_json(F.col(column), kind))).drop(column)
+
+
+def _diagnosis_columns(diagnosis: Column) -> list[Column]:
+    coding = first_coding(diagnosis["diagnosisCodeableConcept"])
+    return [
+        coding["code"].alias("diagnosis_code"),
+        coding["display"].alias("diagnosis_display"),
+        first_coding(first_item(diagnosis["type"]))["code"].alias("diagnosis_type"),
+    ]
 
 
 def int_eob_diagnoses(eob: DataFrame) -> DataFrame:
+    """One row per claim and diagnosis; claims without diagnoses have none."""
     claims = eob.select("eob_id", "patient_id", "diagnosis_json")
-    concept = "$.diagnosisCodeableConcept.coding[0]"
-    return explode_json(claims, "diagnosis_json", "diag").select(
-        "eob_id",
-        "patient_id",
-        json_scalar("diag", f"{concept}.code").alias("diagnosis_code"),
-        json_scalar("diag", f"{concept}.display").alias("diagnosis_display"),
-        json_scalar("diag", "$.type[0].coding[0].code").alias("diagnosis_type"),
-    )
+    diagnoses = explode_json(claims, "diagnosis_json", "diag", DIAGNOSES)
+    return diagnoses.select("eob_id", "patient_id", *_diagnosis_columns(F.col("diag")))
 
 
 def int_eob_procedures(eob: DataFrame, enabled: bool = False) -> DataFrame:
@@ -36,6 +42,6 @@ def int_eob_procedures(eob: DataFrame, enabled: bool = False) -> DataFrame:
     if not enabled:
         procedures = eob.select("eob_id", F.lit(None).cast("string").alias("procedure_code"))
         return procedures.filter(F.lit(False))
-    items = explode_json(eob.select("eob_id", "item_json"), "item_json", "item")
-    code = json_scalar("item", "$.productOrService.coding[0].code")
+    items = explode_json(eob.select("eob_id", "item_json"), "item_json", "item", ITEMS)
+    code = first_coding(F.col("item.productOrService"))["code"]
     return items.select("eob_id", F.nullif(code, F.lit(MISSING_CODE)).alias("procedure_code"))
