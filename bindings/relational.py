@@ -14,7 +14,8 @@ from veritally.operators.date_dimension import (
     fiscal_year_ends,
 )
 from veritally.operators.latest import latest_by_key
-from veritally.operators.ordered import SORT, VALUE, neighbour_violations
+from veritally.operators.membership import not_in
+from veritally.operators.ordered import SORT, VALUE, neighbour_violations, running_sum
 from veritally.operators.quantile import percentile_by, percentile_over
 
 # --- joins -----------------------------------------------------------------------------------
@@ -82,15 +83,16 @@ def full_join_literals(t):
        WHERE o_orderpriority NOT IN (SELECT 'x' || c_mktsegment FROM customer UNION SELECT '5-LOW')"""
 )
 def not_in_subquery(t):
-    # NOT IN keeps nothing as soon as the list holds a null: the null-aware anti join.
-    listed = t("customer").select(F.concat(F.lit("x"), "c_mktsegment").alias("v")).distinct()
-    t("orders").createOrReplaceTempView("not_in_orders")
-    listed.unionByName(values.set_frame(listed, ["5-LOW"], True).withColumnRenamed("value_field", "v")) \
-        .createOrReplaceTempView("not_in_list")
-    return t.spark.sql(
-        "SELECT o_orderkey, o_orderpriority FROM not_in_orders "
-        "WHERE o_orderpriority NOT IN (SELECT v FROM not_in_list)"
-    )
+    segments = t("customer").select(F.concat(F.lit("x"), "c_mktsegment").alias("value_field"))
+    listed = segments.unionByName(values.set_frame(segments, ["5-LOW"], True))
+    return not_in(t("orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", listed)
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT CASE WHEN quality = 1 THEN doc_id END FROM labels)")
+def not_in_with_nulls(t):
+    """A null in the list leaves nothing."""
+    good = t("labels").select(F.when(F.col("quality") == 1, F.col("doc_id")).alias("doc_id"))
+    return not_in(t("documents").select("doc_id"), "doc_id", good)
 
 
 def order_days(t):
@@ -379,18 +381,30 @@ def distinct_values_in_row(t):
     )
 
 
-@query(
-    """SELECT user_id, ts, round(sum(value) OVER (PARTITION BY user_id ORDER BY ts), 4) AS rising,
-       round(sum(value) OVER (PARTITION BY user_id ORDER BY ts DESC), 4) AS falling FROM events"""
-)
+RUNNING_SQL = """
+SELECT user_id, d, round(sum(value) OVER (PARTITION BY user_id ORDER BY d), 4) AS rising,
+       round(sum(value) OVER (PARTITION BY user_id ORDER BY d DESC), 4) AS falling
+FROM (SELECT user_id, CAST(ts AS DATE) AS d, value FROM events)
+"""
+
+
+def _running(t, group_rows):
+    # Events of one day share their sum.
+    rows = t("events").select("user_id", F.col("ts").cast("date").alias("d"), "value")
+    for alias, falls in (("rising", False), ("falling", True)):
+        rows = running_sum(rows, "value", "d", ["user_id"], alias, falls, group_rows)
+    return rows.select("user_id", "d", *[F.round(c, 4).alias(c) for c in ("rising", "falling")])
+
+
+@query(RUNNING_SQL)
 def running_sums(t):
-    up, down = (W.partitionBy("user_id").orderBy(o) for o in (F.asc("ts"), F.desc("ts")))
-    return t("events").select(
-        "user_id",
-        "ts",
-        F.round(F.sum("value").over(up), 4).alias("rising"),
-        F.round(F.sum("value").over(down), 4).alias("falling"),
-    )
+    return _running(t, 10**6)
+
+
+@query(RUNNING_SQL)
+def running_sums_in_ranges(t):
+    """The way taken for groups too large for one task, here for every group."""
+    return _running(t, 0)
 
 
 # --- sets ------------------------------------------------------------------------------------

@@ -200,12 +200,11 @@ def expect_column_median_to_be_between(
 def ranked_value(df: DataFrame, rank: int, row_condition: str | None = None) -> DataFrame:
     """The ``value_field`` that is the ``rank``-th most frequent; ties go to the smaller value."""
     counts = select_rows(df, row_condition).groupBy("value_field").agg(F.count(F.lit(1)).alias("n"))
-    order = [F.desc("n"), F.asc("value_field")]
-    top = counts.orderBy(*order).limit(rank)
-    # Reversing the top ranks puts the wanted one first; it is absent if there are fewer values.
-    last = top.orderBy(F.asc("n"), F.desc("value_field")).limit(1)
-    enough = top.agg(F.count(F.lit(1)).alias("ranks")).scalar()
-    return last.withColumn("ranks", enough).filter(F.col("ranks") == rank).select("value_field")
+    top = counts.orderBy(F.desc("n"), F.asc("value_field")).limit(rank)
+    # The last of the top ranks is the wanted one; it is absent if there are fewer values.
+    last = F.max_by("value_field", F.struct(-F.col("n"), F.col("value_field")))
+    found = top.agg(last.alias("value_field"), F.count(F.lit(1)).alias("ranks"))
+    return found.filter(F.col("ranks") == rank).select("value_field")
 
 
 @register

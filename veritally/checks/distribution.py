@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veritally.checks.kernel import _as_list, register, select_rows
 from veritally.functions import calendar as cal
 from veritally.functions.scalar import metric_value
-from veritally.operators.spine import spine_periods
+from veritally.operators.spine import explode_periods
 
 
 @register
@@ -143,10 +143,7 @@ def expect_row_values_to_have_data_for_every_n_datepart(
     )
     first = cal.date_trunc(date_part, "__start") if align else F.col("__start")
     bounds = bounds.select(first.alias("__start"), "__end")
-    spine = bounds.select(
-        "__start",
-        F.explode(spine_periods(F.col("__start"), F.col("__end"), date_part)).alias(name),
-    )
+    spine = explode_periods(bounds, "__start", "__end", date_part, name)
     period = F.col("__period")
     if interval:
         offset = cal.periods_between("__start", name, date_part)

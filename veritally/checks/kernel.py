@@ -8,6 +8,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritally.operators.ordered import repeat_rows
+
 REGISTRY: dict[str, Callable] = {}
 
 
@@ -218,9 +220,14 @@ def not_null(column_name: str) -> Column:
 def relationships(
     df: DataFrame, column_name: str, to: DataFrame, field: str, row_condition: str | None = None
 ) -> DataFrame:
-    """Values without a partner in the other table, one row each time they occur; nulls pass."""
+    """Values without a partner in the other table, one row each time they occur; nulls pass.
+
+    The values are counted before they are joined, so one that fills a third of the table is one
+    row by then.
+    """
     child = select_rows(df, row_condition).select(F.expr(column_name).alias("from_field"))
+    child = child.filter(F.col("from_field").isNotNull())
+    counted = child.groupBy("from_field").agg(F.count(F.lit(1)).alias("__times"))
     parent = to.select(F.expr(field).alias("to_field")).filter(F.col("to_field").isNotNull())
-    return child.filter(F.col("from_field").isNotNull()).join(
-        parent, F.col("from_field") == F.col("to_field"), "left_anti"
-    )
+    orphans = counted.join(parent, F.col("from_field") == F.col("to_field"), "left_anti")
+    return repeat_rows(orphans, "__times")

@@ -82,6 +82,54 @@ def neighbour_violations(
     return inside.unionByName(at_edges).unionByName(repeat_rows(spare, "__spare"))
 
 
+def running_sum(
+    df: DataFrame,
+    value: str,
+    order: str,
+    group_by: Sequence[str] = (),
+    alias: str = "running_sum",
+    descending: bool = False,
+    group_rows: int = GROUP_ROWS,
+) -> DataFrame:
+    """Every row with the sum of ``value`` up to it; rows equal in ``order`` share one sum.
+
+    Groups above ``group_rows`` rows are summed per order value, cut into ranges over (group,
+    order), summed up inside each range on top of the ranges before it, and joined back.
+    """
+    keys = list(group_by)
+    direction = F.col(order).desc() if descending else F.col(order).asc()
+    if largest_group(df, keys) <= group_rows:
+        return df.withColumn(alias, F.sum(value).over(W.partitionBy(*keys).orderBy(direction)))
+
+    names = {c: f"__key_{i}" for i, c in enumerate([*keys, order])}
+    sums = df.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(F.sum(value).alias("__sum"))
+    groups, place = [names[k] for k in keys], names[order]
+    placed = F.col(place).desc() if descending else F.col(place).asc()
+    ranged = durable(
+        sums.repartitionByRange(*groups, placed).withColumn("__range", F.spark_partition_id())
+    )
+    before = W.partitionBy(*groups).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    starts = ranged.groupBy(*groups, "__range").agg(F.sum("__sum").alias("__block"))
+    starts = starts.select(
+        *[F.col(g).alias(f"{g}_start") for g in groups],
+        F.col("__range").alias("__at"),
+        F.sum("__block").over(before).alias("__before"),
+    )
+    inside = F.sum("__sum").over(W.partitionBy("__range", *groups).orderBy(placed))
+    same_range = F.col("__range") == F.col("__at")
+    for g in groups:
+        same_range = same_range & F.col(g).eqNullSafe(F.col(f"{g}_start"))
+    total = F.when(F.col("__before").isNull(), F.col("__inside")).otherwise(
+        F.col("__before") + F.coalesce("__inside", F.lit(0))
+    )
+    totals = ranged.withColumn("__inside", inside).join(starts, same_range)
+    totals = totals.select(*groups, place, total.alias(alias))
+    same_row = F.lit(True)
+    for c, n in names.items():
+        same_row = same_row & df[c].eqNullSafe(totals[n])
+    return df.join(totals, same_row).select(*[df[c] for c in df.columns], totals[alias])
+
+
 def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     """Each row ``times`` times, spread over tasks so that no single one writes a huge run."""
     columns = [c for c in df.columns if c != times]

@@ -8,17 +8,32 @@ from pyspark.sql import functions as F
 from veritally.functions import calendar as cal
 
 
+# Periods numbered by one array.
+BLOCK = 10_000
+
+
 def _timestamp(value) -> Column:
     return value if isinstance(value, Column) else F.lit(str(value)).cast("timestamp_ntz")
 
 
-def spine_periods(start: Column, end: Column, part: str, week: str = "sunday") -> Column:
-    """Array of period starts from ``start``, ``end`` excluded; empty where start >= end."""
+def explode_periods(
+    df: DataFrame, start: str, end: str, part: str, alias: str, week: str = "sunday"
+) -> DataFrame:
+    """Each row of ``df`` once per period from its ``start``, its ``end`` excluded.
+
+    Rows without any period disappear. Periods are numbered in blocks, so that no row ever holds
+    an array as long as the spine.
+    """
     count = cal.periods_between(start, end, part, week)
-    steps = F.sequence(F.lit(0).cast("bigint"), count - 1)
-    periods = F.transform(steps, lambda i: cal.add_periods(start, i.cast("int"), part))
-    inside = F.filter(periods, lambda p: p <= end)
-    return F.when(count > 0, inside).otherwise(F.array().cast("array<timestamp_ntz>"))
+    blocks = df.withColumn("__count", count).filter(F.col("__count") > 0)
+    last_block = F.floor((F.col("__count") - 1) / BLOCK)
+    blocks = blocks.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), last_block)))
+    first = F.col("__block") * BLOCK
+    numbers = F.sequence(first, F.least(first + BLOCK, F.col("__count")) - 1)
+    numbered = blocks.withColumn("__number", F.explode(numbers))
+    period = cal.add_periods(start, F.col("__number").cast("int"), part)
+    spine = numbered.withColumn(alias, period).filter(F.col(alias) <= F.col(end))
+    return spine.drop("__count", "__block", "__number")
 
 
 def date_spine(spark: SparkSession, part: str, start, end, week: str = "sunday") -> DataFrame:
@@ -26,10 +41,9 @@ def date_spine(spark: SparkSession, part: str, start, end, week: str = "sunday")
 
     ``start`` and ``end`` are timestamps as text, or one-row scalar columns.
     """
-    bounds = spark.range(1).select(_timestamp(start).alias("s"), _timestamp(end).alias("e"))
-    return bounds.select(
-        F.explode(spine_periods(F.col("s"), F.col("e"), part, week)).alias(f"date_{part}")
-    )
+    bounds = spark.range(1).select(_timestamp(start).alias("__start"), _timestamp(end).alias("__end"))
+    name = f"date_{part}"
+    return explode_periods(bounds, "__start", "__end", part, name, week).select(name)
 
 
 def base_dates(
