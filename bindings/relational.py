@@ -440,9 +440,9 @@ def distinct_rows(t):
 # --- scalar functions ------------------------------------------------------------------------
 
 
-@query("SELECT event_id, round(ln(value), 9) AS log_value FROM events")
+@query("SELECT event_id, round(ln(nullif(value, 0)), 9) AS log_value FROM events")
 def log_natural(t):
-    return t("events").select("event_id", F.round(scalar.log_natural("value"), 9).alias("log_value"))
+    return t("events").select("event_id", F.round(scalar.log_natural(F.nullif("value", F.lit(0.0))), 9).alias("log_value"))
 
 
 @query(

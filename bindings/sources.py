@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.base import query
 from bindings.claims import (
+    CLAIMS_BY_TYPE_SQL,
     coverages,
     eobs,
     fct_claims,
@@ -15,6 +16,7 @@ from bindings.claims import (
     wall_clock,
 )
 from veritally.operators.flatten import flatten_coverage, flatten_eob, flatten_patient
+from veritally.plans.build import build, dashboard_queries
 from veritally.plans.dashboards import duplicate_multiplicity
 from veritally.session import scratch_path
 from veritally.sources import landing, tables, watermark
@@ -118,6 +120,17 @@ def materialised_models(t):
     return wall_clock(stored.join(staged, "eob_id", "left_semi"))
 
 
+@query(CLAIMS_BY_TYPE_SQL)
+def build_from_landing(t):
+    """Landed JSON to silver files, models, stored marts and a dashboard query over them."""
+    root = scratch_path(t.spark, "build")
+    landed_records = {"Patient": patients(t), "Coverage": coverages(t), "ExplanationOfBenefit": eobs(t)}
+    for resource, nested in landed_records.items():
+        landing.land_ndjson(lines(nested), f"{root}/bronze", resource, TIME)
+    models = build(t.spark, f"{root}/bronze", f"{root}/silver", f"{root}/marts", TIME)
+    return wall_clock(dashboard_queries(models)["claims_by_type"])
+
+
 @query(
     """SELECT 'string' AS period_start_type, 'string' AS dual_eligible_type, count(*) AS records,
        CAST(0 AS BIGINT) AS period_starts, count(*) FILTER (WHERE o_totalprice > 200000) AS dual_eligibles
