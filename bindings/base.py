@@ -15,12 +15,24 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._made: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        return self.once(f"table {name}", lambda: self.spark.read.parquet(self.path(name)))
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A plan that several parts of a query use, built a single time."""
+        if name not in self._made:
+            self._made[name] = build()
+        return self._made[name]
+
+
+def shared(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    """Let all parts of a query share the plan that ``build`` makes."""
+    return lambda t: t.once(build.__name__, lambda: build(t))
 
 
 def add(name: str, build: Callable[[Tables], DataFrame], sql: str | None = None) -> None:

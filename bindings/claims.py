@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bindings.base import Tables, query
+from bindings.base import Tables, query, shared
 from veritally.functions.nested import json_scalar, strip_prefix
 from veritally.operators import flatten as fl
 from veritally.operators.spread import spread
@@ -175,19 +175,23 @@ def lines(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
+@shared
 def patients(t: Tables) -> DataFrame:
     rows = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     return records(rows, "Patient", PATIENT_FIELDS)
 
 
+@shared
 def coverages(t: Tables) -> DataFrame:
     return records(t("orders"), "Coverage", COVERAGE_FIELDS)
 
 
+@shared
 def eobs(t: Tables) -> DataFrame:
     return records(t("orders"), "ExplanationOfBenefit", EOB_FIELDS)
 
 
+@shared
 def line_eobs(t: Tables) -> DataFrame:
     return records(t("lineitem"), "ExplanationOfBenefit", LINE_FIELDS)
 
@@ -195,42 +199,52 @@ def line_eobs(t: Tables) -> DataFrame:
 # --- models ----------------------------------------------------------------------------------
 
 
+@shared
 def silver_patient(t: Tables) -> DataFrame:
     return fl.flatten_patient(patients(t))
 
 
+@shared
 def silver_coverage(t: Tables) -> DataFrame:
     return fl.flatten_coverage(coverages(t))
 
 
+@shared
 def silver_eob(t: Tables) -> DataFrame:
     return fl.flatten_eob(eobs(t))
 
 
+@shared
 def line_claims(t: Tables) -> DataFrame:
     return fl.flatten_eob(line_eobs(t))
 
 
+@shared
 def stg_patient(t: Tables) -> DataFrame:
     return staging.stg_patient(silver_patient(t), LOADED)
 
 
+@shared
 def stg_coverage(t: Tables) -> DataFrame:
     return staging.stg_coverage(silver_coverage(t), LOADED)
 
 
+@shared
 def stg_eob(t: Tables) -> DataFrame:
     return staging.stg_eob(silver_eob(t), LOADED)
 
 
+@shared
 def dim_patient(t: Tables) -> DataFrame:
     return marts.dim_patient(stg_patient(t), stg_coverage(t))
 
 
+@shared
 def fct_claims(t: Tables) -> DataFrame:
     return marts.fct_claims(stg_eob(t), dim_patient(t))
 
 
+@shared
 def fct_coverage(t: Tables) -> DataFrame:
     return marts.fct_coverage(stg_coverage(t), stg_eob(t))
 
