@@ -150,8 +150,8 @@ AS_OF = {
         "date_trunc('second', ts) + INTERVAL 7 MICROSECOND",
     ),
     "make_datetime": (
-        lambda ts: cal.make_datetime(F.year(ts), 1, F.dayofmonth(ts), 6, 14, tz="America/Los_Angeles").cast(
-            "timestamp_ntz"
+        lambda ts: cal.in_utc(
+            cal.make_datetime(F.year(ts), 1, F.dayofmonth(ts), 6, 14, tz="America/Los_Angeles")
         ),
         "make_timestamp(year(ts), 1, day(ts), 14, 14, 0)",
     ),

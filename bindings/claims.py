@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings.base import Tables, query, shared
+from veritally.functions.calendar import in_utc
 from veritally.functions.nested import json_scalar, strip_prefix
 from veritally.operators import flatten as fl
 from veritally.operators.spread import spread
@@ -17,6 +18,7 @@ from veritally.plans import dashboards, intermediate, marts, staging
 from veritally.sources.schemas import DIAGNOSES, ITEMS, RESOURCES
 
 LOADED = "2024-02-01 00:00:00"
+LOADED_AT = f"{LOADED}Z"
 
 
 # --- records ---------------------------------------------------------------------------------
@@ -221,17 +223,17 @@ def line_claims(t: Tables) -> DataFrame:
 
 @shared
 def stg_patient(t: Tables) -> DataFrame:
-    return staging.stg_patient(silver_patient(t), LOADED)
+    return staging.stg_patient(silver_patient(t), LOADED_AT)
 
 
 @shared
 def stg_coverage(t: Tables) -> DataFrame:
-    return staging.stg_coverage(silver_coverage(t), LOADED)
+    return staging.stg_coverage(silver_coverage(t), LOADED_AT)
 
 
 @shared
 def stg_eob(t: Tables) -> DataFrame:
-    return staging.stg_eob(silver_eob(t), LOADED)
+    return staging.stg_eob(silver_eob(t), LOADED_AT)
 
 
 @shared
@@ -356,10 +358,10 @@ SELECT l_orderkey || '-' || l_linenumber, '', 'P' || l_partkey, 'part',
 
 
 def wall_clock(df: DataFrame, *columns: str) -> DataFrame:
-    """Timestamps without a zone, and amounts as doubles, as the SQL side has them."""
+    """Timestamps in UTC without a zone, and amounts as doubles, as the SQL side has them."""
     out = df
     for c in columns:
-        out = out.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        out = out.withColumn(c, in_utc(c))
     for c, kind in df.dtypes:
         if kind.startswith("decimal"):
             out = out.withColumn(c, F.round(F.col(c).cast("double"), 4))
@@ -452,9 +454,9 @@ def _stg_eob(t):
         0 AS stamped_later FROM orders GROUP BY o_orderstatus"""
 )
 def load_stamp(t):
-    fixed = staging.stage(t("orders"), {}, loaded_at=LOADED)
+    fixed = staging.stage(t("orders"), {}, loaded_at=LOADED_AT)
     live = staging.stage(fixed.drop("loaded_at"), {}).withColumnRenamed("loaded_at", "now")
-    both = live.withColumn("loaded_at", F.lit(LOADED).cast("timestamp"))
+    both = live.withColumn("loaded_at", F.lit(LOADED_AT).cast("timestamp"))
     later = F.count_if(F.col("now") > F.current_timestamp()).cast("int")
     grouped = both.groupBy("o_orderstatus").agg(
         F.count(F.lit(1)).alias("orders"), F.max("loaded_at").alias("loaded_at"), later.alias("stamped_later")

@@ -270,6 +270,12 @@ def next_month_name(short: bool = True, tz: str | None = None, as_of=None) -> Co
 # --- conversions ---------------------------------------------------------------------------
 
 
+def in_utc(instant) -> Column:
+    """Zone-less UTC timestamp of an instant, whatever the zone of the session."""
+    local = as_column(instant).cast("timestamp_ntz")
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), local)
+
+
 def from_unixtimestamp(epochs, format: str = "seconds") -> Column:
     """Zone-less UTC timestamp of an epoch count."""
     column = as_column(epochs)
@@ -280,8 +286,7 @@ def from_unixtimestamp(epochs, format: str = "seconds") -> Column:
         micros = column.cast("bigint") * micros_per[format]
     else:
         raise ValueError(f"value {format!r} for `format` is not supported")
-    instant = F.timestamp_micros(micros)
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
+    return in_utc(F.timestamp_micros(micros))
 
 
 def to_unixtimestamp(timestamp) -> Column:
