@@ -43,10 +43,6 @@ def table(columns, rows) -> tuple[list[str], list[tuple]]:
     return [columns[i] for i in order], sorted(cells, key=repr)
 
 
-def spark_types(df) -> dict[str, str]:
-    return dict(df.dtypes)
-
-
 SAME_TYPES = {
     "bigint": {"BIGINT"},
     "int": {"INTEGER"},
