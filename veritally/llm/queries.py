@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import exact_dedup, language_id, mixing, packing
+from veritally.llm import exact_dedup, jaccard_join, language_id, mixing, packing
 from veritally.llm.common import LOWER, UPPER, Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, folder, "documents"), digest="text_sha256")
 
 
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    with Scratch(spark, "jaccard") as scratch:
+        return scratch.result(jaccard_join.jaccard_components(read(spark, folder, "documents"), scratch))
+
+
 ORACLE["op8_exact_dedup"] = f"""
 WITH d AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), '{UPPER}', '{LOWER}')) AS h FROM documents
