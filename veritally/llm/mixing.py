@@ -148,7 +148,8 @@ class Mix:
         return rows.select("*", (begin - F.col("start")).alias("from_word"), (end - begin).alias("words"))
 
     def taken_pieces(self) -> DataFrame:
-        return self.pieces().join(self.draws(), ["source_no", "block"])
+        # The draws come from few numbers of shards, from which Spark would guess them to be small.
+        return self.pieces().hint("merge").join(self.draws(), ["source_no", "block"])
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, taken of every document."""
