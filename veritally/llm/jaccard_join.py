@@ -8,7 +8,8 @@
    leader each. This links nearly all of a large group of copies at a cost linear in its size.
 4. The join proper: representatives with equal prefix, size and component are one group. Groups
    that share a prefix shingle, differ in component and pass the length and position filters are
-   candidates; they are expanded to their members and verified on whole sets.
+   candidates; they are expanded to their members, sifted by parity signatures, which bound the
+   difference of two sets from below, and verified on whole sets.
 
 Step 3 loses nothing: step 4 considers every pair of different components. All components follow
 from the links of both. Hashes of 58 bits stand for shingles.
@@ -163,18 +164,35 @@ def star_keys(flat: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def parity(keys: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of shingles fall on it; about two bits for a shingle."""
+    bits = 1 << min(16, max(6, (2 * len(keys) - 1).bit_length()))
+    at = (mixed(keys) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: np.ndarray, y: np.ndarray) -> int:
+    """Shingles in one set only, at least: differing bits, the longer signature folded to the shorter."""
+    if len(x) > len(y):
+        x, y = y, x
+    if len(y) > len(x):
+        y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def profiles(batches, levels, size: int, percent: int):
     """Per text: size of its set, hashes of the set and of its prefix, minima, and the prefix."""
     import pyarrow as pa
 
     for batch in batches:
         data, bounds = text_buffer(batch.column(1))
-        n, prefix, parts = [], [], []
+        n, prefix, parts, signs = [], [], [], []
         for first, last in row_blocks(bounds):
             for keys in shingle_sets(data, bounds, first, last, levels.value, size):
                 n.append(len(keys))
                 prefix.append(keys[: prefix_length(len(keys), percent)].tobytes())
                 parts.append(keys)
+                signs.append(parity(keys))
         n = np.array(n, np.int64)
         full = n > 0
         columns = [np.zeros(len(n), np.int64) for _ in range(3 + STARS)]
@@ -194,17 +212,44 @@ def profiles(batches, levels, size: int, percent: int):
             pa.array(np.arange(len(n) + 1, dtype=np.int32) * STARS), pa.array(stars)
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n), *(pa.array(c) for c in columns[:3]), listed, pa.array(prefix, pa.binary())],
-            names=["doc_id", "n", "set_a", "set_b", "prefix_hash", "stars", "prefix"],
+            [batch.column(0), pa.array(n), *(pa.array(c) for c in columns[:3]), listed]
+            + [pa.array(prefix, pa.binary()), pa.array(signs, pa.binary())],
+            names=["doc_id", "n", "set_a", "set_b", "prefix_hash", "stars", "prefix", "signature"],
         )
 
 
-PROFILE = "doc_id long, n long, set_a long, set_b long, prefix_hash long, stars array<long>, prefix binary"
+PROFILE = "doc_id long, n long, set_a long, set_b long, prefix_hash long, stars array<long>, prefix binary, signature binary"
 
 
 # ---- verification ----
 
 
+def sift_pairs(batches, percent: int):
+    import pyarrow as pa
+
+    for batch in batches:
+        sizes = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+        room = sizes - 2 * least_overlap(batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
+        keep = []
+        for k in range(batch.num_rows):
+            x = np.frombuffer(batch.column(4)[k].as_buffer(), np.uint8)
+            y = np.frombuffer(batch.column(5)[k].as_buffer(), np.uint8)
+            keep.append(least_difference(x, y) <= room[k])
+        yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+
+def sifted(profile: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The (a, b) of ``pairs`` whose signatures do not rule a link out."""
+    sides = [
+        profile.select(F.col("doc_id").alias(f"_{s}"), F.col("n").alias(f"n{s}"), F.col("signature").alias(f"s{s}"))
+        for s in "ab"
+    ]
+    both = pairs.join(sides[0].hint("merge"), F.col("a") == F.col("_a"))
+    both = both.join(sides[1].hint("merge"), F.col("b") == F.col("_b"))
+    make = functools.partial(sift_pairs, percent=percent)
+    return both.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(make, "a long, b long").distinct()
+
+
 def whole_sets(batches, levels, size: int):
     import pyarrow as pa
 
@@ -400,7 +445,7 @@ def jaccard_components(
     classes = scratch.table(classes)
     chosen = classes.select(F.col("rep").alias("_rep"))
     reps = full.select("doc_id", "n", "stars").join(chosen, F.col("doc_id") == F.col("_rep"), "left_semi")
-    pairs = scratch.table(star_pairs(reps, percent))
+    pairs = scratch.table(sifted(profile, star_pairs(reps, percent), percent))
     first = components(verified(texts, pairs, levels, size, percent, scratch), scratch)
 
     placed = classes.select("rep", "n", "prefix_hash").join(first, F.col("rep") == F.col("node"), "left")
@@ -418,7 +463,8 @@ def jaccard_components(
     two = members.select(F.col("gid").alias("_h"), F.col("rep").alias("_y"))
     wide = met.join(one, F.col("a") == F.col("_g"), "left").select(F.coalesce("_x", "a").alias("a"), "b")
     wide = wide.join(two, F.col("b") == F.col("_h"), "left").select("a", F.coalesce("_y", "b").alias("b"))
-    rest = scratch.table(wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    wide = wide.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = scratch.table(sifted(profile, wide, percent))
     links = verified(texts, rest, levels, size, percent, scratch)
 
     # Links between documents, as links between the components found so far.
