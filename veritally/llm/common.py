@@ -15,7 +15,7 @@ LOWER = UPPER.lower()
 # Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_BYTES = 16 << 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -166,7 +166,7 @@ def words_of(data: np.ndarray, bounds: np.ndarray, first: int, last: int):
     before = inner[inner > 0] - 1
     closes[before] = solid[before]
     ends = np.flatnonzero(closes) + 1
-    up, down = _powers(max(BLOCK_BYTES.bit_length() + 1, len(text).bit_length()))
+    up, down = _powers(max(BLOCK_BYTES.bit_length(), len(text).bit_length()))
     total = np.empty(len(text) + 1, dtype=np.uint64)
     total[0] = 0
     np.cumsum((low.astype(np.uint64) + np.uint64(1)) * up[: len(text)], dtype=np.uint64, out=total[1:])

@@ -4,8 +4,9 @@
 2. Shingles have one global order: rare before frequent, by a counting sketch of fixed size over
    all texts, then by hash. The first ``n - ceil(t * n) + 1`` shingles of a set are its prefix; two
    sets that reach the threshold share a shingle of their prefixes.
-3. Representatives that share a minimum under one of a few permutations are compared with one
-   leader each. This links nearly all of a large group of copies at a cost linear in its size.
+3. Representatives that share a minimum under one of a few permutations are compared with two
+   leaders: the one with the fewest rare shingles, which in a large group of copies is close to
+   the original, and any one. This links nearly all of such a group at a cost linear in its size.
 4. The join proper: representatives with equal prefix, size and component are one group. Groups
    that share a prefix shingle, differ in component and pass the length and position filters are
    candidates; they are expanded to their members, sifted by parity signatures, which bound the
@@ -42,7 +43,7 @@ PERCENT = 75
 CELL_BITS = 20  # of the counting sketch: 2**20 counters
 CHUNKS = 16
 STARS = 6
-BUCKET_POSTINGS = 1_000_000
+BUCKET_POSTINGS = 3_000_000
 LONG_RUN = 64
 ID_BITS = 1 << 24
 
@@ -181,15 +182,16 @@ def least_difference(x: np.ndarray, y: np.ndarray) -> int:
 
 
 def profiles(batches, levels, size: int, percent: int):
-    """Per text: size of its set, hashes of the set and of its prefix, minima, and the prefix."""
+    """Per text: size of its set, rare shingles, hashes of the set and of its prefix, minima, prefix, signature."""
     import pyarrow as pa
 
     for batch in batches:
         data, bounds = text_buffer(batch.column(1))
-        n, prefix, parts, signs = [], [], [], []
+        n, rare, prefix, parts, signs = [], [], [], [], []
         for first, last in row_blocks(bounds):
             for keys in shingle_sets(data, bounds, first, last, levels.value, size):
                 n.append(len(keys))
+                rare.append(int(np.searchsorted(keys, np.uint64(1 << 58))))
                 prefix.append(keys[: prefix_length(len(keys), percent)].tobytes())
                 parts.append(keys)
                 signs.append(parity(keys))
@@ -212,13 +214,16 @@ def profiles(batches, levels, size: int, percent: int):
             pa.array(np.arange(len(n) + 1, dtype=np.int32) * STARS), pa.array(stars)
         )
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n), *(pa.array(c) for c in columns[:3]), listed]
+            [batch.column(0), pa.array(n), pa.array(rare, pa.int64()), *(pa.array(c) for c in columns[:3]), listed]
             + [pa.array(prefix, pa.binary()), pa.array(signs, pa.binary())],
-            names=["doc_id", "n", "set_a", "set_b", "prefix_hash", "stars", "prefix", "signature"],
+            names=["doc_id", "n", "rare", "set_a", "set_b", "prefix_hash", "stars", "prefix", "signature"],
         )
 
 
-PROFILE = "doc_id long, n long, set_a long, set_b long, prefix_hash long, stars array<long>, prefix binary, signature binary"
+PROFILE = (
+    "doc_id long, n long, rare long, set_a long, set_b long, prefix_hash long, "
+    "stars array<long>, prefix binary, signature binary"
+)
 
 
 # ---- verification ----
@@ -299,11 +304,13 @@ def verified(texts: DataFrame, pairs: DataFrame, levels, size: int, percent: int
 
 
 def star_pairs(reps: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a representative with the leader of a minimum it shares: at most ``STARS`` each."""
-    rows = reps.select("doc_id", "n", F.posexplode("stars").alias("k", "key"))
-    rank = F.struct(F.xxhash64("doc_id", "k").alias("r"), F.col("doc_id").alias("a"), F.col("n").alias("na"))
-    heads = rows.groupBy("k", "key").agg(F.min(rank).alias("lead"), F.count("*").alias("c")).filter("c > 1")
-    heads = heads.select(F.col("k").alias("_k"), F.col("key").alias("_key"), "lead.a", "lead.na")
+    """Pairs of a representative with the leader of a minimum it shares: at most two for each minimum."""
+    rows = reps.select("doc_id", "n", "rare", F.posexplode("stars").alias("k", "key"))
+    any_one, own = F.xxhash64("doc_id", "k"), (F.col("doc_id").alias("a"), F.col("n").alias("na"))
+    leads = [F.min(F.struct(*by, any_one.alias("r"), *own)).alias(f"lead{i}") for i, by in enumerate(([], ["rare"]))]
+    heads = rows.groupBy("k", "key").agg(*leads, F.count("*").alias("c")).filter("c > 1")
+    both = F.array_distinct(F.array(*(F.struct(f"lead{i}.a", f"lead{i}.na") for i in (0, 1))))
+    heads = heads.select(F.col("k").alias("_k"), F.col("key").alias("_key"), F.inline(both).alias("a", "na"))
     met = rows.join(heads, F.col("key") == F.col("_key")).filter("k = _k and a != doc_id")
     near = met.filter(F.least("n", "na") * 100 >= F.greatest("n", "na") * percent)
     return near.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
@@ -341,7 +348,7 @@ def postings(batches, buckets: int):
 POSTINGS = "bucket long, ids binary, comps binary, sizes binary, tokens binary, owners binary, places binary"
 
 
-def run_pairs(token, comp, starts, lengths):
+def run_pairs(comp, starts, lengths):
     """Index pairs of the same token and different components, in parts."""
     short = lengths <= LONG_RUN
     for step in range(1, int(lengths[short].max(initial=0))):
@@ -362,20 +369,24 @@ def token_pairs(table, percent: int):
     """Candidate pairs of groups of one bucket, each once."""
     import pyarrow as pa
 
-    columns = [[], [], [], [], []]
+    parts, tables, docs = [[], [], []], [[], [], []], 0
     for row in range(table.num_rows):
         ids, comps, sizes, tokens, owners, places = (table.column(i + 1)[row].as_buffer() for i in range(6))
-        owner = np.frombuffer(owners, np.uint32)
-        columns[0].append(np.frombuffer(tokens, np.uint64))
-        for c, raw in zip(columns[1:4], (ids, comps, sizes), strict=True):
-            c.append(np.frombuffer(raw, np.int64)[owner])
-        columns[4].append(np.frombuffer(places, np.uint32).astype(np.int64))
-    token, group, comp, size, place = (np.concatenate(c) for c in columns)
-    order = np.lexsort((size, token))
+        parts[0].append(np.frombuffer(tokens, np.uint64))
+        parts[1].append(np.frombuffer(owners, np.uint32) + np.uint32(docs))
+        parts[2].append(np.frombuffer(places, np.uint32))
+        for t, raw in zip(tables, (ids, comps, sizes), strict=True):
+            t.append(np.frombuffer(raw, np.int64))
+        docs += len(tables[0][-1])
+    ids, comps, sizes = (np.concatenate(t) for t in tables)
+    token = np.concatenate(parts[0])
+    order = np.argsort(token, kind="stable")
     token = token[order]
     starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     lengths = np.diff(np.append(starts, len(token)))
-    group, comp, size, place = group[order], comp[order], size[order], place[order]
+    own, place = np.concatenate(parts[1])[order], np.concatenate(parts[2])[order].astype(np.int64)
+    del parts, order, token
+    comp = comps[own]
     mixed_runs = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
     starts, lengths = starts[mixed_runs], lengths[mixed_runs]
     found, waiting = np.zeros((0, 2), np.int64), []
@@ -383,13 +394,15 @@ def token_pairs(table, percent: int):
     def merged():
         return np.unique(np.concatenate([found, *waiting]), axis=0)
 
-    for i, j in run_pairs(token, comp, starts, lengths):
-        need = least_overlap(size[i], size[j], percent)
-        most = 1 + np.minimum(size[i] - place[i], size[j] - place[j]) - 1
-        near = np.minimum(size[i], size[j]) * 100 >= np.maximum(size[i], size[j]) * percent
-        keep = (comp[i] != comp[j]) & near & (most >= need)
+    for i, j in run_pairs(comp, starts, lengths):
+        some = comp[i] != comp[j]
+        i, j = i[some], j[some]
+        one, two = sizes[own[i]], sizes[own[j]]
+        most = np.minimum(one - place[i], two - place[j])  # if this is the first shingle they share
+        near = np.minimum(one, two) * 100 >= np.maximum(one, two) * percent
+        keep = near & (most >= least_overlap(one, two, percent))
         if keep.any():
-            a, b = group[i[keep]], group[j[keep]]
+            a, b = ids[own[i[keep]]], ids[own[j[keep]]]
             waiting.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
             if sum(map(len, waiting)) > 500_000:
                 found, waiting = merged(), []
@@ -444,7 +457,7 @@ def jaccard_components(
     )
     classes = scratch.table(classes)
     chosen = classes.select(F.col("rep").alias("_rep"))
-    reps = full.select("doc_id", "n", "stars").join(chosen, F.col("doc_id") == F.col("_rep"), "left_semi")
+    reps = full.select("doc_id", "n", "rare", "stars").join(chosen, F.col("doc_id") == F.col("_rep"), "left_semi")
     pairs = scratch.table(sifted(profile, star_pairs(reps, percent), percent))
     first = components(verified(texts, pairs, levels, size, percent, scratch), scratch)
 
