@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import exact_dedup, jaccard_join, language_id, mixing, packing
+from veritally.llm import exact_dedup, jaccard_join, language_id, mixing, packing, token_counts, topk_search
 from veritally.llm.common import LOWER, UPPER, Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,31 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PART
   doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
 FROM d
 """
+
+
+@query
+def op6_topk_search(spark: SparkSession, folder: str) -> DataFrame:
+    with Scratch(spark, "topk") as scratch:
+        return scratch.result(topk_search.top_k(read(spark, folder, "embeddings"), scratch))
+
+
+ORACLE["op6_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), r AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score FROM s
+)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+
+@query
+def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    with Scratch(spark, "tokens") as scratch:
+        return scratch.result(token_counts.document_tokens(read(spark, folder, "documents"), scratch))
