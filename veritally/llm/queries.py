@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veritally.llm import exact_dedup, jaccard_join, language_id, mixing, packing, token_counts, topk_search
+from veritally.llm import (
+    exact_dedup,
+    html_extraction,
+    jaccard_join,
+    language_id,
+    mixing,
+    packing,
+    token_counts,
+    topk_search,
+)
 from veritally.llm.common import LOWER, UPPER, Scratch, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +91,8 @@ SELECT * FROM r WHERE rank <= 20
 def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     with Scratch(spark, "tokens") as scratch:
         return scratch.result(token_counts.document_tokens(read(spark, folder, "documents"), scratch))
+
+
+@query
+def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extraction.extract(read(spark, folder, "pages"))
