@@ -220,8 +220,9 @@ def predict_batches(batches, weights, names):
         label = [names[k] if has else UNKNOWN for k, has in zip(which, letters, strict=True)]
         value = np.where(letters, np.concatenate(score) if score else [], 0.0)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(3), pa.array(label, pa.string()), pa.array(value, pa.float64())],
-            names=["doc_id", "held_out", "lang_pred", "score"],
+            [batch.column(0), batch.column(3), pa.array(label, pa.string()), pa.array(value, pa.float64())]
+            + batch.columns[4:],
+            names=["doc_id", "held_out", "lang_pred", "score", *batch.schema.names[4:]],
         )
 
 
@@ -292,9 +293,17 @@ def fit(
     return LanguageModel(names, train(symbols[order], truth[order], len(names)))
 
 
-def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def identify(
+    docs: DataFrame,
+    model: LanguageModel | None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, lang_pred, score.
 
+    With ``carry``, also a struct of that name with these columns as they are.
+
     ``und`` with score 0 if the text is null or has no letter, or if there is no model. Only the
     text is an input of the prediction, the whole of it. Repeated rows give repeated rows; other
     columns, whatever their names, are not looked at; an empty table gives an empty result.
@@ -306,14 +315,17 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
         text.alias("text"),
         F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"),
         F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"),
+        *([F.struct(*carry).alias("carry")] if carry else []),
     )
+    unknown = ["doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")]
+    empty = rows.select(*unknown, *(["carry"] if carry else []))
     if model is None:
-        return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return empty
     make = functools.partial(predict_batches, weights=model.weights, names=model.names)
-    return rows.mapInArrow(make, "doc_id long, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(make, empty.schema)
 
 
-def train_and_identify(docs: DataFrame) -> DataFrame:
+def train_and_identify(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """``identify`` with a network trained on the rows that are not held out."""
     learn = docs.filter(~F.coalesce(held_out("doc_id"), F.lit(True)))
-    return identify(docs, fit(learn))
+    return identify(docs, fit(learn), carry=carry)

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veritally.llm.common import WORD, Scratch
+from veritally.llm.common import WORD, Scratch, bounded_batches
 
 BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
@@ -238,3 +238,51 @@ def mix_sources(
     numbers = spark.range(0, shards if sum(counts) else 0, 1, min(shards, 10_000))
     slots = numbers.mapInArrow(make, "shard long, slot long, source_no int, block long")
     return Mix(placed, slots, block_words)
+
+
+def cut_words(batches):
+    """Rows of a document for every time that it is taken: the words of the blocks drawn that often."""
+    import re
+
+    import pyarrow as pa
+
+    word = re.compile(WORD)
+    for batch in batches:
+        out = {name: [] for name in ("doc_id", "text", "lang", "source", "n_chars")}
+        for row in batch.to_pylist():
+            spans = sorted((s["from_word"], s["words"], s["copies"]) for s in row["spans"])
+            places = [m.span() for m in word.finditer(row["text"])]
+            for time in range(max(c for _, _, c in spans)):
+                runs: list[list[int]] = []
+                for first, words, copies in spans:
+                    if copies > time:
+                        if runs and runs[-1][1] == first:
+                            runs[-1][1] += words
+                        else:
+                            runs.append([first, first + words])
+                text = "\n".join(row["text"][places[a][0] : places[b - 1][1]] for a, b in runs)
+                for name, value in (("doc_id", row["doc_id"]), ("text", text), ("lang", row["lang"]), ("source", row["source"])):
+                    out[name].append(value)
+                out["n_chars"].append(len(text))
+        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(out.values(), kinds, strict=True)], names=list(out)
+        )
+
+
+def mixed_documents(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
+    """doc_id, text, lang, source, n_chars: the words of the mix, as parts of their documents.
+
+    A document whose blocks are drawn up to n times gives n rows with its id; the i-th has the words
+    of the blocks drawn at least i times, runs of them joined by a line feed. ``docs`` has those
+    columns; of rows with one id the least text is used, so that ids are unique.
+    """
+    bounded_batches(docs.sparkSession)
+    least = F.min(F.struct("text", "source", "lang")).alias("_least")
+    once = docs.groupBy("doc_id").agg(least).select("doc_id", "_least.*")
+    plan = mix_sources(once.select("doc_id", "text", "source"), scratch, **options)
+    span = F.struct("from_word", "words", "copies")
+    spans = plan.taken_pieces().groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(span).alias("spans"))
+    rows = once.select("doc_id", "text", "lang", "source").hint("merge").join(spans, F.col("doc_id").eqNullSafe(F.col("_id")))
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    return rows.select("doc_id", "text", "lang", "source", "spans").mapInArrow(cut_words, kind)

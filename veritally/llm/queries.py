@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veritally.llm import (
     exact_dedup,
     html_extraction,
     jaccard_join,
     language_id,
+    license_scan,
     mixing,
     packing,
+    suffix_dedup,
     token_counts,
     topk_search,
 )
@@ -96,3 +99,23 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extraction.extract(read(spark, folder, "pages"))
+
+
+@query
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    with Scratch(spark, "suffixes") as scratch:
+        return scratch.result(suffix_dedup.repeated_passages(read(spark, folder, "documents"), scratch))
+
+
+def with_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files of a tree: source, then two levels by id; one of 64 is its folder's licence file."""
+    number = F.col("doc_id")
+    name = F.when(number % 64 == 0, F.lit("LICENSE")).otherwise(number.cast("string"))
+    folders = [F.coalesce("source", F.lit("none")), F.floor(number / 4096), F.floor(number / 64)]
+    return docs.select("doc_id", "text", F.concat_ws("/", *folders, name).alias("path"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    with Scratch(spark, "licenses") as scratch:
+        return scratch.result(license_scan.scan_licenses(with_paths(read(spark, folder, "documents")), scratch))
