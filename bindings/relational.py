@@ -446,11 +446,11 @@ def log_natural(t):
 
 
 @query(
-    """SELECT event_id, round(coalesce(ln(nullif(value - 50, 0)), 0), 9) AS logged, value - 50 AS plain
-       FROM events WHERE value >= 50"""
+    """SELECT event_id, round(coalesce(CASE WHEN value > 50 THEN ln(value - 50) END, 0), 9) AS logged,
+       value - 50 AS plain FROM events"""
 )
 def metric_values(t):
-    events = t("events").filter("value >= 50").withColumn("v", F.col("value") - 50)
+    events = t("events").withColumn("v", F.col("value") - 50)
     return events.select(
         "event_id",
         F.round(scalar.metric_value("v", True), 9).alias("logged"),

@@ -35,12 +35,13 @@ def stream_to_silver(t):
     return stored.select("patient_id", "mbi")
 
 
-@query("SELECT strftime(o_orderdate, '%Y') AS transaction_time, count(*) AS records FROM orders GROUP BY 1")
+@query("SELECT strftime(o_orderdate, '%Y') || '-11-12T12:10:07.068Z' AS transaction_time, count(*) AS records FROM orders GROUP BY 1")
 def stream_landing_times(t):
     """The folder of a record tells when it landed."""
     root = scratch_path(t.spark, "stream")
     json = lines(coverages(t)).withColumn(
-        "transaction_time", F.substring(F.get_json_object("value", "$.meta.lastUpdated"), 1, 4)
+        "transaction_time",
+        F.concat(F.substring(F.get_json_object("value", "$.meta.lastUpdated"), 1, 4), F.lit("-11-12T12:10:07.068Z")),
     )
     # One write lands all snapshots, each in its own folder.
     json.write.partitionBy("transaction_time").text(f"{root}/bronze/Coverage")

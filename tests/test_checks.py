@@ -227,10 +227,10 @@ def test_empty_tables(spark):
 def test_period_alignment(spark):
     days = spark.createDataFrame([("2024-01-10",), ("2024-02-20",), ("2024-04-05",)], "d string")
     gaps = REGISTRY["expect_row_values_to_have_data_for_every_n_datepart"]
-    months = gaps(days, "cast(d as date)", "month")
+    months = gaps(days, "cast(d as date)", "month", align=True)
     assert [str(r[0].date()) for r in months.collect()] == ["2024-03-01"]
     # Without alignment the spine starts on the 10th and meets no truncated month.
-    assert gaps(days, "cast(d as date)", "month", align=False).count() == 3
+    assert gaps(days, "cast(d as date)", "month").count() == 3
 
 
 def test_suite(tables):
@@ -266,3 +266,25 @@ def test_suite_shares_one_scan(spark):
     plan = run_suite(lines, specs)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") == 1
     assert "ReadSchema: struct<l_quantity:double,l_discount:double,l_tax:double>" in plan
+
+
+def test_sets_are_compared_as_values(spark):
+    """Members written differently are one value, however long the set is; long lists plan at once."""
+    numbers = spark.createDataFrame([(1,), (2,), (None,)], "v int")
+    outside, inside = REGISTRY["expect_column_values_to_be_in_set"], REGISTRY["expect_column_values_to_not_be_in_set"]
+    assert inside(numbers, "v", [1, "1.0"], quote_values=False).count() == 2
+    assert inside(numbers, "v", ["1", "01"]).count() == 2
+    assert outside(numbers, "v", [1, *range(5, 9000)], quote_values=False).count() == 2
+    assert outside(numbers, "v", [str(k) for k in range(1, 9000)]).count() == 1
+
+
+def test_long_lists_of_patterns(spark):
+    texts = spark.createDataFrame([("a1",), ("zz",)], "v string")
+    found = REGISTRY["expect_column_values_to_match_regex_list"](texts, "v", [f"a{k}" for k in range(2000)])
+    assert found.count() == 1
+
+
+def test_type_names(spark):
+    table = spark.createDataFrame([], "t tinyint, b bigint, d decimal(10,2)")
+    typed = REGISTRY["expect_column_values_to_be_of_type"]
+    assert [typed(table, c, k).count() for c, k in (("t", "int8"), ("b", "int8"), ("d", "numeric"))] == [1, 0, 0]

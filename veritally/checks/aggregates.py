@@ -16,7 +16,7 @@ from veritally.checks.kernel import (
     register,
     select_rows,
 )
-from veritally.checks.values import _values, outside_set, set_frame, set_members
+from veritally.checks.values import _values, outside_set, set_frame
 from veritally.operators.quantile import BUFFER_ROWS, percentile_by
 
 
@@ -81,10 +81,11 @@ def expect_column_distinct_values_to_contain_set(
 ) -> DataFrame:
     """Members of the set that the column never takes."""
     # Only the values that are members matter, so the rows shrink to the set before they move.
-    wanted = F.col("value_field").isin(*set_members(value_set, quote_values))
-    values = _values(df, column_name, row_condition).filter(wanted).distinct()
-    values = values.withColumnRenamed("value_field", "found")
     members = set_frame(df, value_set, quote_values).distinct()
+    wanted = members.withColumnRenamed("value_field", "member")
+    values = _values(df, column_name, row_condition)
+    values = values.join(wanted, F.col("value_field") == F.col("member"), "left_semi").distinct()
+    values = values.withColumnRenamed("value_field", "found")
     return members.join(values, F.col("value_field") == F.col("found"), "left_anti")
 
 
@@ -225,7 +226,7 @@ def expect_column_most_common_value_to_be_in_set(
     if not quote_values:
         value = value.cast(data_type)
     rows = select_rows(df, row_condition).select(value.alias("value_field"))
-    members = set_members(value_set, quote_values)
+    members = [F.lit(str(v)) if quote_values else F.expr(str(v)) for v in value_set]
     if not quote_values:
         members = [m.cast(data_type) for m in members]
     return ranked_value(rows, top_n).filter(~F.col("value_field").isin(*members))

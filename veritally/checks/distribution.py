@@ -114,12 +114,12 @@ def expect_row_values_to_have_data_for_every_n_datepart(
     exclusion_condition: str | None = None,
     test_start_date: str | None = None,
     test_end_date: str | None = None,
-    align: bool = True,
+    align: bool = False,
 ) -> DataFrame:
     """Periods without any row, from the first date up to, not including, the last one.
 
-    With ``interval`` periods are taken n at a time from the start. ``align`` starts the spine at a
-    period boundary; without it a week or month spine starts on the first date itself.
+    With ``interval`` periods are taken n at a time from the start. The spine starts on
+    the first date itself, which need not be the start of a week or month; ``align`` moves it there.
     """
     name = f"date_{date_part}"
     stamp = F.expr(date_col).cast("timestamp_ntz")

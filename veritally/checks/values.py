@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -19,7 +20,7 @@ from veritally.operators.ordered import (
 # Other names by which the types of Spark are known.
 TYPE_NAMES = {
     "STRING": ("VARCHAR", "TEXT"),
-    "TINYINT": ("BYTE", "INT8"),
+    "TINYINT": ("BYTE",),
     "SMALLINT": ("SHORT", "INT2", "INT16"),
     "INT": ("INTEGER", "INT4", "INT32"),
     "BIGINT": ("LONG", "INT64", "INT8"),
@@ -27,12 +28,10 @@ TYPE_NAMES = {
     "DOUBLE": ("FLOAT64", "DOUBLE PRECISION"),
     "BOOLEAN": ("BOOL",),
     "TIMESTAMP": ("TIMESTAMP_LTZ", "TIMESTAMP WITH TIME ZONE"),
+    "DECIMAL": ("NUMERIC", "DEC"),
     "TIMESTAMP_NTZ": ("DATETIME", "TIMESTAMP WITHOUT TIME ZONE"),
 }
 
-# Longest value list tested in place; a longer one is joined.
-INLINE_VALUES = 10_000
-
 
 @register
 def expect_column_values_to_be_unique(
@@ -60,7 +59,7 @@ def expect_column_values_to_be_in_type_list(
     bad = []
     for field in df.schema:
         name = field.dataType.simpleString().upper()
-        names = {name, name.split("(")[0], *TYPE_NAMES.get(name, ())}
+        names = {name, name.split("(")[0], *TYPE_NAMES.get(name.split("(")[0], ())}
         if field.name.upper() == column_name.upper() and not names & wanted:
             bad.append((field.name.upper(), name))
     schema = "relation_column STRING, relation_column_type STRING"
@@ -103,16 +102,15 @@ def expect_column_values_to_have_consistent_casing(
     return counts.filter(F.col("set_count") != F.col("set_count_case_insensitive"))
 
 
-def set_members(value_set: Sequence, quote_values: bool) -> list[Column]:
-    """Quoted members are text literals, unquoted ones SQL expressions."""
-    return [F.lit(str(v)) if quote_values else F.expr(str(v)) for v in value_set]
-
-
 def set_frame(df: DataFrame, value_set: Sequence, quote_values: bool) -> DataFrame:
-    """The members as a column; its size is that of the argument, so Spark plans with it."""
+    """The members as a column: quoted ones are text, unquoted ones SQL expressions.
+
+    Text travels as one literal, so that a long list costs one call and Spark knows its size.
+    """
     spark = df.sparkSession
-    if quote_values:
-        return spark.createDataFrame([(str(v),) for v in value_set], "value_field STRING")
+    if quote_values or not value_set:
+        members = F.from_json(F.lit(json.dumps([str(v) for v in value_set])), "array<string>")
+        return spark.range(1).select(F.explode(members).alias("value_field"))
     rows = ", ".join(f"({v})" for v in value_set)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS members(value_field)")
 
@@ -123,9 +121,6 @@ def _values(df: DataFrame, column_name: str, row_condition: str | None) -> DataF
 
 def outside_set(values: DataFrame, value_set: Sequence, quote_values: bool) -> DataFrame:
     """Values that are not in the set, nulls included."""
-    if len(value_set) <= INLINE_VALUES:
-        inside = F.col("value_field").isin(*set_members(value_set, quote_values))
-        return values.filter(~F.coalesce(inside, F.lit(False)))
     members = set_frame(values, value_set, quote_values).withColumnRenamed("value_field", "member")
     return values.join(members, F.col("value_field") == F.col("member"), "left_anti")
 
@@ -152,8 +147,6 @@ def expect_column_values_to_not_be_in_set(
 ) -> DataFrame:
     """Values inside the set, once for every time the set names them."""
     values = _values(df, column_name, row_condition)
-    if len(set(map(str, value_set))) == len(value_set) <= INLINE_VALUES:
-        return values.filter(F.col("value_field").isin(*set_members(value_set, quote_values)))
     members = set_frame(df, value_set, quote_values).withColumnRenamed("value_field", "member")
     return values.join(members, F.col("value_field") == F.col("member")).select("value_field")
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -67,12 +66,23 @@ def regexp_instr(
     return F.when(rest.rlike(ahead), F.length(before) + position).when(rest.isNotNull(), 0)
 
 
+def _tree(conditions: Sequence[Column], join: Callable[[Column, Column], Column]) -> Column:
+    """All conditions joined in a balanced tree: a chain as deep as a long list overflows the stack."""
+    level = list(conditions)
+    if not level:
+        raise ValueError("at least one condition is needed")
+    while len(level) > 1:
+        paired = [join(a, b) for a, b in zip(level[::2], level[1::2], strict=False)]
+        level = paired + level[2 * len(paired) :]
+    return level[0]
+
+
 def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+    return _tree(conditions, lambda a, b: a | b)
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    return _tree(conditions, lambda a, b: a & b)
 
 
 def keep_row(ignore_row_if: str, columns: Sequence[Column]) -> Column:

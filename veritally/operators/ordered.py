@@ -97,6 +97,7 @@ def running_sum(
     order), summed up inside each range on top of the ranges before it, and joined back.
     """
     keys = list(group_by)
+    kind = df.agg(F.sum(value)).schema[0].dataType  # of a single sum, also where sums are added up
     direction = F.col(order).desc() if descending else F.col(order).asc()
     if largest_group(df, keys) <= group_rows:
         return df.withColumn(alias, F.sum(value).over(W.partitionBy(*keys).orderBy(direction)))
@@ -123,7 +124,7 @@ def running_sum(
         F.col("__before") + F.coalesce("__inside", F.lit(0))
     )
     totals = ranged.withColumn("__inside", inside).join(starts, same_range)
-    totals = totals.select(*groups, place, total.alias(alias))
+    totals = totals.select(*groups, place, total.cast(kind).alias(alias))
     same_row = F.lit(True)
     for c, n in names.items():
         same_row = same_row & df[c].eqNullSafe(totals[n])

@@ -49,12 +49,25 @@ def read_ndjson(
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             continue
-        if records.inputFiles():
+        if has_files(spark, path):
             return records
     logger.warning("no %s records landed for %s", resource, transaction_time)
     return None
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether the folder holds a landed file; the listing stops at the first one."""
+    java = spark._jvm.org.apache.hadoop.fs
+    at = java.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, wanted = system.listStatusIterator(at), java.GlobFilter(FILE_PATTERN)
+    while found.hasNext():
+        entry = found.next()
+        if entry.isFile() and wanted.accept(entry.getPath()):
+            return True
+    return False
+
+
 def land_ndjson(
     lines: DataFrame, root: str, resource: str, transaction_time: str, lines_per_file: int = 0
 ) -> str:

@@ -100,6 +100,11 @@ def write_version(df: DataFrame, path: str, version: int) -> DataFrame:
 
 
 def with_landing_time(df: DataFrame) -> DataFrame:
-    """The transaction time of each record, taken from the folder it landed in."""
+    """The transaction time of each record, taken from the folder it landed in.
+
+    Folder names escape characters such as the colon, and file paths escape folder names again.
+    """
     folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+    for _ in range(2):
+        folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
     return df.withColumn("transaction_time", folder)
