@@ -40,7 +40,7 @@ from veritally.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
-CELL_BITS = 20  # of the counting sketch: 2**20 counters
+CELL_BITS = 21  # of the counting sketch: 2**21 counters
 CHUNKS = 16
 STARS = 6
 BUCKET_POSTINGS = 3_000_000
@@ -137,8 +137,8 @@ def sum_cells(batches):
 def frequency_levels(texts: DataFrame, size: int) -> np.ndarray:
     """Level of every cell: 0 up to twice the mean count, then one more for every doubling.
 
-    The sketch counts all shingles of all texts. It has 2**20 cells at every size of the input,
-    so the driver holds 4 MiB. Only the order of shingles depends on it, never which pairs link.
+    The sketch counts all shingles of all texts. It has 2**21 cells at every size of the input,
+    so the driver holds 8 MiB. Only the order of shingles depends on it, never which pairs link.
     """
     kind = "chunk int, cells binary"
     parts = texts.select("text").mapInArrow(functools.partial(count_cells, size=size), kind)
