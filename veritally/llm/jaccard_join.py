@@ -9,8 +9,8 @@
    the original, and any one. This links nearly all of such a group at a cost linear in its size.
 4. The join proper: representatives with equal prefix, size and component are one group. Groups
    that share a prefix shingle, differ in component and pass the length and position filters are
-   candidates; they are expanded to their members, sifted by parity signatures, which bound the
-   difference of two sets from below, and verified on whole sets.
+   sifted where they meet by parity signatures, which bound the difference of two sets from below.
+   Those left are expanded to their members, sifted by longer signatures, and verified on whole sets.
 
 Step 3 loses nothing: step 4 considers every pair of different components. All components follow
 from the links of both. Hashes of 58 bits stand for shingles.
@@ -43,7 +43,9 @@ PERCENT = 75
 CELL_BITS = 21  # of the counting sketch: 2**21 counters
 CHUNKS = 16
 STARS = 6
-BUCKET_POSTINGS = 3_000_000
+BUCKET_POSTINGS = 1_000_000
+SIGN_BYTES = 32  # of a signature in a bucket
+PART = 1 << 18  # pairs looked at together
 LONG_RUN = 64
 ID_BITS = 1 << 24
 
@@ -181,6 +183,26 @@ def least_difference(x: np.ndarray, y: np.ndarray) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
+def folded(sign: bytes, width: int) -> bytes:
+    """A signature at ``width`` bytes, a power of two no longer than it."""
+    return np.bitwise_xor.reduce(np.frombuffer(sign, np.uint8).reshape(-1, width), axis=0).tobytes()
+
+
+def least_differences(words: np.ndarray, starts: np.ndarray, wide: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """``least_difference`` of many pairs of signatures that lie end to end in ``words``."""
+    out = np.zeros(len(i), np.int64)
+    both = wide[i] * (int(wide.max(initial=0)) + 1) + wide[j]
+    for kind in np.unique(both):
+        rows = np.flatnonzero(both == kind)
+        narrow = min(wide[i[rows[0]]], wide[j[rows[0]]])
+        sides = []
+        for end in (i[rows], j[rows]):
+            some = words[starts[end][:, None] + np.arange(wide[end[0]])]
+            sides.append(np.bitwise_xor.reduce(some.reshape(len(rows), -1, narrow), axis=1))
+        out[rows] = np.bitwise_count(sides[0] ^ sides[1]).sum(axis=1)
+    return out
+
+
 def profiles(batches, levels, size: int, percent: int):
     """Per text: size of its set, rare shingles, hashes of the set and of its prefix, minima, prefix, signature."""
     import pyarrow as pa
@@ -317,7 +339,10 @@ def star_pairs(reps: DataFrame, percent: int) -> DataFrame:
 
 
 def postings(batches, buckets: int):
-    """Prefix shingles of every batch of groups, packed by bucket."""
+    """Prefix shingles of every batch of groups, packed by bucket.
+
+    A group's signature goes along to each of its buckets, in ``SIGN_BYTES`` at most.
+    """
     import pyarrow as pa
 
     for batch in batches:
@@ -327,6 +352,8 @@ def postings(batches, buckets: int):
         if not length.sum():
             continue
         flat = np.concatenate(tokens)
+        signs = [folded(s, max(8, min(len(s) // 2, SIGN_BYTES))) for s in batch.column(4).to_pylist()]
+        wide = np.array([len(s) // 8 for s in signs], np.uint32)
         owner = np.repeat(np.arange(len(length)), length)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
         bucket = (mixed(flat) % np.uint64(buckets)).astype(np.int64)
@@ -337,41 +364,54 @@ def postings(batches, buckets: int):
             some = order[cuts[k] : cuts[k + 1]]
             docs, index = np.unique(owner[some], return_inverse=True)
             made = (ids[docs], comps[docs], sizes[docs], flat[some], index.astype(np.uint32), place[some].astype(np.uint32))
-            rows.append((int(k), *(m.tobytes() for m in made)))
-        names = ["bucket", "ids", "comps", "sizes", "tokens", "owners", "places"]
-        kinds = [pa.int64()] + [pa.binary()] * 6
+            signed = b"".join([signs[d] for d in docs])
+            rows.append((int(k), *(m.tobytes() for m in made), wide[docs].tobytes(), signed))
+        names = ["bucket", "ids", "comps", "sizes", "tokens", "owners", "places", "wide", "signs"]
+        kinds = [pa.int64()] + [pa.binary()] * 8
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
         )
 
 
-POSTINGS = "bucket long, ids binary, comps binary, sizes binary, tokens binary, owners binary, places binary"
+POSTINGS = (
+    "bucket long, ids binary, comps binary, sizes binary, tokens binary, owners binary, places binary, "
+    "wide binary, signs binary"
+)
 
 
 def run_pairs(comp, starts, lengths):
-    """Index pairs of the same token and different components, in parts."""
+    """Index pairs of the same token and different components, at most ``PART`` at a time."""
     short = lengths <= LONG_RUN
     for step in range(1, int(lengths[short].max(initial=0))):
         runs = short & (lengths > step)
-        at = np.repeat(starts[runs], lengths[runs] - step)
-        inner = lengths[runs] - step
-        at = at + np.arange(len(at)) - np.repeat(np.cumsum(inner) - inner, inner)
-        yield at, at + step
+        first, inner = starts[runs], lengths[runs] - step
+        ends = np.cumsum(inner)
+        for low in range(0, int(ends[-1]), PART):
+            at = np.arange(low, min(low + PART, int(ends[-1])))
+            run = np.searchsorted(ends, at, side="right")
+            at = first[run] + at - (ends[run] - inner[run])
+            yield at, at + step
     for start, length in zip(starts[~short], lengths[~short], strict=True):
         # The rows of the largest component need no comparing with each other.
         rows = np.arange(start, start + length)
         values, inverse, counts = np.unique(comp[rows], return_inverse=True, return_counts=True)
         for i in rows[inverse != counts.argmax()]:
-            yield np.full(length, i), rows
+            for low in range(0, length, PART):
+                some = rows[low : low + PART]
+                yield np.full(len(some), i), some
 
 
 def token_pairs(table, percent: int):
-    """Candidate pairs of groups of one bucket, each once."""
+    """Candidate pairs of groups of one bucket that their signatures do not rule out, each once."""
     import pyarrow as pa
 
-    parts, tables, docs = [[], [], []], [[], [], []], 0
+    parts, tables, signs, wide, docs = [[], [], []], [[], [], []], [], [], 0
     for row in range(table.num_rows):
-        ids, comps, sizes, tokens, owners, places = (table.column(i + 1)[row].as_buffer() for i in range(6))
+        ids, comps, sizes, tokens, owners, places, widths, signed = (
+            table.column(i + 1)[row].as_buffer() for i in range(8)
+        )
+        wide.append(np.frombuffer(widths, np.uint32))
+        signs.append(np.frombuffer(signed, np.uint64))
         parts[0].append(np.frombuffer(tokens, np.uint64))
         parts[1].append(np.frombuffer(owners, np.uint32) + np.uint32(docs))
         parts[2].append(np.frombuffer(places, np.uint32))
@@ -379,6 +419,8 @@ def token_pairs(table, percent: int):
             t.append(np.frombuffer(raw, np.int64))
         docs += len(tables[0][-1])
     ids, comps, sizes = (np.concatenate(t) for t in tables)
+    words, wide = np.concatenate(signs), np.concatenate(wide).astype(np.int64)
+    begins = np.cumsum(wide) - wide
     token = np.concatenate(parts[0])
     order = np.argsort(token, kind="stable")
     token = token[order]
@@ -389,10 +431,15 @@ def token_pairs(table, percent: int):
     comp = comps[own]
     mixed_runs = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
     starts, lengths = starts[mixed_runs], lengths[mixed_runs]
-    found, waiting = np.zeros((0, 2), np.int64), []
+    found, waiting = np.zeros(0, np.int64), []
 
-    def merged():
-        return np.unique(np.concatenate([found, *waiting]), axis=0)
+    def sift():
+        new, passed = np.unique(np.concatenate(waiting)), [found]
+        for low in range(0, len(new), PART):
+            i, j = np.divmod(new[low : low + PART], docs)
+            room = sizes[i] + sizes[j] - 2 * least_overlap(sizes[i], sizes[j], percent)
+            passed.append(new[low : low + PART][least_differences(words, begins, wide, i, j) <= room])
+        return np.unique(np.concatenate(passed))
 
     for i, j in run_pairs(comp, starts, lengths):
         some = comp[i] != comp[j]
@@ -402,12 +449,13 @@ def token_pairs(table, percent: int):
         near = np.minimum(one, two) * 100 >= np.maximum(one, two) * percent
         keep = near & (most >= least_overlap(one, two, percent))
         if keep.any():
-            a, b = ids[own[i[keep]]], ids[own[j[keep]]]
-            waiting.append(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1))
-            if sum(map(len, waiting)) > 500_000:
-                found, waiting = merged(), []
-    found = merged() if waiting else found
-    return pa.table({"a": pa.array(found[:, 0]), "b": pa.array(found[:, 1])})
+            a, b = own[i[keep]].astype(np.int64), own[j[keep]].astype(np.int64)
+            waiting.append(np.minimum(a, b) * docs + np.maximum(a, b))
+            if sum(map(len, waiting)) > 1_000_000:
+                found, waiting = sift(), []
+    found = sift() if waiting else found
+    a, b = ids[found // max(docs, 1)], ids[found % max(docs, 1)]
+    return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
 
 def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
@@ -417,9 +465,9 @@ def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Sc
     """
     total = profile.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     buckets = max(1, math.ceil(total / 8 / BUCKET_POSTINGS))
-    heads = profile.select("doc_id", "n", "prefix").join(groups.hint("merge"), F.col("doc_id") == F.col("gid"))
+    heads = profile.select("doc_id", "n", "prefix", "signature").join(groups.hint("merge"), F.col("doc_id") == F.col("gid"))
     make = functools.partial(postings, buckets=buckets)
-    packed = heads.select("gid", "comp", "n", "prefix").mapInArrow(make, POSTINGS)
+    packed = heads.select("gid", "comp", "n", "prefix", "signature").mapInArrow(make, POSTINGS)
 
     def join(table):
         return token_pairs(table, percent)
