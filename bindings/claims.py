@@ -6,6 +6,8 @@ with two diagnoses. Queries of the sources and streams write these records as JS
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,6 @@ from bindings.base import Tables, query, shared
 from veritally.functions.calendar import in_utc
 from veritally.functions.nested import json_scalar, strip_prefix
 from veritally.operators import flatten as fl
-from veritally.operators.spread import spread
 from veritally.plans import dashboards, intermediate, marts, staging
 from veritally.sources.schemas import DIAGNOSES, ITEMS, RESOURCES
 
@@ -167,7 +168,6 @@ TYPED = {"diagnosis": DIAGNOSES, "item": ITEMS}
 
 def records(df: DataFrame, resource: str, fields: dict[str, str]) -> DataFrame:
     """The rows as nested records of a resource, with every field of its schema."""
-    df = spread(df)
     kinds = {f.name: TYPED.get(f.name, f.dataType).simpleString() for f in RESOURCES[resource]}
     return df.selectExpr(*[f"cast({fields.get(n, 'null')} as {k}) as `{n}`" for n, k in kinds.items()])
 
@@ -455,11 +455,11 @@ def _stg_eob(t):
 )
 def load_stamp(t):
     fixed = staging.stage(t("orders"), {}, loaded_at=LOADED_AT)
-    live = staging.stage(fixed.drop("loaded_at"), {}).withColumnRenamed("loaded_at", "now")
-    both = live.withColumn("loaded_at", F.lit(LOADED_AT).cast("timestamp"))
-    later = F.count_if(F.col("now") > F.current_timestamp()).cast("int")
-    grouped = both.groupBy("o_orderstatus").agg(
-        F.count(F.lit(1)).alias("orders"), F.max("loaded_at").alias("loaded_at"), later.alias("stamped_later")
+    started = F.lit(datetime.now(timezone.utc))
+    live = staging.stage(fixed.withColumnRenamed("loaded_at", "fixed"), {})
+    stray = F.count_if(~F.col("loaded_at").between(started, F.current_timestamp())).cast("int")
+    grouped = live.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("orders"), F.max("fixed").alias("loaded_at"), stray.alias("stamped_later")
     )
     return wall_clock(grouped, "loaded_at")
 

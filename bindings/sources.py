@@ -16,7 +16,7 @@ from bindings.claims import (
     wall_clock,
 )
 from veritally.operators.flatten import flatten_coverage, flatten_eob, flatten_patient
-from veritally.plans.build import build, dashboard_queries
+from veritally.plans.build import build, build_increment, dashboard_queries
 from veritally.plans.dashboards import duplicate_multiplicity
 from veritally.session import scratch_path
 from veritally.sources import landing, tables, watermark
@@ -131,6 +131,21 @@ def build_from_landing(t):
     return wall_clock(dashboard_queries(models)["claims_by_type"])
 
 
+@query(CLAIMS_BY_TYPE_SQL)
+def build_in_increments(t):
+    """A first snapshot, then the claims that came later, merged by the watermark: the marts of all of them."""
+    root = scratch_path(t.spark, "increments")
+    early = F.crc32(F.col("id").cast("string")) % 2 == 0
+    parts = {"Patient": patients(t), "Coverage": coverages(t), "ExplanationOfBenefit": eobs(t).filter(early)}
+    for resource, nested in parts.items():
+        landing.land_ndjson(lines(nested), f"{root}/bronze", resource, TIME)
+    folders = (f"{root}/bronze", f"{root}/silver", f"{root}/marts")
+    build_increment(t.spark, *folders, TIME)
+    later = "2025-11-13T12:10:07.068Z"
+    landing.land_ndjson(lines(eobs(t).filter(~early)), f"{root}/bronze", "ExplanationOfBenefit", later)
+    return wall_clock(dashboard_queries(build_increment(t.spark, *folders, later))["claims_by_type"])
+
+
 @query(
     """SELECT 'string' AS period_start_type, 'string' AS dual_eligible_type, count(*) AS records,
        CAST(0 AS BIGINT) AS period_starts, count(*) FILTER (WHERE o_totalprice > 200000) AS dual_eligibles

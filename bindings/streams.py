@@ -35,6 +35,21 @@ def stream_to_silver(t):
     return stored.select("patient_id", "mbi")
 
 
+@query("SELECT CAST(c_custkey AS VARCHAR) AS patient_id, c_name AS mbi FROM customer")
+def stream_relanded(t):
+    """A snapshot that lands twice, and is streamed after each landing, counts once."""
+    root = scratch_path(t.spark, "stream")
+    for _ in range(2):
+        land_ndjson(lines(patients(t)), f"{root}/bronze", "Patient", "2024-01-01")
+        _run(
+            increments.stream_resource(
+                t.spark, f"{root}/bronze", "Patient", f"{root}/silver", f"{root}/checkpoint", 2
+            )
+        )
+    stored = increments.read_batches(t.spark, f"{root}/silver/Patient", SILVER_PATIENT, ["patient_id"])
+    return stored.select("patient_id", "mbi")
+
+
 @query("SELECT strftime(o_orderdate, '%Y') || '-11-12T12:10:07.068Z' AS transaction_time, count(*) AS records FROM orders GROUP BY 1")
 def stream_landing_times(t):
     """The folder of a record tells when it landed."""

@@ -4,6 +4,7 @@ import pytest
 
 from veritally.checks import REGISTRY, CheckSpec, run_suite
 from veritally.checks.suite import worst
+from veritally.functions import scalar
 from veritally.functions.scalar import with_flags
 
 DATA = [
@@ -288,3 +289,11 @@ def test_type_names(spark):
     table = spark.createDataFrame([], "t tinyint, b bigint, d decimal(10,2)")
     typed = REGISTRY["expect_column_values_to_be_of_type"]
     assert [typed(table, c, k).count() for c, k in (("t", "int8"), ("b", "int8"), ("d", "numeric"))] == [1, 0, 0]
+
+
+def test_later_matches_keep_back_references(spark, rows):
+    df = spark.createDataFrame([("xaaybb",), ("none",), (None,)], "s string")
+    found = df.select(
+        scalar.regexp_instr("s", r"([ab])\1", occurrence=2), scalar.regexp_instr("s", r"([ab])\1", position=4)
+    )
+    assert rows(found) == [(0, 0), (5, 5), (None, None)]

@@ -14,7 +14,6 @@ from veritally.operators.latest import latest_by_key
 from veritally.operators.membership import not_in
 from veritally.operators.ordered import repeat_rows, running_sum
 from veritally.operators.quantile import percentile_by
-from veritally.operators.spread import spread
 
 SEED = 5
 
@@ -121,12 +120,6 @@ def test_not_in_is_that_of_sql(spark, left, listed):
     assert counted(not_in(rows, "v", members)) == counted(expected)
 
 
-def test_spread_only_moves_narrow_input(spark):
-    narrow, wide = spark.range(100).coalesce(1), spark.range(0, 100, 1, 16)
-    assert spread(narrow, 4).rdd.getNumPartitions() == 4
-    assert spread(wide, 4) is wide
-
-
 def test_filters_and_columns_reach_the_scan(spark):
     lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     found = values.expect_column_values_to_be_between(

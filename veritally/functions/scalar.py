@@ -13,6 +13,8 @@ from veritally.functions.nested import as_column
 # for case-sensitive matching, which is the default.
 INLINE_FLAGS = "ims"
 NEUTRAL_FLAGS = "c"
+# Stands before every match while matches are counted; Unicode keeps it out of text.
+MARK = "\uffff"
 
 
 def log_natural(x: Column | str) -> Column:
@@ -59,11 +61,11 @@ def regexp_instr(
     if position == 1 and occurrence == 1:
         return F.regexp_instr(column, F.lit(with_flags(pattern, flags)))
     rest = F.substring(column, position, F.length(column)) if position > 1 else column
-    one = f"(?:{with_flags(pattern, flags)})"
-    # Group 1 is all text before the n-th match; the atomic group keeps earlier matches leftmost.
-    ahead = rf"\A((?>(?s:.*?){one}){{{occurrence - 1}}}(?s:.*?)){one}"
-    before = F.regexp_extract(rest, ahead, 1)
-    return F.when(rest.rlike(ahead), F.length(before) + position).when(rest.isNotNull(), 0)
+    # The pattern stays as it is, so that its back-references keep their numbers.
+    marked = F.regexp_replace(rest, F.lit(with_flags(pattern, flags)), F.lit(f"{MARK}$0"))
+    before = F.substring_index(marked, MARK, occurrence)
+    found = F.length(marked) - F.length(rest) >= occurrence
+    return F.when(found, F.length(before) - (occurrence - 1) + position).when(rest.isNotNull(), 0)
 
 
 def _tree(conditions: Sequence[Column], join: Callable[[Column, Column], Column]) -> Column:

@@ -7,12 +7,14 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from veritally.operators.flatten import FLATTEN
+from veritally.operators.latest import upsert
 from veritally.plans import dashboards, intermediate, marts, staging
 from veritally.sources import landing, tables, watermark
 from veritally.sources.schemas import SILVER
 
 VIEWS = ("stg_patient", "stg_coverage", "stg_eob", "int_eob_diagnoses", "int_eob_procedures")
 MARTS = ("dim_patient", "fct_claims", "fct_coverage")
+KEYS = {"Patient": "patient_id", "Coverage": "coverage_id", "ExplanationOfBenefit": "eob_id"}
 
 
 def load_silver(
@@ -34,6 +36,28 @@ def load_silver(
     return silver
 
 
+def load_increment(
+    spark: SparkSession, landing_root: str, silver_root: str, since: str, transaction_time: str
+) -> dict[str, DataFrame]:
+    """Silver of a snapshot that landed as changes to the one of ``since``: the latest row of each record.
+
+    A resource that has not landed is carried on as it was.
+    """
+    if since == transaction_time:
+        raise ValueError(f"{transaction_time} is loaded already")
+    silver = {}
+    for resource, flatten in FLATTEN.items():
+        rows = tables.read_snapshots(spark, silver_root, resource, SILVER[resource], since)
+        records = landing.read_ndjson(spark, landing_root, resource, transaction_time)
+        if records is not None:
+            rows = upsert(rows, flatten(records), [KEYS[resource]], "last_updated")
+        tables.write_snapshot(rows, silver_root, resource, transaction_time)
+        silver[resource] = tables.read_snapshots(
+            spark, silver_root, resource, SILVER[resource], transaction_time
+        )
+    return silver
+
+
 def staged(silver: Mapping[str, DataFrame], loaded_at=None) -> dict[str, DataFrame]:
     eob = staging.stg_eob(silver["ExplanationOfBenefit"], loaded_at)
     return {
@@ -90,3 +114,16 @@ def build(
     models = save_models(silver, mart_root)
     watermark.write_watermark(spark, f"{landing_root}/watermark", transaction_time)
     return models
+
+
+def build_increment(
+    spark: SparkSession, landing_root: str, silver_root: str, mart_root: str, transaction_time: str
+) -> dict[str, DataFrame]:
+    """Like ``build``, where only what changed since the watermark has landed; all, without a watermark."""
+    since = watermark.read_watermark(spark, f"{landing_root}/watermark")
+    if since is None:
+        return build(spark, landing_root, silver_root, mart_root, transaction_time)
+    silver = load_increment(spark, landing_root, silver_root, since, transaction_time)
+    models = save_models(silver, mart_root)
+    watermark.write_watermark(spark, f"{landing_root}/watermark", transaction_time)
+    return models

@@ -6,7 +6,6 @@ from collections.abc import Mapping
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SNAPSHOT = "transaction_time"
@@ -38,12 +37,11 @@ def read_snapshots(
     schema: T.StructType,
     transaction_time: str | None = None,
 ) -> DataFrame:
-    """All snapshots of a resource, or one; a named snapshot prunes to its folder."""
+    """All snapshots of a resource, or one; of a named snapshot only its own folder is listed."""
+    if transaction_time is not None:
+        return spark.read.schema(schema).parquet(snapshot_path(root, resource, transaction_time))
     full = T.StructType([*schema.fields, T.StructField(SNAPSHOT, T.StringType())])
-    rows = spark.read.schema(full).parquet(f"{root}/{resource}")
-    if transaction_time is None:
-        return rows
-    return rows.filter(F.col(SNAPSHOT) == transaction_time).drop(SNAPSHOT)
+    return spark.read.schema(full).parquet(f"{root}/{resource}")
 
 
 def load_table(

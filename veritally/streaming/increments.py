@@ -1,18 +1,21 @@
 """Landed records to silver, as they arrive.
 
 Each micro-batch is written to a folder of its own number, replacing what a failed attempt at the
-same batch may have left, so a restart neither loses nor repeats records.
+same batch may have left, so a restart neither loses nor repeats records. A snapshot that lands
+again arrives as new files; reading the batches by key takes the latest row of each record.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from veritally.operators.flatten import FLATTEN
-from veritally.operators.latest import upsert
+from veritally.operators.latest import latest_by_key, upsert
 from veritally.sources.landing import FILE_PATTERN
 from veritally.sources.schemas import RESOURCES
 
@@ -66,10 +69,13 @@ def stream_resource(
     return write_batches(stream, f"{silver_root}/{resource}", checkpoint, FLATTEN[resource])
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Everything the batches wrote."""
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (), order: str = "last_updated"
+) -> DataFrame:
+    """Everything the batches wrote; with ``keys`` the latest row of each, of equal ones the last to arrive."""
     full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    return spark.read.schema(full).parquet(path).drop(BATCH)
+    rows = spark.read.schema(full).parquet(path)
+    return (latest_by_key(rows, keys, order, (BATCH,)) if keys else rows).drop(BATCH)
 
 
 def merge_increment(
