@@ -383,11 +383,11 @@ check(
 RISING = """SELECT * FROM (SELECT ts AS sort_column, user_id, value AS value_field,
             lag(value) OVER (PARTITION BY user_id ORDER BY ts, value) AS value_field_lag FROM events
             WHERE event_type <> 'error') WHERE NOT value_field > value_field_lag"""
-for _name, _rows in (("values_to_be_increasing", 10**6), ("values_to_be_increasing_in_ranges", 0)):
+for _name, _whole in (("values_to_be_increasing", True), ("values_to_be_increasing_in_ranges", False)):
     check(
         _name, "expect_column_values_to_be_increasing", "events", RISING,
         column_name="value", sort_column="ts", group_by=["user_id"], row_condition="event_type <> 'error'",
-        group_rows=_rows,
+        whole_groups=_whole,
     )
 # Sorting by a column of few values makes almost every row equal to the one before it.
 TIES = """SELECT * FROM (SELECT l_linenumber AS sort_column, l_quantity AS value_field,
@@ -395,15 +395,15 @@ TIES = """SELECT * FROM (SELECT l_linenumber AS sort_column, l_quantity AS value
           WHERE NOT (value_field > value_field_lag AND value_field - value_field_lag = 1)"""
 check(
     "values_to_be_increasing_with_ties", "expect_column_values_to_be_increasing", "lineitem", TIES,
-    column_name="l_quantity", sort_column="l_linenumber", step=1, group_rows=0,
+    column_name="l_quantity", sort_column="l_linenumber", step=1,
 )
 FALLING = """SELECT * FROM (SELECT o_orderdate AS sort_column, o_totalprice AS value_field,
              lag(o_totalprice) OVER (ORDER BY o_orderdate, o_totalprice DESC) AS value_field_lag FROM orders)
              WHERE NOT value_field <= value_field_lag"""
-for _name, _rows in (("values_to_be_decreasing", 10**6), ("values_to_be_decreasing_in_ranges", 0)):
+for _name, _whole in (("values_to_be_decreasing", True), ("values_to_be_decreasing_in_ranges", False)):
     check(
         _name, "expect_column_values_to_be_decreasing", "orders", FALLING,
-        column_name="o_totalprice", sort_column="o_orderdate", strictly=False, group_rows=_rows,
+        column_name="o_totalprice", sort_column="o_orderdate", strictly=False, whole_groups=_whole,
     )
 
 # --- strings ---------------------------------------------------------------------------------
@@ -530,7 +530,7 @@ for _name, _function, _column, _low, _high in (
     )
 grouped(
     "median_to_be_between_in_ranges", "expect_column_median_to_be_between", PER_LINE, "lineitem",
-    "median(l_extendedprice) > 52500", column_name="l_extendedprice", min_value=52500, strictly=True, buffer_rows=0,
+    "median(l_extendedprice) > 52500", column_name="l_extendedprice", min_value=52500, strictly=True,
 )
 grouped(
     "quantile_values_to_be_between", "expect_column_quantile_values_to_be_between", PER_LINE, "lineitem",

@@ -193,7 +193,7 @@ def count_distinct(t):
 
 @query("SELECT l_returnflag, median(l_quantity) AS percentile FROM lineitem GROUP BY 1")
 def median_by_group(t):
-    return percentile_by(t("lineitem"), "l_quantity", 0.5, ["l_returnflag"])
+    return percentile_by(t("lineitem"), "l_quantity", 0.5, ["l_returnflag"], whole_groups=True)
 
 
 @query(
@@ -201,7 +201,7 @@ def median_by_group(t):
        FROM lineitem GROUP BY 1, 2"""
 )
 def percentile_by_group(t):
-    return percentile_by(t("lineitem"), "l_extendedprice", 0.9, ["l_returnflag", "l_linestatus"])
+    return percentile_by(t("lineitem"), "l_extendedprice", 0.9, ["l_returnflag", "l_linestatus"], whole_groups=True)
 
 
 @query(
@@ -209,9 +209,9 @@ def percentile_by_group(t):
        FROM lineitem GROUP BY 1, 2"""
 )
 def percentile_in_ranges(t):
-    """The way taken for groups too large for one task, here for every group."""
+    """The default way, in which no group has to fit in one task."""
     return percentile_by(
-        t("lineitem"), "l_extendedprice", 0.37, ["l_returnflag", "l_linestatus"], buffer_rows=0
+        t("lineitem"), "l_extendedprice", 0.37, ["l_returnflag", "l_linestatus"]
     )
 
 
@@ -273,21 +273,21 @@ WHERE value_field_lag > 2 * value_field
 """
 
 
-def _halved(t, group_rows):
+def _halved(t, whole_groups):
     rows = t("events").select(F.col("ts").alias(SORT), "user_id", F.col("value").alias(VALUE))
     halved = lambda value, previous: F.coalesce(previous > value * 2, F.lit(False))
-    return neighbour_violations(rows, halved, ["user_id"], group_rows=group_rows)
+    return neighbour_violations(rows, halved, ["user_id"], whole_groups=whole_groups)
 
 
 @query(LAG_SQL)
 def lag_in_groups(t):
-    return _halved(t, 10**6)
+    return _halved(t, True)
 
 
 @query(LAG_SQL)
 def lag_in_ranges(t):
-    """The way taken for groups too large for one task, here for every group."""
-    return _halved(t, 0)
+    """The default way, in which no group has to fit in one task."""
+    return _halved(t, False)
 
 
 DAILY_SQL = "SELECT event_type, CAST(ts AS DATE) AS d, sum(value) AS v FROM events GROUP BY 1, 2"
@@ -388,23 +388,23 @@ FROM (SELECT user_id, CAST(ts AS DATE) AS d, value FROM events)
 """
 
 
-def _running(t, group_rows):
+def _running(t, whole_groups):
     # Events of one day share their sum.
     rows = t("events").select("user_id", F.col("ts").cast("date").alias("d"), "value")
     for alias, falls in (("rising", False), ("falling", True)):
-        rows = running_sum(rows, "value", "d", ["user_id"], alias, falls, group_rows)
+        rows = running_sum(rows, "value", "d", ["user_id"], alias, falls, whole_groups)
     return rows.select("user_id", "d", *[F.round(c, 4).alias(c) for c in ("rising", "falling")])
 
 
 @query(RUNNING_SQL)
 def running_sums(t):
-    return _running(t, 10**6)
+    return _running(t, True)
 
 
 @query(RUNNING_SQL)
 def running_sums_in_ranges(t):
-    """The way taken for groups too large for one task, here for every group."""
-    return _running(t, 0)
+    """The default way, in which no group has to fit in one task."""
+    return _running(t, False)
 
 
 # --- sets ------------------------------------------------------------------------------------

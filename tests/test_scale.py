@@ -14,6 +14,7 @@ from veritally.operators.latest import latest_by_key
 from veritally.operators.membership import not_in
 from veritally.operators.ordered import repeat_rows, running_sum
 from veritally.operators.quantile import percentile_by
+from veritally.operators.ranges import with_range
 
 SEED = 5
 
@@ -42,8 +43,8 @@ def counted(df):
 def test_order_checks(skewed, check, strictly, group_by):
     run = getattr(values, f"expect_column_values_to_be_{check}")
     plain, ranged = (
-        run(skewed, "v", sort_column="s", strictly=strictly, group_by=group_by, group_rows=n)
-        for n in (10**6, 0)
+        run(skewed, "v", sort_column="s", strictly=strictly, group_by=group_by, whole_groups=whole)
+        for whole in (True, False)
     )
     assert counted(plain) == counted(ranged)
     assert sum(counted(plain).values()) > 30
@@ -60,7 +61,7 @@ def test_order_check_against_brute_force(skewed):
             if before is not None and v is not None and not v > before:
                 expected[(s, g, v, before)] += 1
     found = values.expect_column_values_to_be_increasing(
-        skewed, "v", sort_column="s", group_by=["g"], group_rows=0
+        skewed, "v", sort_column="s", group_by=["g"]
     )
     assert counted(found) == expected
 
@@ -69,26 +70,54 @@ def test_order_check_against_brute_force(skewed):
 @pytest.mark.parametrize("keys", [[], ["g"]])
 def test_quantiles(skewed, quantile, keys):
     plain, ranged = (
-        percentile_by(skewed, "v", quantile, keys, buffer_rows=n).collect() for n in (10**6, 0)
+        percentile_by(skewed, "v", quantile, keys, whole_groups=whole).collect() for whole in (True, False)
     )
     assert sorted(map(tuple, plain), key=repr) == sorted(map(tuple, ranged), key=repr)
 
 
 def test_quantile_of_nothing(spark):
     empty = spark.createDataFrame([("a", None), ("b", 2.0)], "g string, v double")
-    found = {r["g"]: r["percentile"] for r in percentile_by(empty, "v", 0.5, ["g"], buffer_rows=0).collect()}
+    found = {r["g"]: r["percentile"] for r in percentile_by(empty, "v", 0.5, ["g"]).collect()}
     assert found == {"a": None, "b": 2.0}
 
 
 @pytest.mark.parametrize("descending", [True, False])
 def test_running_sums(skewed, descending):
     plain, ranged = (
-        running_sum(skewed, "v", "s", ["g"], "t", descending, n).select("i", F.round("t", 6)).collect()
-        for n in (10**6, 0)
+        running_sum(skewed, "v", "s", ["g"], "t", descending, whole).select("i", F.round("t", 6)).collect()
+        for whole in (True, False)
     )
     assert sorted(map(tuple, plain)) == sorted(map(tuple, ranged))
 
 
+def test_building_a_plan_runs_no_job(spark, skewed):
+    context = spark.sparkContext
+    skewed.count()
+    context.setJobGroup("building", "plans")
+    try:
+        running_sum(skewed, "v", "s", ["g"])
+        percentile_by(skewed, "v", 0.5, ["g"])
+        values.expect_column_values_to_be_increasing(skewed, "v", sort_column="s", group_by=["g"])
+        assert not context.statusTracker().getJobIdsForGroup("building")
+        skewed.count()
+        assert context.statusTracker().getJobIdsForGroup("building")
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_ranges_follow_the_order(skewed, descending):
+    """Also for text, where nulls and a common prefix must not blur the bounds."""
+    texts = skewed.select("g", F.concat(F.lit("a common prefix "), "i").alias("x")).distinct()
+    placed = with_range(texts, [("g", False), ("x", descending)]).collect()
+    assert len({r["__range"] for r in placed}) > 8
+    by_text = sorted(placed, key=lambda r: r["x"], reverse=descending)
+    in_order = sorted(by_text, key=lambda r: (r["g"] is not None, r["g"] or ""))
+    numbers = [r["__range"] for r in in_order]
+    assert numbers == sorted(numbers)
+    assert max(Counter(numbers).values()) < len(placed) / 4
+
+
 def test_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(ordered, "COPIES_PER_TASK", 7)
     df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 8), ("d", 50)], "k string, n bigint")

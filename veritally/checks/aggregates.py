@@ -17,7 +17,7 @@ from veritally.checks.kernel import (
     select_rows,
 )
 from veritally.checks.values import _values, outside_set, set_frame
-from veritally.operators.quantile import BUFFER_ROWS, percentile_by
+from veritally.operators.quantile import percentile_by
 
 
 def _distinct(column_name: str) -> Column:
@@ -168,7 +168,7 @@ def expect_column_quantile_values_to_be_between(
     group_by: Sequence[str] | None = None,
     row_condition: str | None = None,
     strictly: bool = False,
-    buffer_rows: int = BUFFER_ROWS,
+    whole_groups: bool = False,
 ) -> DataFrame:
     """The interpolated quantile within its bounds, exact at any size."""
     groups = _as_list(group_by)
@@ -177,7 +177,7 @@ def expect_column_quantile_values_to_be_between(
         *[F.expr(g).alias(n) for g, n in zip(groups, names, strict=True)],
         F.expr(column_name).alias("__column"),
     )
-    found = percentile_by(rows, "__column", quantile, names, "__q", buffer_rows)
+    found = percentile_by(rows, "__column", quantile, names, "__q", whole_groups)
     outcome = between(F.col("__q"), min_value, max_value, strictly)
     return found.select(*names, outcome.alias("expression")).filter(~F.col("expression"))
 
@@ -191,10 +191,10 @@ def expect_column_median_to_be_between(
     group_by: Sequence[str] | None = None,
     row_condition: str | None = None,
     strictly: bool = False,
-    buffer_rows: int = BUFFER_ROWS,
+    whole_groups: bool = False,
 ) -> DataFrame:
     return expect_column_quantile_values_to_be_between(
-        df, column_name, 0.5, min_value, max_value, group_by, row_condition, strictly, buffer_rows
+        df, column_name, 0.5, min_value, max_value, group_by, row_condition, strictly, whole_groups
     )
 
 

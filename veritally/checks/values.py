@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from veritally.checks.kernel import _as_list, between, register, row_check, select_rows
 from veritally.checks.multicolumn import expect_compound_columns_to_be_unique
 from veritally.operators.ordered import (
-    GROUP_ROWS,
     SORT,
     VALUE,
     neighbour_violations,
@@ -159,7 +158,7 @@ def expect_column_values_to_be_between(
 
 
 def _in_order(
-    df, column_name, sort_column, strictly, row_condition, group_by, step, rising, group_rows
+    df, column_name, sort_column, strictly, row_condition, group_by, step, rising, whole_groups
 ) -> DataFrame:
     groups = _as_list(group_by)
     rows = select_rows(df, row_condition).select(
@@ -173,7 +172,7 @@ def _in_order(
             ok = ok & (above - below == step)
         return previous.isNotNull() & ~ok
 
-    return neighbour_violations(rows, violates, groups, not rising, group_rows)
+    return neighbour_violations(rows, violates, groups, not rising, whole_groups)
 
 
 @register
@@ -185,11 +184,11 @@ def expect_column_values_to_be_increasing(
     row_condition: str | None = None,
     group_by: Sequence[str] | None = None,
     step: float | None = None,
-    group_rows: int = GROUP_ROWS,
+    whole_groups: bool = False,
 ) -> DataFrame:
     """Values that do not rise (by ``step``, if given) from the row before in sort order."""
     return _in_order(
-        df, column_name, sort_column, strictly, row_condition, group_by, step, True, group_rows
+        df, column_name, sort_column, strictly, row_condition, group_by, step, True, whole_groups
     )
 
 
@@ -202,10 +201,10 @@ def expect_column_values_to_be_decreasing(
     row_condition: str | None = None,
     group_by: Sequence[str] | None = None,
     step: float | None = None,
-    group_rows: int = GROUP_ROWS,
+    whole_groups: bool = False,
 ) -> DataFrame:
     """Values that do not fall (by ``step``, if given) from the row before in sort order."""
     found = _in_order(
-        df, column_name, sort_column, strictly, row_condition, group_by, step, False, group_rows
+        df, column_name, sort_column, strictly, row_condition, group_by, step, False, whole_groups
     )
     return found.drop(*_as_list(group_by))

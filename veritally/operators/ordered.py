@@ -8,36 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veritally.session import durable
+from veritally.operators.ranges import RANGE, with_range
 
-# Rows one task may sort by itself; larger groups are cut into ranges.
-GROUP_ROWS = 2_000_000
 # Copies of one row that a single task writes out.
 COPIES_PER_TASK = 100_000
 
 SORT, VALUE, PREVIOUS = "sort_column", "value_field", "value_field_lag"
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group: one narrow scan, counted before the shuffle."""
-    counts = df.groupBy(*keys).count() if keys else df.agg(F.count(F.lit(1)).alias("count"))
-    return counts.agg(F.max("count")).first()[0] or 0
-
-
 def neighbour_violations(
     df: DataFrame,
     violates: Callable[[Column, Column], Column],
     group_by: Sequence[str] = (),
     ties_descending: bool = False,
-    group_rows: int = GROUP_ROWS,
+    whole_groups: bool = False,
 ) -> DataFrame:
     """Rows of (group, sort_column, value_field) whose value ``violates`` the one before it.
 
     ``violates(value, previous)`` must not hold for a missing previous value. Rows with equal sort
-    values are ordered by value. Groups up to ``group_rows`` rows use one window per group.
-    Otherwise rows are counted per distinct value, cut into ranges over (group, sort, value) --
-    so neither a large group nor a frequent sort value stays in one task -- and compared inside
-    each range and then across the range edges, of which there are two per range and group.
+    values are ordered by value. Rows are counted per distinct value, cut into ranges over (group,
+    sort, value) -- so neither a large group nor a frequent sort value stays in one task -- and
+    compared inside each range and then across the range edges, of which there are two per range
+    and group. ``whole_groups`` sorts each group in one task instead: for groups known to be small.
     """
     keys = list(group_by)
     columns = [SORT, *keys, VALUE, PREVIOUS]
@@ -45,16 +37,13 @@ def neighbour_violations(
     order = [F.col(SORT).asc(), value_order]
     broken = violates(F.col(VALUE), F.col(PREVIOUS))
 
-    if largest_group(df, keys) <= group_rows:
+    if whole_groups:
         window = W.partitionBy(*keys).orderBy(*order)
         return df.withColumn(PREVIOUS, F.lag(VALUE).over(window)).filter(broken).select(*columns)
 
     runs = df.groupBy(*keys, SORT, VALUE).agg(F.count(F.lit(1)).alias("__copies"))
-    # The range number is stored, because every reading below must see the same ranges.
-    ranged = durable(
-        runs.repartitionByRange(*keys, *order).withColumn("__range", F.spark_partition_id())
-    )
-    in_range = W.partitionBy("__range", *keys).orderBy(*order)
+    ranged = with_range(runs, [*[(k, False) for k in keys], (SORT, False), (VALUE, ties_descending)])
+    in_range = W.partitionBy(RANGE, *keys).orderBy(*order)
     placed = ranged.select(
         "*",
         F.lag(VALUE).over(in_range).alias(PREVIOUS),
@@ -64,7 +53,7 @@ def neighbour_violations(
     inside = placed.filter(F.col("__place") > 1).filter(broken).select(*columns)
 
     edges = placed.filter((F.col("__place") == 1) | F.col("__is_last"))
-    across = W.partitionBy(*keys).orderBy("__range", "__place")
+    across = W.partitionBy(*keys).orderBy(RANGE, "__place")
     at_edges = (
         edges.withColumn(PREVIOUS, F.lag(VALUE).over(across))
         .filter(F.col("__place") == 1)
@@ -89,35 +78,34 @@ def running_sum(
     group_by: Sequence[str] = (),
     alias: str = "running_sum",
     descending: bool = False,
-    group_rows: int = GROUP_ROWS,
+    whole_groups: bool = False,
 ) -> DataFrame:
     """Every row with the sum of ``value`` up to it; rows equal in ``order`` share one sum.
 
-    Groups above ``group_rows`` rows are summed per order value, cut into ranges over (group,
-    order), summed up inside each range on top of the ranges before it, and joined back.
+    Rows are summed per order value, cut into ranges over (group, order), summed up inside each
+    range on top of the ranges before it, and joined back. ``whole_groups`` sorts each group in one
+    task instead: for groups known to be small.
     """
     keys = list(group_by)
     kind = df.agg(F.sum(value)).schema[0].dataType  # of a single sum, also where sums are added up
     direction = F.col(order).desc() if descending else F.col(order).asc()
-    if largest_group(df, keys) <= group_rows:
+    if whole_groups:
         return df.withColumn(alias, F.sum(value).over(W.partitionBy(*keys).orderBy(direction)))
 
     names = {c: f"__key_{i}" for i, c in enumerate([*keys, order])}
     sums = df.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(F.sum(value).alias("__sum"))
     groups, place = [names[k] for k in keys], names[order]
     placed = F.col(place).desc() if descending else F.col(place).asc()
-    ranged = durable(
-        sums.repartitionByRange(*groups, placed).withColumn("__range", F.spark_partition_id())
-    )
-    before = W.partitionBy(*groups).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    starts = ranged.groupBy(*groups, "__range").agg(F.sum("__sum").alias("__block"))
+    ranged = with_range(sums, [*[(g, False) for g in groups], (place, descending)])
+    before = W.partitionBy(*groups).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
+    starts = ranged.groupBy(*groups, RANGE).agg(F.sum("__sum").alias("__block"))
     starts = starts.select(
         *[F.col(g).alias(f"{g}_start") for g in groups],
-        F.col("__range").alias("__at"),
+        F.col(RANGE).alias("__at"),
         F.sum("__block").over(before).alias("__before"),
     )
-    inside = F.sum("__sum").over(W.partitionBy("__range", *groups).orderBy(placed))
-    same_range = F.col("__range") == F.col("__at")
+    inside = F.sum("__sum").over(W.partitionBy(RANGE, *groups).orderBy(placed))
+    same_range = F.col(RANGE) == F.col("__at")
     for g in groups:
         same_range = same_range & F.col(g).eqNullSafe(F.col(f"{g}_start"))
     total = F.when(F.col("__before").isNull(), F.col("__inside")).otherwise(

@@ -8,11 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veritally.operators.ordered import largest_group
-from veritally.session import durable
-
-# Rows of a group whose distinct values one aggregation buffer may hold.
-BUFFER_ROWS = 1_000_000
+from veritally.operators.ranges import RANGE, with_range
 
 
 def percentile_by(
@@ -21,27 +17,25 @@ def percentile_by(
     quantile: float,
     group_by: Sequence[str] = (),
     alias: str = "percentile",
-    buffer_rows: int = BUFFER_ROWS,
+    whole_groups: bool = False,
 ) -> DataFrame:
     """(group columns, quantile) of ``value``, nulls left out; null for groups without values.
 
-    ``value`` is an SQL expression. Where a group may hold more than ``buffer_rows`` rows, values
-    are counted, cut into ranges over (group, value), and only the ranges that hold the two
-    neighbouring ranks are summed up row by row.
+    ``value`` is an SQL expression. Values are counted, cut into ranges over (group, value), and
+    only the ranges that hold the two neighbouring ranks are summed up row by row. ``whole_groups``
+    counts each group's distinct values in one buffer instead: for groups known to be small.
     """
     keys = list(group_by)
     rows = df.select(*keys, F.expr(value).cast("double").alias("__value"))
-    if largest_group(rows, keys) <= buffer_rows:
+    if whole_groups:
         return rows.groupBy(*keys).agg(F.percentile("__value", quantile).alias(alias))
 
     # A null value counts 0 times, which keeps its group.
     counted = rows.groupBy(*keys, "__value").agg(F.count("__value").alias("__n"))
-    ranged = durable(
-        counted.repartitionByRange(*keys, "__value").withColumn("__range", F.spark_partition_id())
-    )
-    by_range = W.partitionBy(*keys).orderBy("__range")
+    ranged = with_range(counted, [*[(k, False) for k in keys], ("__value", False)])
+    by_range = W.partitionBy(*keys).orderBy(RANGE)
     blocks = (
-        ranged.groupBy(*keys, "__range")
+        ranged.groupBy(*keys, RANGE)
         .agg(F.sum("__n").alias("__block"))
         .withColumn("__end", F.sum("__block").over(by_range))
         .withColumn("__total", F.sum("__block").over(W.partitionBy(*keys)))
@@ -55,13 +49,13 @@ def percentile_by(
         | (F.col("__total") == 0)
     ).select(
         *[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
-        F.col("__range").alias("__wanted"),
+        F.col(RANGE).alias("__wanted"),
         *["__start", "__rank", "__lower", "__upper"],
     )
-    same = F.col("__range") == F.col("__wanted")
+    same = F.col(RANGE) == F.col("__wanted")
     for i, key in enumerate(keys):
         same = same & F.col(key).eqNullSafe(F.col(f"__key_{i}"))
-    in_range = W.partitionBy("__range", *keys).orderBy("__value")
+    in_range = W.partitionBy(RANGE, *keys).orderBy("__value")
     upto = F.sum("__n").over(in_range) + F.col("__start")
     ranked = ranged.join(wanted, same).withColumn("__upto", upto)
 
@@ -81,11 +75,12 @@ def percentile_by(
 
 
 def percentile_over(
-    df: DataFrame, value: str, quantile: float, partition: Sequence[str] = (), alias: str = "percentile"
+    df: DataFrame, value: str, quantile: float, partition: Sequence[str] = (), alias: str = "percentile",
+    whole_groups: bool = False,
 ) -> DataFrame:
     """Every row with the quantile of its partition (or of the whole table) attached."""
     keys = list(partition)
-    stats = percentile_by(df, value, quantile, keys, "__q")
+    stats = percentile_by(df, value, quantile, keys, "__q", whole_groups)
     if not keys:
         return df.withColumn(alias, stats.scalar())
     renamed = stats.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)], "__q")

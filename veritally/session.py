@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the library expects. UTC keeps zone-less and zoned timestamps aligned; adaptive
 # execution splits skewed join partitions even where that costs one more shuffle.
@@ -53,11 +53,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{shared_dir(spark)}/veritally/{label}-{uuid.uuid4().hex}"
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, so that later readings agree on it."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
