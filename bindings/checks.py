@@ -16,6 +16,7 @@ from veritally import checks as ck
 from veritally.checks import CheckSpec, run_suite
 from veritally.checks.kernel import REGISTRY, register
 from veritally.checks.suite import mart_suites
+from veritally.session import scratch_path
 
 LINE = ("l_orderkey", "l_linenumber")
 
@@ -176,9 +177,61 @@ UNION ALL SELECT 'expect_column_value_lengths_to_be_between:primary_diagnosis_co
 
 @query(CLAIM_CHECKS)
 def claims_suite(t):
-    """The suite of the claims mart: the row checks share one scan."""
+    """The suite of the claims mart: the mart is stored once, and the row checks share one scan of it."""
     patients = dim_patient(t)
-    return run_suite(fct_claims(t), mart_suites(patients)["fct_claims"])
+    return run_suite(_stored(t, fct_claims(t)), mart_suites(patients)["fct_claims"])
+
+
+def _stored(t, mart):
+    path = scratch_path(t.spark, "mart")
+    mart.write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
+def _broken(label: str, failures: str, failed: str = "error") -> str:
+    return f"""SELECT '{label}' AS "check", {failures} AS failures,
+        CASE WHEN {failures} > 0 THEN '{failed}' ELSE 'pass' END AS status, false AS vacuous FROM ({EOB_SQL})"""
+
+
+def _rows(condition: str) -> str:
+    return f"count(*) FILTER (WHERE {condition})"
+
+
+@query(
+    " UNION ALL ".join([
+        _broken("payments", _rows("total_payment > 200000"), "warn"),
+        _broken("dates", _rows("NOT service_start_date BETWEEN '1994-01-01' AND '1996-12-31'")),
+        _broken("codes", _rows("length(primary_diagnosis_code) < 4")),
+        _broken("paid in full", _rows("claim_type <> 'CARRIER' AND total_payment <> total_amount")),
+        _broken("amounts", _rows("NOT (total_amount - total_payment BETWEEN 0 AND 100000)")),
+        _broken("carrier maximum", "CAST(max(total_payment) FILTER (WHERE claim_type = 'CARRIER') > 100000 AS BIGINT)"),
+    ])
+)
+def claims_suite_with_violations(t):
+    """Bounds that some claims break; all six checks share one scan of the stored mart."""
+    payment, carrier = {"column_name": "total_payment"}, "claim_type = 'CARRIER'"
+    days = {"min_value": "date'1994-01-01'", "max_value": "date'1996-12-31'"}
+    specs = [
+        CheckSpec("expect_column_values_to_be_between", payment | {"max_value": 200000}, "payments", "warn"),
+        CheckSpec("expect_column_values_to_be_between", {"column_name": "service_start_date"} | days, "dates"),
+        CheckSpec(
+            "expect_column_value_lengths_to_be_between",
+            {"column_name": "primary_diagnosis_code", "min_value": 4, "max_value": 10}, "codes",
+        ),
+        CheckSpec(
+            "expression_is_true",
+            {"expression": "total_payment = total_amount", "row_condition": "claim_type <> 'CARRIER'"}, "paid in full",
+        ),
+        CheckSpec(
+            "expression_between",
+            {"expression": "total_amount - total_payment", "min_value": 0, "max_value": 100000}, "amounts",
+        ),
+        CheckSpec(
+            "expect_column_max_to_be_between",
+            payment | {"max_value": 100000, "row_condition": carrier}, "carrier maximum",
+        ),
+    ]
+    return run_suite(_stored(t, fct_claims(t)), specs)
 
 
 @query(

@@ -269,6 +269,33 @@ def test_suite_shares_one_scan(spark):
     assert "ReadSchema: struct<l_quantity:double,l_discount:double,l_tax:double>" in plan
 
 
+def test_suite_shares_expressions_and_conditions(spark):
+    """Shared counts equal those of each check by itself; what cannot be shared still runs."""
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    returned = "l_returnflag = 'R'"
+    specs = [
+        CheckSpec("expression_is_true", {"expression": "l_tax + l_discount < 0.1"}),
+        CheckSpec("expression_is_true", {"expression": "l_tax", "test_condition": "< 0.05", "row_condition": returned}),
+        CheckSpec("expression_between", {"expression": "l_quantity * 2", "min_value": 10, "max_value": 60}),
+        CheckSpec("expect_column_max_to_be_between", {"column_name": "l_tax", "max_value": 0.01, "row_condition": returned}),
+        CheckSpec("expect_column_mean_to_be_between", {"column_name": "l_tax", "max_value": 1, "row_condition": "false"}),
+    ]
+    alone = [s.violations(lines).count() for s in specs]
+    report = run_suite(lines, specs)
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert [r["failures"] for r in report.collect()] == alone
+    assert alone[0] and alone[1] and alone[2] and alone[3:] == [1, 0]
+
+    unshared = [
+        CheckSpec("expression_is_true", {"expression": "sum(l_tax) < 0"}),
+        CheckSpec("expression_is_true", {"expression": "l_tax", "test_condition": "> 0 or expression < 0"}),
+        CheckSpec("expression_is_true", {"expression": "sum(l_tax) < 0", "group_by_columns": ["l_returnflag"]}),
+    ]
+    assert [r["failures"] for r in run_suite(lines, unshared).collect()] == [
+        s.violations(lines).count() for s in unshared
+    ]
+
+
 def test_sets_are_compared_as_values(spark):
     """Members written differently are one value, however long the set is; long lists plan at once."""
     numbers = spark.createDataFrame([(1,), (2,), (None,)], "v int")

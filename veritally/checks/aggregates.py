@@ -105,35 +105,35 @@ def expect_column_distinct_values_to_equal_set(
     return paired.filter(F.col("column_value").isNull() | F.col("value_field").isNull())
 
 
-@aggregate_check
+@aggregate_check(skips_nulls=True)
 def expect_column_max_to_be_between(
     column_name: str, min_value=None, max_value=None, strictly: bool = False
 ) -> Column:
     return between(F.max(F.expr(column_name)), min_value, max_value, strictly)
 
 
-@aggregate_check
+@aggregate_check(skips_nulls=True)
 def expect_column_min_to_be_between(
     column_name: str, min_value=None, max_value=None, strictly: bool = False
 ) -> Column:
     return between(F.min(F.expr(column_name)), min_value, max_value, strictly)
 
 
-@aggregate_check
+@aggregate_check(skips_nulls=True)
 def expect_column_mean_to_be_between(
     column_name: str, min_value=None, max_value=None, strictly: bool = False
 ) -> Column:
     return between(F.avg(F.expr(column_name)), min_value, max_value, strictly)
 
 
-@aggregate_check
+@aggregate_check(skips_nulls=True)
 def expect_column_sum_to_be_between(
     column_name: str, min_value=None, max_value=None, strictly: bool = False
 ) -> Column:
     return between(F.sum(F.expr(column_name)), min_value, max_value, strictly)
 
 
-@aggregate_check
+@aggregate_check(skips_nulls=True)
 def expect_column_stdev_to_be_between(
     column_name: str, min_value=None, max_value=None, strictly: bool = False
 ) -> Column:

@@ -70,11 +70,15 @@ def row_check(predicate: Callable[..., Column]) -> Callable:
     return register(check)
 
 
-def aggregate_check(predicate: Callable[..., Column] | None = None, *, fusible: bool = True) -> Callable:
+def aggregate_check(
+    predicate: Callable[..., Column] | None = None, *, fusible: bool = True, skips_nulls: bool = False
+) -> Callable:
     """Turn a predicate on aggregates into a check that returns the groups failing it.
 
     ``fusible`` says whether the aggregate can share one scan with others without making each
     of them read the rows several times, which distinct counts and quantiles would.
+    ``skips_nulls`` says that nulls in ``column_name`` do not count, so that a row condition can
+    be met by nulls in place of a filter.
     """
 
     def wrap(predicate):
@@ -83,6 +87,7 @@ def aggregate_check(predicate: Callable[..., Column] | None = None, *, fusible:
             return failing(df, predicate(*args, **kwargs), _as_list(group_by), row_condition)
 
         check.predicate, check.level = predicate, "aggregate" if fusible else "single"
+        check.skips_nulls = skips_nulls
         return register(check)
 
     return wrap(predicate) if predicate else wrap
@@ -116,6 +121,14 @@ def expression_is_true(
     return failing(df, F.expr(expression), group_by_columns, row_condition, carry, meets)
 
 
+def _meets_condition(expression: str, test_condition: str = "= true") -> Column | None:
+    # A condition that names the outcome again cannot be put behind the expression.
+    return None if "expression" in test_condition.lower() else F.expr(f"({expression}) {test_condition}")
+
+
+expression_is_true.level, expression_is_true.predicate = "expression", _meets_condition
+
+
 @register
 def expression_between(
     df: DataFrame,
@@ -131,6 +144,13 @@ def expression_between(
     return failing(df, condition, group_by_columns, row_condition, carry)
 
 
+def _expression_within(expression: str, **bounds) -> Column:
+    return between(F.expr(expression), **bounds)
+
+
+expression_between.level, expression_between.predicate = "expression", _expression_within
+
+
 def aggregate_by(
     df: DataFrame, expression: str, group_by: Sequence[str] | None = None, row_condition: str | None = None
 ) -> DataFrame:

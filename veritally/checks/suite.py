@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ class CheckSpec:
         answer = tell(df, **self.arguments) if tell else False
         return answer if isinstance(answer, Column) else F.lit(answer)
 
-    def fused_count(self) -> Column | None:
+    def fused_count(self, df: DataFrame) -> Column | None:
         """The failures as one aggregate of the checked table, if the check allows that."""
         check, arguments = REGISTRY[self.check], dict(self.arguments)
         level = getattr(check, "level", None)
@@ -63,26 +64,42 @@ class CheckSpec:
             return None
         condition = arguments.pop("row_condition", None)
         arguments.pop("carry", None)
+        if arguments.pop("group_by", None) or arguments.pop("group_by_columns", None):
+            return None
         if level == "aggregate":
-            if condition or arguments.pop("group_by", None):
+            if condition and not check.skips_nulls:
                 return None
+            if condition:
+                column = arguments["column_name"]
+                arguments["column_name"] = f"CASE WHEN {condition} THEN {column} END"
             broken = ~check.predicate(**arguments)
             return F.when(broken, 1).otherwise(0).cast("bigint")
-        broken = ~check.predicate(**arguments)
-        return F.count_if(F.expr(condition) & broken if condition else broken)
+        holds = check.predicate(**arguments)
+        if holds is None:
+            return None
+        count = F.count_if(F.expr(condition) & ~holds if condition else ~holds)
+        return count if level == "row" or _is_plain(df, count) else None
+
+
+def _is_plain(df: DataFrame, count: Column) -> bool:
+    """Whether the counted expression looks at one row; aggregates and windows cannot be counted."""
+    try:
+        return bool(df.agg(count).columns)
+    except AnalysisException:
+        return False
 
 
 def run_suite(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     """(check, failures, status, vacuous), one row per enabled check.
 
-    All checks that look at one row, and all plain aggregates, share a single scan of the table
-    that reads only the columns they name. The others run as jobs of their own. Nothing is
+    All checks and expressions that look at one row, and all plain aggregates, with or without a
+    row condition, share a single scan of the table that reads only the columns they name. The others run as jobs of their own. Nothing is
     collected: violations are counted where they are.
     """
     active = [s for s in specs if s.enabled]
     if not active:
         raise ValueError("no check is enabled")
-    fused = [(s, s.fused_count()) for s in active]
+    fused = [(s, s.fused_count(df)) for s in active]
     shared = [(s, count) for s, count in fused if count is not None]
     reports = []
     if shared:
