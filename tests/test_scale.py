@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from veritally.checks import kernel, values
 from veritally.operators import ordered
-from veritally.operators.latest import latest_by_key
+from veritally.operators.latest import latest_by_key, upsert
 from veritally.operators.membership import not_in
 from veritally.operators.ordered import repeat_rows, running_sum
 from veritally.operators.quantile import percentile_by
@@ -129,6 +129,16 @@ def test_latest_combines_before_the_shuffle(skewed):
     assert "partial_max" in plan and "Window" not in plan
 
 
+def test_upsert_compares_only_touched_keys(spark):
+    """Null is a key like others; older rows of the increment lose; the rest is neither sorted nor shuffled."""
+    current = spark.createDataFrame([(1, 5, "a"), (2, 5, "b"), (None, 5, "c"), (4, 5, "d")], "k int, at int, v string")
+    increment = spark.createDataFrame([(2, 6, "B"), (2, 7, "BB"), (None, 6, "C"), (4, 4, "old"), (9, 1, "new")], current.schema)
+    found = upsert(current, increment, ["k"], "at")
+    assert counted(found) == {(1, 5, "a"): 1, (2, 7, "BB"): 1, (None, 6, "C"): 1, (4, 5, "d"): 1, (9, 1, "new"): 1}
+    assert counted(upsert(None, increment, ["k"], "at")) == counted(latest_by_key(increment, ["k"], "at"))
+    assert counted(upsert(current, increment.limit(0), ["k"], "at")) == counted(current)
+
+
 def test_relationships_keep_every_occurrence(spark):
     child = spark.createDataFrame([(1,), (1,), (2,), (None,), (3,)], "k int")
     parent = spark.createDataFrame([(2,), (None,)], "p int")

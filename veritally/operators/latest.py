@@ -30,6 +30,18 @@ def latest_by_key(
 def upsert(
     current: DataFrame | None, increment: DataFrame, keys: Sequence[str], order: str, tie: Sequence[str] = ()
 ) -> DataFrame:
-    """``current`` with the rows of ``increment`` added, the latest row per key kept."""
-    both = increment if current is None else current.unionByName(increment)
-    return latest_by_key(both, keys, order, tie)
+    """``current``, which holds one row per key, with the latest row of every key in ``increment``.
+
+    Only rows whose key is in the increment are compared. The others pass through an anti join,
+    which does not shuffle them where the increment's keys are few enough to broadcast.
+    """
+    if current is None:
+        return latest_by_key(increment, keys, order, tie)
+    names = {k: f"__key_{i}" for i, k in enumerate(keys)}
+    touched_keys = increment.select(*[F.col(k).alias(n) for k, n in names.items()]).distinct()
+    same = F.lit(True)
+    for k, n in names.items():
+        same = same & current[k].eqNullSafe(touched_keys[n])
+    untouched = current.join(touched_keys, same, "left_anti")
+    touched = current.join(touched_keys, same, "left_semi")
+    return untouched.unionByName(latest_by_key(touched.unionByName(increment), keys, order, tie))
