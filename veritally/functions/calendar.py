@@ -285,7 +285,7 @@ def from_unixtimestamp(epochs, format: str = "seconds") -> Column:
     elif format in micros_per:
         micros = column.cast("bigint") * micros_per[format]
     else:
-        raise ValueError(f"value {format!r} for `format` is not supported")
+        raise ValueError(f"no epoch is counted in {format!r}")
     return in_utc(F.timestamp_micros(micros))
 
 

@@ -68,7 +68,7 @@ def base_dates(
 def generate_series(spark: SparkSession, upper_bound: int) -> DataFrame:
     """The numbers 1 to ``upper_bound``, made in parallel."""
     if upper_bound <= 0:
-        raise ValueError("upper bound must be positive")
+        raise ValueError(f"a series ends at 1 or later, got {upper_bound}")
     return spark.range(1, upper_bound + 1).withColumnRenamed("id", "generated_number")
 
 
