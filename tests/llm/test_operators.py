@@ -145,6 +145,33 @@ def test_jaccard_chains_and_passages(spark, scratch):
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == brute_components(made)
 
 
+def shingle_keys(text):
+    import pyarrow as pa
+
+    data, bounds = jaccard_join.text_buffer(pa.array([text]))
+    return next(jaccard_join.shingle_sets(data, bounds, 0, 1, np.zeros(1 << jaccard_join.CELL_BITS, np.uint8), 5))
+
+
+def test_links_of_members_that_do_not_stand_for_their_group(spark, scratch, monkeypatch):
+    """Only the second member of a group with one prefix links to a document of another component."""
+    for seed in range(5000):
+        first = words(seed, 104, 5000)
+        if set(shingle_keys(" ".join(first))[:26]) <= set(shingle_keys(" ".join(first[:90]))):
+            break
+    prefix = shingle_keys(" ".join(first))[:26]
+    for seed in range(5000, 10_000):
+        second = first[:90] + words(seed, 14, 5000)
+        if (shingle_keys(" ".join(second))[:26] == prefix).all():
+            break
+    other = words(10_000, 14, 5000) + second[14:]
+    made = [(1, " ".join(first)), (2, " ".join(second)), (3, " ".join(other))]
+    assert brute_components(made) == {1: 1, 2: 1, 3: 1} and brute_components([made[0], made[2]]) == {1: 1, 3: 3}
+    star = spark.createDataFrame([(1, 2)], "a long, b long")
+    monkeypatch.setattr(jaccard_join, "star_pairs", lambda reps, percent: star)
+    found = jaccard_join.jaccard_components(spark.createDataFrame(made, "doc_id long, text string"), scratch)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == {1: 1, 2: 1, 3: 1}
+
+
 def test_candidates_of_long_runs():
     comp = np.array([1] * 100 + [2] * 3)
     pairs = set()

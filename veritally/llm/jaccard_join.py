@@ -9,8 +9,8 @@
    the original, and any one. This links nearly all of such a group at a cost linear in its size.
 4. The join proper: representatives with equal prefix, size and component are one group. Groups
    that share a prefix shingle, differ in component and pass the length and position filters are
-   sifted where they meet by parity signatures, which bound the difference of two sets from below.
-   Those left are expanded to their members, sifted by longer signatures, and verified on whole sets.
+   sifted where they meet by parity signatures, which bound the difference of two sets from below;
+   a group of several has no signature there, as its sets differ. Those left are expanded to their members, sifted by longer signatures, and verified on whole sets.
 
 Step 3 loses nothing: step 4 considers every pair of different components. All components follow
 from the links of both. Hashes of 58 bits stand for shingles.
@@ -195,6 +195,8 @@ def least_differences(words: np.ndarray, starts: np.ndarray, wide: np.ndarray, i
     for kind in np.unique(both):
         rows = np.flatnonzero(both == kind)
         narrow = min(wide[i[rows[0]]], wide[j[rows[0]]])
+        if not narrow:  # without a signature nothing is known
+            continue
         sides = []
         for end in (i[rows], j[rows]):
             some = words[starts[end][:, None] + np.arange(wide[end[0]])]
@@ -341,7 +343,7 @@ def star_pairs(reps: DataFrame, percent: int) -> DataFrame:
 def postings(batches, buckets: int):
     """Prefix shingles of every batch of groups, packed by bucket.
 
-    A group's signature goes along to each of its buckets, in ``SIGN_BYTES`` at most.
+    A group's signature goes along to each of its buckets, in ``SIGN_BYTES`` at most; null gives none.
     """
     import pyarrow as pa
 
@@ -352,7 +354,7 @@ def postings(batches, buckets: int):
         if not length.sum():
             continue
         flat = np.concatenate(tokens)
-        signs = [folded(s, max(8, min(len(s) // 2, SIGN_BYTES))) for s in batch.column(4).to_pylist()]
+        signs = [folded(s, max(8, min(len(s) // 2, SIGN_BYTES))) if s else b"" for s in batch.column(4).to_pylist()]
         wide = np.array([len(s) // 8 for s in signs], np.uint32)
         owner = np.repeat(np.arange(len(length)), length)
         place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
@@ -461,13 +463,15 @@ def token_pairs(table, percent: int):
 def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Pairs of groups in different components that share a prefix shingle and pass the filters.
 
-    ``groups`` has (gid, comp); the prefix of a group is that of the document ``gid``.
+    ``groups`` has (gid, comp, c); the prefix of a group is that of the document ``gid``. Only of a
+    group of one (c) is the signature of ``gid`` that of every member.
     """
     total = profile.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     buckets = max(1, math.ceil(total / 8 / BUCKET_POSTINGS))
     heads = profile.select("doc_id", "n", "prefix", "signature").join(groups.hint("merge"), F.col("doc_id") == F.col("gid"))
     make = functools.partial(postings, buckets=buckets)
-    packed = heads.select("gid", "comp", "n", "prefix", "signature").mapInArrow(make, POSTINGS)
+    signature = F.when(F.col("c") == 1, F.col("signature")).alias("signature")
+    packed = heads.select("gid", "comp", "n", "prefix", signature).mapInArrow(make, POSTINGS)
 
     def join(table):
         return token_pairs(table, percent)
@@ -514,7 +518,7 @@ def jaccard_components(
     placed = scratch.table(placed)
     grouped = placed.groupBy("n", "prefix_hash", "comp").agg(F.min("rep").alias("gid"), F.count("*").alias("c"))
     grouped = scratch.table(grouped)
-    met = group_pairs(profile, grouped.select("gid", "comp"), percent, scratch)
+    met = group_pairs(profile, grouped.select("gid", "comp", "c"), percent, scratch)
 
     # Groups to members; a group of one is its own member and takes no part in these joins.
     several = grouped.filter("c > 1").select("n", F.col("prefix_hash").alias("_hash"), F.col("comp").alias("_comp"), "gid")
