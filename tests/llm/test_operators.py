@@ -497,6 +497,47 @@ def test_repeated_passages(docs, nothing, scratch):
     assert suffix_dedup.repeated_passages(nothing, scratch).count() == 0
 
 
+def test_removal_leaves_every_repeated_run(spark, scratch):
+    """Chained quotes, variants, copies and repetitions: each repeated run of 50 words stays in some document."""
+    a, b, c, d = (words(50 + k, 30, 5000) for k in range(4))
+    long, base = words(60, 200, 5000), words(61, 150, 5000)
+    texts = {
+        2: a + b, 5: a + b + c, 9: b + c, 12: c + d + a, 13: c + d + a + b, 20: long, 21: long[:120] + words(62, 50, 5000),
+        22: words(63, 50, 5000) + long[80:], 23: long, 24: long[:120] + long[80:], 30: base + base, 31: base[70:] + base[:90],
+        32: words(64, 70, 5000) + base, 33: a + b + long + base + c,
+    }
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in texts.items()], "doc_id long, text string")
+
+    def runs(text):
+        return [tuple(text[i : i + 50]) for i in range(len(text) - 49)]
+
+    counted = Counter(r for t in texts.values() for r in runs(t))
+    kept, gone = {k: list(t) for k, t in texts.items()}, set()
+    for r in suffix_dedup.repeated_passages(docs, scratch).filter("removable").collect():
+        assert r["n_words"] >= 50 and r["other_doc_id"] < r["doc_id"]
+        at = range(r["start_word"], r["start_word"] + r["n_words"])
+        gone |= {(r["doc_id"], i) for i in at}
+    for key, i in gone:
+        kept[key][i] = None
+    left = {r for t in kept.values() for r in runs(t)}
+    assert {r for r, n in counted.items() if n > 1} <= left
+    # Nothing more could go: the words of runs that a smaller document holds, but for those of first runs.
+    first = {}
+    for key in sorted(texts):
+        for r in runs(texts[key]):
+            first.setdefault(r, key)
+    for key, text in texts.items():
+        goes, stays = set(), set()
+        for i, r in enumerate(runs(text)):
+            if counted[r] > 1:
+                (goes if first[r] < key else stays).update(range(i, i + 50))
+        parts = [i for i in sorted(goes - stays)]
+        cuts = [k for k, i in enumerate(parts) if not k or parts[k - 1] != i - 1] + [len(parts)]
+        expected = {i for x, y in zip(cuts[:-1], cuts[1:], strict=True) if y - x >= 50 for i in parts[x:y]}
+        assert {i for k, i in gone if k == key} == expected
+    assert {i for k, i in gone if k == 23} == set(range(200))
+
+
 # ---- licence scan ----
 
 
