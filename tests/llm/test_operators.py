@@ -180,6 +180,48 @@ def test_candidates_of_long_runs():
     assert len(pairs) == 300
 
 
+def test_long_runs_meet_only_within_reach():
+    """A third of a table with one passage of 56 of 71 shingles: its prefix places are too late for any link."""
+    none = jaccard_join.reach(np.full(500, 71), np.full(500, 15), 75)
+    at = np.arange(500)
+    assert not list(jaccard_join.run_pairs(at, np.array([0]), np.array([500]), np.full(500, 71), none))
+    rng = np.random.default_rng(3)
+    sizes, places, comp = np.sort(rng.integers(60, 120, 400)), rng.integers(0, 30, 400), rng.integers(0, 9, 400)
+    found = set()
+    for i, j in jaccard_join.run_pairs(comp, np.array([0]), np.array([400]), sizes, jaccard_join.reach(sizes, places, 75)):
+        found |= {(min(x, y), max(x, y)) for x, y in zip(i.tolist(), j.tolist(), strict=True)}
+    for i in range(400):
+        for j in range(i + 1, 400):
+            most = min(sizes[i] - places[i], sizes[j] - places[j])
+            if comp[i] != comp[j] and most >= jaccard_join.least_overlap(sizes[i], sizes[j], 75):
+                assert (i, j) in found
+
+
+def test_hot_shingles_are_dealt_over_many_buckets(spark, scratch, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT", 16)
+    base, passage = words(20, 80, 5000), words(21, 60, 5000)
+    made = [(k, " ".join([f"edit{j}" for j in range(k)] + base[k:])) for k in range(60)]
+    made += [(100 + k, " ".join(words(100 + k, 15, 5000) + passage)) for k in range(200)]
+    made += [(400 + k, " ".join(passage + words(700 + k, 8 + k % 12, 5000))) for k in range(60)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    levels = spark.sparkContext.broadcast(jaccard_join.frequency_levels(frame, 5))
+    profile = scratch.table(frame.mapInArrow(lambda b: jaccard_join.profiles(b, levels, 5, 75), jaccard_join.PROFILE))
+    groups = profile.selectExpr("doc_id as gid", "doc_id as comp", "1L as c")
+    held = Counter()
+    for r in jaccard_join.group_postings(profile, groups, 75).select("bucket", "tokens").collect():
+        held.update((r["bucket"], t) for t in np.frombuffer(r["tokens"], np.uint64).tolist())
+    assert max(held.values()) <= 80
+    met = {tuple(r) for r in jaccard_join.group_pairs(profile, groups, 75, scratch).collect()}
+    sets = {k: shingles(t) for k, t in made}
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                assert (a, b) in met
+    found = jaccard_join.jaccard_components(frame, scratch)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == brute_components(made)
+
+
 def test_parity_is_a_lower_bound():
     rng = np.random.default_rng(1)
     for n, m, shared in ((5, 5, 5), (100, 700, 60), (3000, 3100, 2900), (0, 3, 0)):

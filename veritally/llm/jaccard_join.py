@@ -47,6 +47,7 @@ BUCKET_POSTINGS = 1_000_000
 SIGN_BYTES = 32  # of a signature in a bucket
 PART = 1 << 18  # pairs looked at together
 LONG_RUN = 64
+HOT = 1 << 14  # postings of one shingle on each side of a comparison in one task, about
 ID_BITS = 1 << 24
 
 
@@ -94,6 +95,14 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
+def reach(sizes, places, percent: int):
+    """Size of the largest set that a set can link to if the first shingle they share has this place in it.
+
+    Below its own size, it links to smaller sets only, and their reach must be up to it.
+    """
+    return (100 + percent) * (sizes - places) // percent - sizes
+
+
 # ---- the counting sketch ----
 
 
@@ -340,7 +349,75 @@ def star_pairs(reps: DataFrame, percent: int) -> DataFrame:
     return near.select(F.least("a", "doc_id").alias("a"), F.greatest("a", "doc_id").alias("b")).distinct()
 
 
-def postings(batches, buckets: int):
+def flat_prefixes(column):
+    """(shingles of all prefixes of the column end to end, row of each, place of each in its prefix)."""
+    tokens = [np.frombuffer(x.as_buffer(), np.uint64) for x in column]
+    length = np.array([len(t) for t in tokens], np.int64)
+    flat = np.concatenate([np.zeros(0, np.uint64), *tokens])
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
+    return flat, np.repeat(np.arange(len(length)), length), place
+
+
+def count_frequent(batches, percent: int):
+    """Per batch and shingle above level 0: its postings, and those that reach their own size."""
+    import pyarrow as pa
+
+    for batch in batches:
+        flat, owner, place = flat_prefixes(batch.column(1))
+        some = np.flatnonzero(flat >= np.uint64(1 << 58))
+        sizes = batch.column(0).to_numpy()[owner[some]]
+        values, inverse = np.unique(flat[some], return_inverse=True)
+        early = np.bincount(inverse, reach(sizes, place[some], percent) >= sizes, len(values)).astype(np.int64)
+        counts = np.bincount(inverse, minlength=len(values))
+        yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts), pa.array(early)], names=["token", "c", "early"])
+
+
+def hot_grids(profile: DataFrame, percent: int, buckets: int):
+    """Shingles of more than ``HOT`` postings, sorted: (shingle, rows and columns of its grid of buckets, first bucket).
+
+    Of two sets that link, the smaller reaches its own size, so that only those rows need comparing
+    with all others: they are dealt over the rows of the grid, and all over its columns. A shingle
+    without such rows has no bucket. All documents are counted, of which the groups are a part. Level 0
+    is not looked at: its shingles stand at most some twice the mean of a cell of the sketch. The driver holds a row for ``HOT`` postings at most.
+    """
+    made = profile.select("n", "prefix").mapInArrow(functools.partial(count_frequent, percent=percent), "token long, c long, early long")
+    found = made.groupBy("token").agg(F.sum("c").alias("c"), F.sum("early").alias("early")).filter(F.col("c") > HOT).collect()
+    tokens = np.array([r["token"] for r in found], np.int64).view(np.uint64)
+    sides = [np.array([-(-r[c] // HOT) for r in found], np.int64) for c in ("early", "c")]
+    order = np.argsort(tokens)
+    tokens, high, wide = tokens[order], sides[0][order], sides[1][order]
+    return tokens, high, wide, buckets + np.cumsum(high * wide) - high * wide
+
+
+def placed_postings(flat, early, ids, buckets: int, grids):
+    """(bucket, index of the posting) of every posting, in each bucket that it belongs to.
+
+    Ordinary shingles have one bucket. Of a hot one, a posting is in a column of the grid, and if
+    ``early`` also in a row.
+    """
+    tokens, high, wide, begin = grids
+    at = np.searchsorted(tokens, flat)
+    hot = np.zeros(len(flat), bool)
+    hot[at < len(tokens)] = tokens[at[at < len(tokens)]] == flat[at < len(tokens)]
+    plain, hot = np.flatnonzero(~hot), np.flatnonzero(hot)
+    out = [(mixed(flat[plain]) % np.uint64(buckets)).astype(np.int64)], [plain]
+    k = at[hot]
+    salt = mixed(ids[hot].astype(np.uint64))
+    row = (salt % np.maximum(high[k], 1).astype(np.uint64)).astype(np.int64)
+    column = (mixed(salt ^ np.uint64(0x5851F42D4C957F2D)) % np.maximum(wide[k], 1).astype(np.uint64)).astype(np.int64)
+    for times, along in ((high[k], False), (np.where(early[hot], wide[k], 0), True)):
+        who = np.repeat(np.arange(len(hot)), times)
+        step = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)
+        if along:
+            new = step != column[who]  # there it is already
+            who, step = who[new], step[new]
+        cell = row[who] * wide[k[who]] + step if along else step * wide[k[who]] + column[who]
+        out[0].append(begin[k[who]] + cell)
+        out[1].append(hot[who])
+    return np.concatenate(out[0]), np.concatenate(out[1])
+
+
+def postings(batches, buckets: int, percent: int, grids):
     """Prefix shingles of every batch of groups, packed by bucket.
 
     A group's signature goes along to each of its buckets, in ``SIGN_BYTES`` at most; null gives none.
@@ -349,30 +426,34 @@ def postings(batches, buckets: int):
 
     for batch in batches:
         ids, comps, sizes = (batch.column(i).to_numpy() for i in range(3))
-        tokens = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(3)]
-        length = np.array([len(t) for t in tokens], np.int64)
-        if not length.sum():
+        flat, owner, place = flat_prefixes(batch.column(3))
+        if not len(flat):
             continue
-        flat = np.concatenate(tokens)
         signs = [folded(s, max(8, min(len(s) // 2, SIGN_BYTES))) if s else b"" for s in batch.column(4).to_pylist()]
         wide = np.array([len(s) // 8 for s in signs], np.uint32)
-        owner = np.repeat(np.arange(len(length)), length)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
-        bucket = (mixed(flat) % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        rows = []
-        for k in np.flatnonzero(np.diff(cuts)):
-            some = order[cuts[k] : cuts[k + 1]]
-            docs, index = np.unique(owner[some], return_inverse=True)
-            made = (ids[docs], comps[docs], sizes[docs], flat[some], index.astype(np.uint32), place[some].astype(np.uint32))
-            signed = b"".join([signs[d] for d in docs])
-            rows.append((int(k), *(m.tobytes() for m in made), wide[docs].tobytes(), signed))
-        names = ["bucket", "ids", "comps", "sizes", "tokens", "owners", "places", "wide", "signs"]
-        kinds = [pa.int64()] + [pa.binary()] * 8
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
-        )
+        early = reach(sizes[owner], place, percent) >= sizes[owner]
+        # A hot posting has many buckets: a slice of postings at a time.
+        step = max(1, (PART << 3) // max(1, int((grids[1] + grids[2]).max(initial=1))))
+        for low in range(0, len(flat), step):
+            part = slice(low, low + step)
+            bucket, at = placed_postings(flat[part], early[part], ids[owner[part]], buckets, grids)
+            if not len(at):
+                continue
+            order = np.argsort(bucket, kind="stable")
+            bucket, at = bucket[order], at[order] + low
+            cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(at))
+            rows = []
+            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+                some = at[begin:end]
+                docs, index = np.unique(owner[some], return_inverse=True)
+                made = (ids[docs], comps[docs], sizes[docs], flat[some], index.astype(np.uint32), place[some].astype(np.uint32))
+                signed = b"".join([signs[d] for d in docs])
+                rows.append((int(bucket[begin]), *(m.tobytes() for m in made), wide[docs].tobytes(), signed))
+            names = ["bucket", "ids", "comps", "sizes", "tokens", "owners", "places", "wide", "signs"]
+            kinds = [pa.int64()] + [pa.binary()] * 8
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+            )
 
 
 POSTINGS = (
@@ -381,8 +462,12 @@ POSTINGS = (
 )
 
 
-def run_pairs(comp, starts, lengths):
-    """Index pairs of the same token and different components, at most ``PART`` at a time."""
+def run_pairs(comp, starts, lengths, sizes=None, most=None):
+    """Index pairs of the same token and different components, at most ``PART`` at a time.
+
+    Rows of a run are sorted by ``sizes``; a row of a long run meets those after it whose size is at most its ``most``.
+    """
+    sizes, most = (np.zeros(len(comp), np.int64) if x is None else x for x in (sizes, most))
     short = lengths <= LONG_RUN
     for step in range(1, int(lengths[short].max(initial=0))):
         runs = short & (lengths > step)
@@ -396,11 +481,17 @@ def run_pairs(comp, starts, lengths):
     for start, length in zip(starts[~short], lengths[~short], strict=True):
         # The rows of the largest component need no comparing with each other.
         rows = np.arange(start, start + length)
+        past = start + np.searchsorted(sizes[rows], most[rows], side="right")
         values, inverse, counts = np.unique(comp[rows], return_inverse=True, return_counts=True)
-        for i in rows[inverse != counts.argmax()]:
-            for low in range(0, length, PART):
-                some = rows[low : low + PART]
-                yield np.full(len(some), i), some
+        large = inverse == counts.argmax()
+        for some, others in ((~large, rows), (large, rows[~large])):
+            first = np.searchsorted(others, rows[some], side="right")
+            inner = np.maximum(np.searchsorted(others, past[some]) - first, 0)
+            ends = np.cumsum(inner)
+            for low in range(0, int(ends[-1]) if len(ends) else 0, PART):
+                at = np.arange(low, min(low + PART, int(ends[-1])))
+                run = np.searchsorted(ends, at, side="right")
+                yield rows[some][run], others[first[run] + at - (ends[run] - inner[run])]
 
 
 def token_pairs(table, percent: int):
@@ -424,7 +515,7 @@ def token_pairs(table, percent: int):
     words, wide = np.concatenate(signs), np.concatenate(wide).astype(np.int64)
     begins = np.cumsum(wide) - wide
     token = np.concatenate(parts[0])
-    order = np.argsort(token, kind="stable")
+    order = np.lexsort((sizes[np.concatenate(parts[1])], token))
     token = token[order]
     starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
     lengths = np.diff(np.append(starts, len(token)))
@@ -443,7 +534,7 @@ def token_pairs(table, percent: int):
             passed.append(new[low : low + PART][least_differences(words, begins, wide, i, j) <= room])
         return np.unique(np.concatenate(passed))
 
-    for i, j in run_pairs(comp, starts, lengths):
+    for i, j in run_pairs(comp, starts, lengths, sizes[own], reach(sizes[own], place, percent)):
         some = comp[i] != comp[j]
         i, j = i[some], j[some]
         one, two = sizes[own[i]], sizes[own[j]]
@@ -460,8 +551,8 @@ def token_pairs(table, percent: int):
     return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
 
-def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs of groups in different components that share a prefix shingle and pass the filters.
+def group_postings(profile: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+    """The ``POSTINGS`` of the groups; those of a hot shingle in a grid of buckets, so that no bucket grows with it.
 
     ``groups`` has (gid, comp, c); the prefix of a group is that of the document ``gid``. Only of a
     group of one (c) is the signature of ``gid`` that of every member.
@@ -469,13 +560,19 @@ def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Sc
     total = profile.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     buckets = max(1, math.ceil(total / 8 / BUCKET_POSTINGS))
     heads = profile.select("doc_id", "n", "prefix", "signature").join(groups.hint("merge"), F.col("doc_id") == F.col("gid"))
-    make = functools.partial(postings, buckets=buckets)
+    grids = hot_grids(profile, percent, buckets)
+    make = functools.partial(postings, buckets=buckets, percent=percent, grids=grids)
     signature = F.when(F.col("c") == 1, F.col("signature")).alias("signature")
-    packed = heads.select("gid", "comp", "n", "prefix", signature).mapInArrow(make, POSTINGS)
+    return heads.select("gid", "comp", "n", "prefix", signature).mapInArrow(make, POSTINGS)
+
+
+def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Pairs of groups in different components that share a prefix shingle and pass the filters."""
 
     def join(table):
         return token_pairs(table, percent)
 
+    packed = group_postings(profile, groups, percent)
     return scratch.table(packed.groupBy("bucket").applyInArrow(join, "a long, b long").distinct())
 
 
