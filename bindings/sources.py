@@ -20,6 +20,8 @@ from veritally.plans.build import build, build_increment, dashboard_queries
 from veritally.plans.dashboards import duplicate_multiplicity
 from veritally.session import scratch_path
 from veritally.sources import landing, tables, watermark
+from veritally.sources.commits import CommitLog
+from veritally.sources.keyed import KeyedTable, bucket_of
 from veritally.sources.schemas import SILVER_PATIENT
 
 TIME = "2024-01-20T10:00:00.000Z"
@@ -146,6 +148,61 @@ def build_in_increments(t):
     return wall_clock(dashboard_queries(build_increment(t.spark, *folders, later))["claims_by_type"])
 
 
+LATEST = "(SELECT max(o_orderdate) FROM orders)"
+
+
+@query(
+    f"""SELECT o_orderkey, o_custkey, o_orderdate, CASE WHEN o_orderdate = {LATEST} THEN 'X' ELSE o_orderstatus END AS status,
+        true AS others_untouched FROM orders
+        UNION ALL SELECT -o_orderkey, o_custkey, o_orderdate, 'N', true FROM orders WHERE o_orderdate = {LATEST}"""
+)
+def upsert_by_bucket(t):
+    """Orders of the last day changed and some new ones: only the buckets of these keys are written again."""
+    orders = t("orders").select("o_orderkey", "o_custkey", "o_orderdate", F.col("o_orderstatus").alias("status"))
+    table = KeyedTable(t.spark, scratch_path(t.spark, "keyed"), ["o_orderkey"], "o_orderdate", ("status",), buckets=256)
+    table.replace(orders)
+    last = orders.join(orders.agg(F.max("o_orderdate").alias("o_orderdate")), "o_orderdate").select(*orders.columns)
+    changed = last.withColumn("status", F.lit("X"))
+    new = last.withColumns({"o_orderkey": -F.col("o_orderkey"), "status": F.lit("N")})
+    before, increment = table.entry()["folders"], changed.unionByName(new)
+    table.upsert(increment)
+    after, touched = table.entry()["folders"], increment.select(bucket_of(["o_orderkey"], 256)).distinct().collect()
+    rewritten = {b for b, (old, now) in enumerate(zip(before, after, strict=True)) if old != now}
+    return table.read().withColumn("others_untouched", F.lit(rewritten == {r[0] for r in touched}))
+
+
+@query("SELECT o_orderstatus, count(*) AS orders, false AS replaced FROM orders GROUP BY 1")
+def table_survives_failure(t):
+    """A job that fails while it replaces a table leaves the table as it was."""
+    location = scratch_path(t.spark, "table")
+    kept = tables.save_table(t("orders").select("o_orderkey", "o_orderstatus"), "kept_orders", location)
+    broken = kept.withColumn("o_orderstatus", F.raise_error(F.lit("no more rows")).cast("string"))
+    try:
+        tables.save_table(broken, "kept_orders", location)
+        replaced = True
+    except Exception:
+        replaced = False
+    found = tables.open_table(t.spark, "kept_orders", location).groupBy("o_orderstatus")
+    return found.agg(F.count(F.lit(1)).alias("orders"), F.lit(replaced).alias("replaced"))
+
+
+@query("SELECT '2024-01-20T10:00:00.000Z' AS watermark, true AS refused, CAST(1 AS BIGINT) AS loads, count(*) AS later FROM events WHERE ts > TIMESTAMP '2024-01-20 10:00:00'")
+def watermark_never_goes_back(t):
+    """An earlier time is refused, and the same time again adds nothing to the log."""
+    path = scratch_path(t.spark, "watermark")
+    watermark.write_watermark(t.spark, path, TIME)
+    watermark.write_watermark(t.spark, path, TIME)
+    try:
+        watermark.write_watermark(t.spark, path, "2023-01-20T10:00:00.000Z")
+        refused = False
+    except watermark.LoadInThePast:
+        refused = True
+    since, loads = watermark.read_watermark(t.spark, path), len(CommitLog(t.spark, path).numbers())
+    later = watermark.since_watermark(t("events"), "ts", since).agg(F.count(F.lit(1)).alias("later"))
+    known = {"watermark": F.lit(since), "refused": F.lit(refused), "loads": F.lit(loads).cast("long")}
+    return later.withColumns(known)
+
+
 @query(
     """SELECT 'string' AS period_start_type, 'string' AS dual_eligible_type, count(*) AS records,
        CAST(0 AS BIGINT) AS period_starts, count(*) FILTER (WHERE o_totalprice > 200000) AS dual_eligibles

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from bindings.base import query
 from bindings.claims import coverages, lines, patients
+from veritally.operators.flatten import flatten_coverage
 from veritally.session import scratch_path
 from veritally.sources.landing import land_ndjson
-from veritally.sources.schemas import SILVER_COVERAGE, SILVER_PATIENT
+from veritally.sources.schemas import RESOURCES, SILVER_COVERAGE, SILVER_PATIENT
 from veritally.streaming import increments
 
 SPLIT = "2024-01-15 00:00:00"
@@ -63,7 +64,7 @@ def stream_landing_times(t):
     stream = increments.stream_ndjson(t.spark, f"{root}/bronze/Coverage", SILVER_COVERAGE)
     timed = increments.with_landing_time(stream)
     _run(increments.write_batches(timed, f"{root}/times", f"{root}/checkpoint"))
-    stored = t.spark.read.parquet(f"{root}/times")
+    stored = increments.read_batches(t.spark, f"{root}/times")
     year = F.regexp_replace("transaction_time", "^.*=", "")
     return stored.groupBy(year.alias("transaction_time")).agg(F.count(F.lit(1)).alias("records"))
 
@@ -82,6 +83,31 @@ def keyed_upsert(t):
     return increments.merge_increment(current, after, ["user_id"], "ts", ("event_id",), "upsert")
 
 
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS coverage_id, CASE WHEN o_orderstatus = 'F' THEN 'ended' ELSE 'active' END AS status,
+       true AS few_parts, true AS merged_by_key FROM orders"""
+)
+def stream_compacted(t):
+    """Many small batches, some of which change earlier records, merged level by level: the latest row of each record."""
+    root = scratch_path(t.spark, "stream")
+    first = coverages(t)
+    ended = F.struct(F.lit("2025-01-01T00:00:00Z").alias("lastUpdated"))
+    changed = first.filter(F.col("extension")[0]["valueCoding"]["code"] == "F").withColumns({"status": F.lit("ended"), "meta": ended})
+    for time, part in (("2024-01-01", first), ("2025-01-01", changed)):
+        land_ndjson(lines(part.repartition(9)), f"{root}/bronze", "Coverage", time)
+        run = increments.stream_ndjson(t.spark, f"{root}/bronze/Coverage", RESOURCES["Coverage"], 1)
+        _run(
+            increments.write_batches(
+                run, f"{root}/silver", f"{root}/checkpoint", flatten_coverage, ["coverage_id"], fan_in=4
+            )
+        )
+    parts = increments.parts_of(t.spark, f"{root}/silver")
+    few = len(parts) <= 3 * (1 + max(p["level"] for p in parts))
+    stored = increments.read_batches(t.spark, f"{root}/silver", SILVER_COVERAGE, ["coverage_id"])
+    merged = sum(p["rows"] for p in parts) < first.count() + changed.count()
+    return stored.select("coverage_id", "status", F.lit(few).alias("few_parts"), F.lit(merged).alias("merged_by_key"))
+
+
 @query(f"SELECT user_id, event_id, ts FROM events WHERE ts >= TIMESTAMP '{SPLIT}'")
 def snapshot_replacement(t):
     """In snapshot mode the increment replaces what came before."""

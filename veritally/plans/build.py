@@ -7,55 +7,66 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from veritally.operators.flatten import FLATTEN
-from veritally.operators.latest import upsert
 from veritally.plans import dashboards, intermediate, marts, staging
 from veritally.sources import landing, tables, watermark
-from veritally.sources.schemas import SILVER
+from veritally.sources.commits import CommitLog
+from veritally.sources.keyed import KeyedTable
 
 VIEWS = ("stg_patient", "stg_coverage", "stg_eob", "int_eob_diagnoses", "int_eob_procedures")
 MARTS = ("dim_patient", "fct_claims", "fct_coverage")
 KEYS = {"Patient": "patient_id", "Coverage": "coverage_id", "ExplanationOfBenefit": "eob_id"}
 
 
-def load_silver(
-    spark: SparkSession, landing_root: str, silver_root: str, transaction_time: str
-) -> dict[str, DataFrame]:
-    """Flatten every landed resource of a snapshot and replace that snapshot in silver.
+LOADS = "_loads"  # the log of all loads, below the silver root
+
+
+def silver_table(spark: SparkSession, silver_root: str, resource: str) -> KeyedTable:
+    return KeyedTable(spark, f"{silver_root}/{resource}", [KEYS[resource]], "last_updated")
+
+
+def read_silver(spark: SparkSession, silver_root: str, versions: Mapping[str, int] | None = None) -> dict[str, DataFrame]:
+    """Silver as the last load left it, or at the given versions: all resources of one load, never of two."""
+    if versions is None:
+        found = watermark.last_load(spark, f"{silver_root}/{LOADS}")
+        versions = found[1]["silver"] if found else {}
+    return {r: silver_table(spark, silver_root, r).read(v) for r, v in versions.items()}
+
+
+def store_snapshot(spark: SparkSession, landing_root: str, silver_root: str, transaction_time: str) -> dict[str, int]:
+    """Flatten every landed resource of a snapshot into a new version of its silver; return the versions.
 
     A resource that has not landed is left out.
     """
-    silver = {}
+    stored = {}
     for resource, flatten in FLATTEN.items():
         records = landing.read_ndjson(spark, landing_root, resource, transaction_time)
-        if records is None:
-            continue
-        tables.write_snapshot(flatten(records), silver_root, resource, transaction_time)
-        silver[resource] = tables.read_snapshots(
-            spark, silver_root, resource, SILVER[resource], transaction_time
-        )
-    return silver
+        if records is not None:
+            stored[resource] = silver_table(spark, silver_root, resource).replace(flatten(records))
+    return stored
 
 
-def load_increment(
-    spark: SparkSession, landing_root: str, silver_root: str, since: str, transaction_time: str
-) -> dict[str, DataFrame]:
-    """Silver of a snapshot that landed as changes to the one of ``since``: the latest row of each record.
+def store_increment(
+    spark: SparkSession, landing_root: str, silver_root: str, base: Mapping[str, int], transaction_time: str
+) -> dict[str, int]:
+    """Merge what landed as changes into the versions of ``base``: the latest row of each record.
 
-    A resource that has not landed is carried on as it was.
+    Only the buckets of changed records are rewritten; a resource that has not landed stays at its
+    version, and nothing of it is read.
     """
-    if since == transaction_time:
-        raise ValueError(f"{transaction_time} is loaded already")
-    silver = {}
+    stored = dict(base)
     for resource, flatten in FLATTEN.items():
-        rows = tables.read_snapshots(spark, silver_root, resource, SILVER[resource], since)
         records = landing.read_ndjson(spark, landing_root, resource, transaction_time)
         if records is not None:
-            rows = upsert(rows, flatten(records), [KEYS[resource]], "last_updated")
-        tables.write_snapshot(rows, silver_root, resource, transaction_time)
-        silver[resource] = tables.read_snapshots(
-            spark, silver_root, resource, SILVER[resource], transaction_time
-        )
-    return silver
+            table = silver_table(spark, silver_root, resource)
+            stored[resource] = table.upsert(flatten(records), base[resource])
+    return stored
+
+
+def load_silver(
+    spark: SparkSession, landing_root: str, silver_root: str, transaction_time: str
+) -> dict[str, DataFrame]:
+    """``store_snapshot``, and what it stored."""
+    return read_silver(spark, silver_root, store_snapshot(spark, landing_root, silver_root, transaction_time))
 
 
 def staged(silver: Mapping[str, DataFrame], loaded_at=None) -> dict[str, DataFrame]:
@@ -103,27 +114,62 @@ def dashboard_queries(models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def stored_models(spark: SparkSession, silver_root: str, location: str) -> dict[str, DataFrame]:
+    """The models of the last load: the views over its silver, the marts as they are stored."""
+    models = {n: tables.materialise(df, n, "view") for n, df in staged(read_silver(spark, silver_root)).items()}
+    return models | {name: tables.open_table(spark, name, f"{location}/{name}") for name in MARTS}
+
+
 def build(
     spark: SparkSession, landing_root: str, silver_root: str, mart_root: str, transaction_time: str
 ) -> dict[str, DataFrame]:
-    """Silver, models and marts of one snapshot; the watermark moves last, once all is stored."""
-    silver = load_silver(spark, landing_root, silver_root, transaction_time)
-    missing = set(FLATTEN) - set(silver)
+    """Silver, models and marts of one snapshot; the load is logged last, once all is stored.
+
+    The same time again replaces what the first run stored; a time before the last load is refused.
+    """
+    log = f"{silver_root}/{LOADS}"
+    last = watermark.last_load(spark, log)
+    if last is None:
+        # Tells a first load that failed from a log that was lost.
+        CommitLog(spark, log).append(0, {watermark.TIME: None, "silver": {}})
+    else:
+        watermark.check_order(transaction_time, last[1][watermark.TIME])
+    landed = {r: landing.landed_state(spark, landing_root, r, transaction_time) for r in FLATTEN}
+    missing = sorted(r for r, state in landed.items() if state is None)
     if missing:
-        raise FileNotFoundError(f"no records landed for {sorted(missing)} at {transaction_time}")
-    models = save_models(silver, mart_root)
-    watermark.write_watermark(spark, f"{landing_root}/watermark", transaction_time)
+        raise FileNotFoundError(f"no records landed for {missing} at {transaction_time}")
+    versions = store_snapshot(spark, landing_root, silver_root, transaction_time)
+    models = save_models(read_silver(spark, silver_root, versions), mart_root)
+    watermark.write_watermark(spark, log, transaction_time, silver=versions, landed=landed, base=None)
     return models
 
 
 def build_increment(
     spark: SparkSession, landing_root: str, silver_root: str, mart_root: str, transaction_time: str
 ) -> dict[str, DataFrame]:
-    """Like ``build``, where only what changed since the watermark has landed; all, without a watermark."""
-    since = watermark.read_watermark(spark, f"{landing_root}/watermark")
+    """Like ``build``, where only what changed since the last load has landed; all, for the first load.
+
+    The same time again changes nothing, unless other files have landed since: then the load is
+    done again from what it started with. A time before the last load is refused, and so is a
+    silver whose log of loads is lost, as the changes would be taken for all there is.
+    """
+    log = f"{silver_root}/{LOADS}"
+    last = watermark.last_load(spark, log)
+    since = last[1][watermark.TIME] if last else None
     if since is None:
+        if last is None and any(silver_table(spark, silver_root, r).version() is not None for r in FLATTEN):
+            raise FileNotFoundError(f"{silver_root} holds silver, but no log of its loads")
         return build(spark, landing_root, silver_root, mart_root, transaction_time)
-    silver = load_increment(spark, landing_root, silver_root, since, transaction_time)
-    models = save_models(silver, mart_root)
-    watermark.write_watermark(spark, f"{landing_root}/watermark", transaction_time)
+    watermark.check_order(transaction_time, since)
+    entry, landed = last[1], {r: landing.landed_state(spark, landing_root, r, transaction_time) for r in FLATTEN}
+    base = entry["silver"]
+    if watermark.moment(transaction_time) == watermark.moment(since):
+        if landed == entry["landed"]:
+            return stored_models(spark, silver_root, mart_root)
+        if entry["base"] is None:
+            return build(spark, landing_root, silver_root, mart_root, transaction_time)
+        base = entry["base"]
+    versions = store_increment(spark, landing_root, silver_root, base, transaction_time)
+    models = save_models(read_silver(spark, silver_root, versions), mart_root)
+    watermark.write_watermark(spark, log, transaction_time, silver=versions, landed=landed, base=base)
     return models

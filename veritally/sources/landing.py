@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from urllib.parse import quote
 
@@ -10,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veritally.sources import files
 from veritally.sources.schemas import RESOURCES
 
 logger = logging.getLogger(__name__)
 
 # Downloads end in .ndjson; lines landed by a Spark text write end in .txt.
 FILE_PATTERN = "*.{ndjson,txt}"
+ENDINGS = (".ndjson", ".txt")
 
 
 def landing_path(root: str, resource: str, transaction_time: str) -> str:
@@ -68,6 +71,15 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def landed_state(spark: SparkSession, root: str, resource: str, transaction_time: str) -> str | None:
+    """A digest of the names, sizes and times of what has landed; None where nothing has."""
+    for path in (landing_path(root, resource, transaction_time), f"{root}/{resource}/{transaction_time}/"):
+        found = files.listed(spark, path)
+        if any(name.endswith(ENDINGS) for name, _, _ in found):
+            return hashlib.sha256(repr([f for f in found if f[0].endswith(ENDINGS)]).encode()).hexdigest()
+    return None
+
+
 def land_ndjson(
     lines: DataFrame, root: str, resource: str, transaction_time: str, lines_per_file: int = 0
 ) -> str:

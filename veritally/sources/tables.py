@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from veritally.sources import versions
+
+logger = logging.getLogger(__name__)
+
 SNAPSHOT = "transaction_time"
 
 
@@ -53,7 +58,7 @@ def load_table(
 ) -> DataFrame:
     """Replace a table by the Parquet files at ``paths`` (globs allowed) and return it.
 
-    Without ``schema`` the types are those stored in the files.
+    Without ``schema`` the types are those stored in the files. The number of rows is logged.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     rows = reader.parquet(*([paths] if isinstance(paths, str) else paths))
@@ -61,12 +66,36 @@ def load_table(
 
 
 def save_table(df: DataFrame, table: str, location: str | None = None) -> DataFrame:
-    """Materialise ``df`` as a table (at ``location`` if given), replacing it, and return it."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Materialise ``df`` as a table (at ``location`` if given), replacing it, and return it.
+
+    The rows go to a new version, and the table points to it once all are stored. Who has the
+    table open keeps the old version; a job that fails leaves it in place.
+    """
+    spark = df.sparkSession
+    location = location or table_location(spark, table)
+    rows = versions.publish(df, location)
+    logger.info("table %s: %d rows", table, rows)
+    return open_table(spark, table, location)
+
+
+def table_location(spark: SparkSession, table: str) -> str:
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}.versions"
+
+
+def open_table(spark: SparkSession, table: str, location: str | None = None) -> DataFrame:
+    """Point the name to the present version at its location, which the commit log there knows, and return it."""
+    location = location or table_location(spark, table)
+    found = versions.read_current(spark, location)
+    if found is None:
+        raise FileNotFoundError(f"no version of {table} was stored at {location}")
+    path, kinds = versions.current_folder(spark, location), found.schema.simpleString()
+    if spark.catalog.tableExists(table) and spark.table(table).schema.simpleString() == kinds:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path.replace(chr(39), chr(92) + chr(39))}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path, "parquet", found.schema)
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
 
 
 def save_view(df: DataFrame, name: str) -> DataFrame:

@@ -1,12 +1,16 @@
 """Landed records to silver, as they arrive.
 
-Each micro-batch is written to a folder of its own number, replacing what a failed attempt at the
-same batch may have left, so a restart neither loses nor repeats records. A snapshot that lands
-again arrives as new files; reading the batches by key takes the latest row of each record.
+Each micro-batch is written to a fresh folder and committed under its number, so a restart neither
+loses nor repeats records: a batch whose number is committed is not written again, and what a
+failed attempt left is named by no commit. Whenever ``FAN_IN`` parts of one level are there, the
+batch that completes them merges them into a part of the next level, within its own commit: reads
+touch at most ``FAN_IN - 1`` parts of each level, and a record is rewritten once a level. A
+snapshot that lands again arrives as new files; by key, the latest row of each record stays.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +20,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from veritally.operators.flatten import FLATTEN
 from veritally.operators.latest import latest_by_key, upsert
+from veritally.sources import files
 from veritally.sources.landing import FILE_PATTERN
 from veritally.sources.schemas import RESOURCES
+from veritally.sources.versions import counted_write, fresh_folder, log_of, remove_unnamed, schema_of
 
 BATCH = "batch_id"
+FAN_IN = 8
 VERSION = "version"
 
 
@@ -41,12 +48,42 @@ def stream_ndjson(
     return reader.json(landing)
 
 
-def write_batches(stream: DataFrame, path: str, checkpoint: str, transform=None) -> StreamingQuery:
-    """Process all that has landed, then stop; call it again for what lands later."""
+def write_batches(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    transform=None,
+    keys: Sequence[str] = (),
+    order: str = "last_updated",
+    fan_in: int = FAN_IN,
+) -> StreamingQuery:
+    """Process all that has landed, then stop; call it again for what lands later.
+
+    With ``keys`` merged parts hold the latest row of each key, without them all rows.
+    """
+    log = log_of(stream.sparkSession, path)
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = transform(batch) if transform else batch
-        rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={number}")
+        spark, source = batch.sparkSession, json.loads(files.read_text(batch.sparkSession, f"{checkpoint}/metadata"))["id"]
+        found = log.latest()
+        parts = found[1]["parts"] if found else []
+        if found and found[1]["stream"] != source:
+            raise ValueError(f"{path} holds the batches of another stream than {checkpoint}")
+        if found and found[0] >= number:
+            return
+        rows = (transform(batch) if transform else batch).withColumn(BATCH, F.lit(number).cast("long"))
+
+        def store(df: DataFrame, level: int) -> dict:
+            folder = fresh_folder(f"level-{level}")
+            return {"level": level, "folder": folder, "rows": counted_write(df, f"{path}/{folder}")}
+
+        parts = [*parts, store(rows, 0)]
+        while len(parts) >= fan_in and len({p["level"] for p in parts[-fan_in:]}) == 1:
+            merged = _read_parts(spark, path, parts[-fan_in:], rows.schema)
+            if keys:
+                merged = latest_by_key(merged, keys, order, (BATCH,))
+            parts = [*parts[:-fan_in], store(merged, parts[-1]["level"] + 1)]
+        log.append(number, {"parts": parts, "stream": source, "schema": rows.schema.json()})
 
     return (
         stream.writeStream.foreachBatch(write)
@@ -56,6 +93,10 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, transform=None)
     )
 
 
+def _read_parts(spark: SparkSession, path: str, parts: Sequence[dict], schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(*[f"{path}/{p['folder']}" for p in parts])
+
+
 def stream_resource(
     spark: SparkSession,
     landing_root: str,
@@ -63,21 +104,42 @@ def stream_resource(
     silver_root: str,
     checkpoint: str,
     files_per_batch: int | None = None,
+    keys: Sequence[str] = (),
 ) -> StreamingQuery:
     """Flatten the records of a resource into silver as they land."""
     stream = stream_ndjson(spark, f"{landing_root}/{resource}", RESOURCES[resource], files_per_batch)
-    return write_batches(stream, f"{silver_root}/{resource}", checkpoint, FLATTEN[resource])
+    return write_batches(stream, f"{silver_root}/{resource}", checkpoint, FLATTEN[resource], keys)
 
 
 def read_batches(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (), order: str = "last_updated"
+    spark: SparkSession, path: str, schema: T.StructType | None = None, keys: Sequence[str] = (), order: str = "last_updated"
 ) -> DataFrame:
-    """Everything the batches wrote; with ``keys`` the latest row of each, of equal ones the last to arrive."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    rows = spark.read.schema(full).parquet(path)
+    """Everything the batches wrote; with ``keys`` the latest row of each, of equal ones the last to arrive.
+
+    Without ``schema`` the columns are those of the last batch.
+    """
+    found = log_of(spark, path).latest()
+    if found is None:
+        if schema is None:
+            raise FileNotFoundError(f"no batch was written to {path}")
+        return spark.createDataFrame([], schema)
+    full = schema_of(found[1]) if schema is None else T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
+    rows = _read_parts(spark, path, found[1]["parts"], full)
     return (latest_by_key(rows, keys, order, (BATCH,)) if keys else rows).drop(BATCH)
 
 
+def parts_of(spark: SparkSession, path: str) -> list[dict]:
+    """Level, folder and rows of the parts that a read touches, oldest first."""
+    found = log_of(spark, path).latest()
+    return found[1]["parts"] if found else []
+
+
+def vacuum_batches(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Remove the folders that none of the last ``keep`` commits names; not to be run beside a stream."""
+    named = {p["folder"] for e in log_of(spark, path).expire(keep) for p in e["parts"]}
+    return remove_unnamed(spark, path, named)
+
+
 def merge_increment(
     current: DataFrame | None,
     increment: DataFrame,
