@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from veritally.session import scratch_path
+from veritally.sources.tables import write_snapshot
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
 
 
 class Tables:
@@ -23,6 +27,19 @@ class Tables:
     def __call__(self, name: str) -> DataFrame:
         return self.once(f"table {name}", lambda: self.spark.read.parquet(self.path(name)))
 
+    def split(self, name: str) -> DataFrame:
+        """The table in files that let its scan use all cores.
+
+        The test tables are a single row group each, which one task has to read. They are landed
+        again, once a session, as a few files for every core.
+        """
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _LANDED:
+            table, files = self(name), 2 * self.spark.sparkContext.defaultParallelism
+            root = scratch_path(self.spark, "landed")
+            _LANDED[key] = write_snapshot(table, root, name, "once", max(1, -(-table.count() // files)))
+        return self.once(f"landed {name}", lambda: self.spark.read.schema(self(name).schema).parquet(_LANDED[key]))
+
     def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
         """A plan that several parts of a query use, built a single time."""
         if name not in self._made:

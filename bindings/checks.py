@@ -236,6 +236,48 @@ def claims_suite_with_violations(t):
     return run_suite(_stored_claims(t), specs)
 
 
+def _line_check(label: str, failures: str) -> str:
+    return f"""SELECT '{label}' AS "check", CAST({failures} AS BIGINT) AS failures,
+        CASE WHEN {failures} > 0 THEN 'error' ELSE 'pass' END AS status, false AS vacuous"""
+
+
+def _lines(condition: str) -> str:
+    return f"(SELECT count(*) FROM lineitem WHERE {condition})"
+
+
+@query(
+    " UNION ALL ".join([
+        _line_check("repeated orders", "(SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey HAVING count(*) > 1))"),
+        _line_check("unknown parts", _lines("l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 5)")),
+        _line_check("unfilled orders", _lines("l_tax = 0 AND l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")),
+        _line_check("flags", _lines("l_returnflag NOT IN ('A', 'R')")),
+        _line_check("states", _lines("l_linestatus IS NULL")),
+        _line_check("days", "(SELECT CASE WHEN count(DISTINCT l_shipdate) < 10 THEN 0 ELSE 1 END FROM lineitem)"),
+        _line_check("quantities", "(SELECT CASE WHEN count(DISTINCT l_quantity) BETWEEN 1 AND 100 THEN 0 ELSE 1 END FROM lineitem)"),
+    ])
+)
+def keyed_suite(t):
+    """Seven checks on distinct values, most of which some lines break, in one scan of the lines."""
+    filled = t("orders").filter("o_orderstatus = 'F'")
+    large = t("part").filter("p_size > 5")
+    specs = [
+        CheckSpec("unique", {"column_name": "l_orderkey"}, "repeated orders"),
+        CheckSpec("relationships", {"column_name": "l_partkey", "to": large, "field": "p_partkey"}, "unknown parts"),
+        CheckSpec(
+            "relationships",
+            {"column_name": "l_orderkey", "to": filled, "field": "o_orderkey", "row_condition": "l_tax = 0"}, "unfilled orders",
+        ),
+        CheckSpec("expect_column_values_to_be_in_set", {"column_name": "l_returnflag", "value_set": ["A", "R"]}, "flags"),
+        CheckSpec("expect_column_values_to_be_in_set", {"column_name": "l_linestatus", "value_set": ["F", "O"]}, "states"),
+        CheckSpec("expect_column_distinct_count_to_be_less_than", {"column_name": "l_shipdate", "value": 10}, "days"),
+        CheckSpec(
+            "expect_column_unique_value_count_to_be_between",
+            {"column_name": "l_quantity", "min_value": 1, "max_value": 100}, "quantities",
+        ),
+    ]
+    return run_suite(t("lineitem"), specs)
+
+
 @query(
     f"""SELECT 'unique:coverage_id' AS "check", CAST(0 AS BIGINT) AS failures, 'pass' AS status, false AS vacuous
         UNION ALL SELECT 'not_null:coverage_id', count(*) FILTER (WHERE coverage_id IS NULL), 'pass', false

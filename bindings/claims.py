@@ -185,17 +185,17 @@ def patients(t: Tables) -> DataFrame:
 
 @shared
 def coverages(t: Tables) -> DataFrame:
-    return records(t("orders"), "Coverage", COVERAGE_FIELDS)
+    return records(t.split("orders"), "Coverage", COVERAGE_FIELDS)
 
 
 @shared
 def eobs(t: Tables) -> DataFrame:
-    return records(t("orders"), "ExplanationOfBenefit", EOB_FIELDS)
+    return records(t.split("orders"), "ExplanationOfBenefit", EOB_FIELDS)
 
 
 @shared
 def line_eobs(t: Tables) -> DataFrame:
-    return records(t("lineitem"), "ExplanationOfBenefit", LINE_FIELDS)
+    return records(t.split("lineitem"), "ExplanationOfBenefit", LINE_FIELDS)
 
 
 # --- models ----------------------------------------------------------------------------------
@@ -557,7 +557,7 @@ def claims_by_type(t):
         GROUP BY ALL ORDER BY diagnosis_count DESC, diagnosis_code LIMIT 20"""
 )
 def top_diagnoses(t):
-    return dashboards.top_diagnoses(intermediate.int_eob_diagnoses(line_claims(t)))
+    return dashboards.top_diagnoses(intermediate.int_eob_diagnoses(line_claims(t), dashboards.DIAGNOSIS_COUNT_COLUMNS))
 
 
 @query(

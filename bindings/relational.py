@@ -15,7 +15,7 @@ from veritally.operators.date_dimension import (
 )
 from veritally.operators.latest import latest_by_key
 from veritally.operators.membership import not_in
-from veritally.operators.ordered import SORT, VALUE, neighbour_violations, running_sum
+from veritally.operators.ordered import SORT, VALUE, lag_rows, neighbour_violations, running_sum, trailing
 from veritally.operators.quantile import percentile_by, percentile_over
 
 # --- joins -----------------------------------------------------------------------------------
@@ -36,7 +36,7 @@ def left_join_using(t):
 )
 def left_anti_join(t):
     flags = t("lineitem").select(F.nullif("l_returnflag", F.lit("R")).alias("value_field"))
-    members = values.set_frame(flags, ["A"], True).withColumnRenamed("value_field", "member")
+    members = values.set_frame(flags.sparkSession, ["A"], True).withColumnRenamed("value_field", "member")
     return flags.join(members, F.col("value_field") == F.col("member"), "left_anti")
 
 
@@ -84,7 +84,7 @@ def full_join_literals(t):
 )
 def not_in_subquery(t):
     segments = t("customer").select(F.concat(F.lit("x"), "c_mktsegment").alias("value_field"))
-    listed = segments.unionByName(values.set_frame(segments, ["5-LOW"], True))
+    listed = segments.unionByName(values.set_frame(segments.sparkSession, ["5-LOW"], True))
     return not_in(t("orders").select("o_orderkey", "o_orderpriority"), "o_orderpriority", listed)
 
 
@@ -321,6 +321,27 @@ def trailing_frame(t):
     )
 
 
+@query(
+    """SELECT event_id, value, lag(value, 5) OVER (ORDER BY ts, event_id) AS fifth_before FROM events"""
+)
+def lag_on_raw_events(t):
+    """The whole table is one group, in ranges that see the last rows of the ranges before."""
+    events = t("events").select("event_id", "ts", "value")
+    return lag_rows(events, "value", ["ts", "event_id"], 5, alias="fifth_before").drop("ts")
+
+
+@query(
+    """SELECT event_id, event_type, round(avg(value) OVER w, 4) AS mean, round(stddev_samp(value) OVER w, 4) AS deviation,
+       count(*) OVER w AS n FROM events
+       WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"""
+)
+def trailing_on_raw_events(t):
+    events = t("events").select("event_id", "event_type", "ts", "value")
+    made = {"mean": F.avg("value"), "deviation": F.stddev_samp("value"), "n": F.count(F.lit(1))}
+    found = trailing(events, made, ["ts", "event_id"], 20, ["event_type"]).drop("ts", "value")
+    return found.withColumns({c: F.round(c, 4) for c in ("mean", "deviation")})
+
+
 @query(
     """SELECT l_suppkey, round(v, 2) AS v, round(avg(v) OVER (), 2) AS mean, round(stddev_samp(v) OVER (), 2)
        AS deviation FROM (SELECT l_suppkey, sum(l_extendedprice) AS v FROM lineitem GROUP BY 1)"""
@@ -416,7 +437,7 @@ def running_sums_in_ranges(t):
 )
 def literal_rows(t):
     orders = t("orders").groupBy("o_orderstatus").agg(F.count("o_orderkey").alias("n"))
-    members = values.set_frame(orders, ["F", "O", "O", "X"], True)
+    members = values.set_frame(orders.sparkSession, ["F", "O", "O", "X"], True)
     joined = members.join(orders, F.col("value_field") == F.col("o_orderstatus"), "left")
     return joined.groupBy("value_field").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("orders"))
 

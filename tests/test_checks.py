@@ -1,11 +1,13 @@
 """Checks on small tables, each once with arguments that hold and once with arguments that do not."""
 
+import re
+
 import pytest
 
 from veritally.checks import REGISTRY, CheckSpec, run_suite
 from veritally.checks.suite import worst
 from veritally.functions import scalar
-from veritally.functions.scalar import with_flags
+from veritally.functions.scalar import regexp_instr, with_flags
 
 DATA = [
     (1, "2020-10-21", 0.0, 1.0, "a", "b", None, None, 1.0, 2, -2),
@@ -324,3 +326,22 @@ def test_later_matches_keep_back_references(spark, rows):
         scalar.regexp_instr("s", r"([ab])\1", occurrence=2), scalar.regexp_instr("s", r"([ab])\1", position=4)
     )
     assert rows(found) == [(0, 0), (5, 5), (None, None)]
+
+
+def test_positions_of_matches(spark):
+    """Of the n-th match from a place on, as ``finditer`` finds them, with what stands before the place in sight."""
+    texts = ["aaa", "xaxa", "a\uffffa\uffffa", "", "b", "foo bar foobar", "aab aab", "ab\nab"]
+    table = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    for pattern in ("a", "aa", "a*", r"\bfoo", r"(?<=x)a", r"(a)\1b", "o+", r"\Bb", "$", "."):
+        for position in (1, 2, 3, 5):
+            for occurrence in (1, 2, 3):
+                found = {r[0]: r[1] for r in table.select("t", regexp_instr("t", pattern, position, occurrence)).collect()}
+                for text in texts:
+                    starts = [m.start() + 1 for m in re.compile(pattern).finditer(text, position - 1)]
+                    if pattern == "$" and text.endswith("\n"):
+                        continue
+                    want = starts[occurrence - 1] if len(starts) >= occurrence else 0
+                    if position - 1 > len(text):
+                        want = 0
+                    assert found[text] == want, (text, pattern, position, occurrence)
+                assert found[None] is None

@@ -1,18 +1,21 @@
 """The ways taken for groups too large for one task give the rows of the plain ways."""
 
 import random
+import time
 from collections import Counter, defaultdict
+from dataclasses import replace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from veritally.checks import kernel, values
+from veritally.checks import CheckSpec, kernel, run_suite, values
+from veritally.checks.kernel import REGISTRY
 from veritally.operators import ordered
 from veritally.operators.latest import latest_by_key, upsert
 from veritally.operators.membership import not_in
-from veritally.operators.ordered import repeat_rows, running_sum
+from veritally.operators.ordered import lag_rows, repeat_rows, running_sum, trailing
 from veritally.operators.quantile import percentile_by
 from veritally.operators.ranges import with_range
 
@@ -90,6 +93,82 @@ def test_running_sums(skewed, descending):
     assert sorted(map(tuple, plain)) == sorted(map(tuple, ranged))
 
 
+@pytest.mark.parametrize("rows_back", [1, 3, 40])
+@pytest.mark.parametrize("keys", [[], ["g"]])
+def test_rows_before(skewed, rows_back, keys):
+    """Lags and trailing frames over ranges are those over whole groups, also where ranges hold fewer rows."""
+    plain, ranged = (
+        lag_rows(skewed, "v", ["s", "i"], rows_back, keys, "before", whole).collect() for whole in (True, False)
+    )
+    assert sorted(map(tuple, plain), key=repr) == sorted(map(tuple, ranged), key=repr)
+    made = {"n": F.count("v"), "least": F.min("v"), "ids": F.collect_list("i")}
+    for current in (False, True):
+        plain, ranged = (
+            trailing(skewed, made, ["s", "i"], rows_back, keys, current, whole).collect() for whole in (True, False)
+        )
+        assert sorted(map(repr, plain)) == sorted(map(repr, ranged))
+
+
+def test_rows_before_against_brute_force(skewed):
+    groups = defaultdict(list)
+    for g, s, v, i in skewed.collect():
+        groups[g].append((s, i, v))
+    want = {}
+    for members in groups.values():
+        members.sort()
+        for place, (_, i, _) in enumerate(members):
+            want[i] = members[place - 7][2] if place >= 7 else None
+    found = lag_rows(skewed, "v", ["s", "i"], 7, ["g"])
+    assert {r["i"]: r["lag"] for r in found.collect()} == want
+
+
+def test_pair_sets(spark):
+    """A join to 100,000 pairs leaves the rows that the comparison one by one leaves, missing values included."""
+    pick = random.Random(SEED)
+    value = lambda: pick.choice([None, *range(6)])
+    rows = spark.createDataFrame([(i, value(), value()) for i in range(400)], "i int, a int, b int")
+    check = REGISTRY["expect_column_pair_values_to_be_in_set"]
+    few = [[0, 1], [2, 2], [4, 0.0]]
+    joined = check(rows, "a", "b", few, carry=["i"])
+    compared = check(rows, "a", "b", [*few, ["0 + 0", "1"]], carry=["i"])
+    assert counted(joined) == counted(compared) and 0 < joined.count() < 400
+    many = few + [[n, n] for n in range(1000, 101_000)]
+    start = time.monotonic()
+    assert counted(check(rows, "a", "b", many, carry=["i"])) == counted(joined)
+    assert time.monotonic() - start < 60
+    text = spark.createDataFrame([("x", "y"), ("x", None), ("z", "y"), ("it's", "y")], "a string, b string")
+    found = check(text, "a", "b", [["'x'", "'y'"], ["'it''s'", "'y'"]], carry=["a"])
+    assert counted(found) == {("z", False): 1}
+
+
+def test_suites_share_scans(spark):
+    """Row checks in one scan, checks on distinct values in another, equal to each check by itself."""
+    table = spark.createDataFrame(
+        [(1, "a", 1.0), (1, "b", None), (2, None, 2.0), (None, "a", -0.0), (None, "c", 0.0)], "k int, s string, d double"
+    )
+    parents = spark.createDataFrame([(1,), (1,), (None,)], "p int")
+    wide = parents.selectExpr("cast(p as bigint) as p")
+    column = lambda c, **more: {"column_name": c, **more}
+    specs = [
+        CheckSpec("unique", column("k")), CheckSpec("expect_column_values_to_be_unique", column("d")),
+        CheckSpec("unique", column("s", row_condition="k is null")),
+        CheckSpec("relationships", column("k", to=parents, field="p")),
+        CheckSpec("relationships", column("k", to=wide, field="p")),
+        CheckSpec("expect_column_values_to_be_in_set", column("s", value_set=["a"])),
+        CheckSpec("expect_column_values_to_be_in_set", column("s", value_set=[])),
+        CheckSpec("expect_column_distinct_count_to_equal", column("s", value=3)),
+        CheckSpec("expect_column_distinct_count_to_be_greater_than", column("d", value=3, row_condition="k = 1")),
+        CheckSpec("expect_column_unique_value_count_to_be_between", column("k", min_value=3)),
+        CheckSpec("not_null", column("s")),
+    ]
+    specs = [replace(s, label=str(i)) for i, s in enumerate(specs)]
+    found = {r["check"]: r["failures"] for r in run_suite(table, specs).collect()}
+    assert found == {s.name: s.violations(table).count() for s in specs}
+    assert sum(found.values()) > 8
+    empty = {r["check"]: r["failures"] for r in run_suite(table.limit(0), specs).collect()}
+    assert empty == {s.name: s.violations(table.limit(0)).count() for s in specs}
+
+
 def test_building_a_plan_runs_no_job(spark, skewed):
     context = spark.sparkContext
     skewed.count()

@@ -30,7 +30,9 @@ def test_malformed_lines(spark, tmp_path):
     landing.land_ndjson(json_lines(spark, '{"id": "1"}', "{broken"), str(tmp_path), "Patient", TIME)
     with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
         landing.read_ndjson(spark, str(tmp_path), "Patient", TIME).collect()
-    assert landing.read_ndjson(spark, str(tmp_path), "Patient", TIME, strict=False).count() == 2
+    lenient = landing.read_ndjson(spark, str(tmp_path), "Patient", TIME, strict=False)
+    assert {(r["id"], r[landing.CORRUPT]) for r in lenient.collect()} == {("1", None), (None, "{broken")}
+    assert flatten_patient(lenient).count() == 2
 
 
 def test_landing_again_replaces(spark, tmp_path):
@@ -128,5 +130,7 @@ def test_shared_dir_follows_the_session(spark):
     assert shared_dir(Session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"})) == "hdfs:///shared"
     with pytest.raises(ValueError):
         shared_dir(Session("yarn"))
+    with pytest.raises(ValueError):
+        shared_dir(Session("local-cluster[2,1,1024]"))
     local = Session("local[2]")
     assert shared_dir(local) == shared_dir(local) == local.folder

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritally.checks.keyed import Keyed, distinct_count
 from veritally.checks.kernel import (
     _as_list,
     aggregate_check,
@@ -29,16 +30,31 @@ def expect_column_distinct_count_to_equal(column_name: str, value: int) -> Colum
     return _distinct(column_name) == operand(value)
 
 
+expect_column_distinct_count_to_equal.keyed = lambda column_name, value: Keyed(
+    F.expr(column_name), distinct_count(lambda n: n == operand(value))
+)
+
+
 @aggregate_check(fusible=False)
 def expect_column_distinct_count_to_be_greater_than(column_name: str, value: int) -> Column:
     return _distinct(column_name) > operand(value)
 
 
+expect_column_distinct_count_to_be_greater_than.keyed = lambda column_name, value: Keyed(
+    F.expr(column_name), distinct_count(lambda n: n > operand(value))
+)
+
+
 @aggregate_check(fusible=False)
 def expect_column_distinct_count_to_be_less_than(column_name: str, value: int) -> Column:
     return _distinct(column_name) < operand(value)
 
 
+expect_column_distinct_count_to_be_less_than.keyed = lambda column_name, value: Keyed(
+    F.expr(column_name), distinct_count(lambda n: n < operand(value))
+)
+
+
 @register
 def expect_column_distinct_count_to_equal_other_table(
     df: DataFrame,
@@ -81,7 +97,7 @@ def expect_column_distinct_values_to_contain_set(
 ) -> DataFrame:
     """Members of the set that the column never takes."""
     # Only the values that are members matter, so the rows shrink to the set before they move.
-    members = set_frame(df, value_set, quote_values).distinct()
+    members = set_frame(df.sparkSession, value_set, quote_values).distinct()
     wanted = members.withColumnRenamed("value_field", "member")
     values = _values(df, column_name, row_condition)
     values = values.join(wanted, F.col("value_field") == F.col("member"), "left_semi").distinct()
@@ -100,7 +116,7 @@ def expect_column_distinct_values_to_equal_set(
     """Distinct values and members without a partner on the other side."""
     values = _values(df, column_name, row_condition).distinct()
     values = values.withColumnRenamed("value_field", "column_value")
-    members = set_frame(df, value_set, quote_values).distinct()
+    members = set_frame(df.sparkSession, value_set, quote_values).distinct()
     paired = values.join(members, F.col("column_value") == F.col("value_field"), "full")
     return paired.filter(F.col("column_value").isNull() | F.col("value_field").isNull())
 
@@ -148,6 +164,11 @@ def expect_column_unique_value_count_to_be_between(
     return between(_distinct(column_name), min_value, max_value, strictly)
 
 
+expect_column_unique_value_count_to_be_between.keyed = lambda column_name, **bounds: Keyed(
+    F.expr(column_name), distinct_count(lambda n: between(n, **bounds))
+)
+
+
 @aggregate_check(fusible=False)
 def expect_column_proportion_of_unique_values_to_be_between(
     column_name: str, min_value=None, max_value=None, strictly: bool = False

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritally.checks.keyed import Keyed, orphans, repeated
 from veritally.operators.ordered import repeat_rows
 
 REGISTRY: dict[str, Callable] = {}
@@ -230,6 +231,9 @@ def unique(df: DataFrame, column_name: str, row_condition: str | None = None) ->
     return counted.filter(F.col("n_records") > 1)
 
 
+unique.keyed = lambda column_name: Keyed(F.expr(column_name), repeated)
+
+
 @row_check
 def not_null(column_name: str) -> Column:
     """Rows whose value is missing; an empty text is a value."""
@@ -251,3 +255,6 @@ def relationships(
     parent = to.select(F.expr(field).alias("to_field")).filter(F.col("to_field").isNotNull())
     orphans = counted.join(parent, F.col("from_field") == F.col("to_field"), "left_anti")
     return repeat_rows(orphans, "__times")
+
+
+relationships.keyed = lambda column_name, to, field: Keyed(F.expr(column_name), orphans, to.select(F.expr(field)))

@@ -10,6 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veritally.checks.keyed import Keyed, failures, fits
 from veritally.checks.kernel import REGISTRY
 
 DEFAULT_FAIL_CALC = "count(*)"
@@ -81,6 +82,16 @@ class CheckSpec:
         return count if level == "row" or _is_plain(df, count) else None
 
 
+    def keyed_count(self, df: DataFrame) -> tuple[Keyed, str | None] | None:
+        """The failures as a count over the distinct values of a column, if the check allows that."""
+        make, arguments = getattr(REGISTRY[self.check], "keyed", None), dict(self.arguments)
+        if make is None or self.fail_calc != DEFAULT_FAIL_CALC or arguments.pop("group_by", None):
+            return None
+        condition = arguments.pop("row_condition", None)
+        made = make(**arguments)
+        return (made, condition) if fits(df, made) else None
+
+
 def _is_plain(df: DataFrame, count: Column) -> bool:
     """Whether the counted expression looks at one row; aggregates and windows cannot be counted."""
     try:
@@ -93,8 +104,10 @@ def run_suite(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     """(check, failures, status, vacuous), one row per enabled check.
 
     All checks and expressions that look at one row, and all plain aggregates, with or without a
-    row condition, share a single scan of the table that reads only the columns they name. The others run as jobs of their own. Nothing is
-    collected: violations are counted where they are.
+    row condition, share a single scan of the table that reads only the columns they name. Checks
+    on distinct values (unique, partners in another table, members of a set, distinct counts)
+    share a second one. The others run as jobs of their own. Nothing is collected: violations are
+    counted where they are.
     """
     active = [s for s in specs if s.enabled]
     if not active:
@@ -104,18 +117,26 @@ def run_suite(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
     reports = []
     if shared:
         counts = df.agg(*[count.alias(f"c{i}") for i, (_, count) in enumerate(shared)])
-        rows = [
-            F.struct(F.lit(i).alias("position"), F.col(f"c{i}").alias("failures"))
-            for i in range(len(shared))
-        ]
-        numbered = counts.select(F.inline(F.array(*rows)))
-        reports.append(_report(numbered, [s for s, _ in shared], df))
-    for spec in [s for s, count in fused if count is None]:
+        reports.append(_report(_numbered(counts), [s for s, _ in shared], df))
+    by_value = [(s, s.keyed_count(df)) for s, count in fused if count is None]
+    keyed = [(s, made) for s, made in by_value if made is not None]
+    if keyed:
+        counts = failures(df, [made for _, made in keyed])
+        reports.append(_report(_numbered(counts), [s for s, _ in keyed], df))
+    for spec in [s for s, made in by_value if made is None]:
         counted = spec.violations(df).agg(F.expr(spec.fail_calc).cast("bigint").alias("failures"))
         reports.append(_report(counted.withColumn("position", F.lit(0)), [spec], df))
     return reduce(DataFrame.unionByName, reports)
 
 
+def _numbered(counts: DataFrame) -> DataFrame:
+    """(position, failures) of the columns c0, c1, ... of a single row."""
+    rows = [
+        F.struct(F.lit(i).alias("position"), F.col(c).alias("failures")) for i, c in enumerate(counts.columns)
+    ]
+    return counts.select(F.inline(F.array(*rows)))
+
+
 def _report(numbered: DataFrame, specs: Sequence[CheckSpec], df: DataFrame) -> DataFrame:
     def pick(values: list[Column]) -> Column:
         return F.get(F.array(*values), F.col("position"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veritally.checks.keyed import Keyed, outside, repeated
 from veritally.checks.kernel import _as_list, between, register, row_check, select_rows
 from veritally.checks.multicolumn import expect_compound_columns_to_be_unique
 from veritally.operators.ordered import (
@@ -39,6 +40,9 @@ def expect_column_values_to_be_unique(
     return expect_compound_columns_to_be_unique(df, [column_name], row_condition=row_condition)
 
 
+expect_column_values_to_be_unique.keyed = lambda column_name: Keyed(F.expr(column_name), repeated)
+
+
 @row_check
 def expect_column_values_to_not_be_null(column_name: str) -> Column:
     return F.expr(column_name).isNotNull()
@@ -101,12 +105,11 @@ def expect_column_values_to_have_consistent_casing(
     return counts.filter(F.col("set_count") != F.col("set_count_case_insensitive"))
 
 
-def set_frame(df: DataFrame, value_set: Sequence, quote_values: bool) -> DataFrame:
+def set_frame(spark: SparkSession, value_set: Sequence, quote_values: bool) -> DataFrame:
     """The members as a column: quoted ones are text, unquoted ones SQL expressions.
 
     Text travels as one literal, so that a long list costs one call and Spark knows its size.
     """
-    spark = df.sparkSession
     if quote_values or not value_set:
         members = F.from_json(F.lit(json.dumps([str(v) for v in value_set])), "array<string>")
         return spark.range(1).select(F.explode(members).alias("value_field"))
@@ -120,7 +123,7 @@ def _values(df: DataFrame, column_name: str, row_condition: str | None) -> DataF
 
 def outside_set(values: DataFrame, value_set: Sequence, quote_values: bool) -> DataFrame:
     """Values that are not in the set, nulls included."""
-    members = set_frame(values, value_set, quote_values).withColumnRenamed("value_field", "member")
+    members = set_frame(values.sparkSession, value_set, quote_values).withColumnRenamed("value_field", "member")
     return values.join(members, F.col("value_field") == F.col("member"), "left_anti")
 
 
@@ -136,6 +139,13 @@ def expect_column_values_to_be_in_set(
     return outside_set(_values(df, column_name, row_condition), value_set, quote_values)
 
 
+def _set_membership(column_name: str, value_set: Sequence, quote_values: bool = True) -> Keyed:
+    return Keyed(F.expr(column_name), outside, set_frame(SparkSession.active(), value_set, quote_values))
+
+
+expect_column_values_to_be_in_set.keyed = _set_membership
+
+
 @register
 def expect_column_values_to_not_be_in_set(
     df: DataFrame,
@@ -146,7 +156,7 @@ def expect_column_values_to_not_be_in_set(
 ) -> DataFrame:
     """Values inside the set, once for every time the set names them."""
     values = _values(df, column_name, row_condition)
-    members = set_frame(df, value_set, quote_values).withColumnRenamed("value_field", "member")
+    members = set_frame(df.sparkSession, value_set, quote_values).withColumnRenamed("value_field", "member")
     return values.join(members, F.col("value_field") == F.col("member")).select("value_field")
 
 

@@ -57,15 +57,21 @@ def regexp_instr(
     source: Column | str, pattern: str, position: int = 1, occurrence: int = 1, flags: str = ""
 ) -> Column:
     """1-based position of the n-th match at or after ``position``; 0 if there is none."""
-    column = as_column(source)
-    if position == 1 and occurrence == 1:
-        return F.regexp_instr(column, F.lit(with_flags(pattern, flags)))
-    rest = F.substring(column, position, F.length(column)) if position > 1 else column
-    # The pattern stays as it is, so that its back-references keep their numbers.
-    marked = F.regexp_replace(rest, F.lit(with_flags(pattern, flags)), F.lit(f"{MARK}$0"))
-    before = F.substring_index(marked, MARK, occurrence)
-    found = F.length(marked) - F.length(rest) >= occurrence
-    return F.when(found, F.length(before) - (occurrence - 1) + position).when(rest.isNotNull(), 0)
+    column, wanted = as_column(source), with_flags(pattern, flags)
+    if position > 1:
+        # No match starts behind fewer characters. The whole text is searched, so that what a
+        # pattern looks for behind itself is there, and no group is added, so that references keep
+        # their numbers.
+        wanted = rf"(?<!\A(?s:.{{0,{position - 2}}}))(?:{wanted})"
+    if occurrence == 1:
+        return F.regexp_instr(column, F.lit(wanted))
+    matches = F.regexp_extract_all(column, F.lit(wanted), F.lit(0))
+    pieces = F.split(column, wanted, -1)
+    # An empty match at the very start leaves no empty piece before it.
+    pieces = F.when(F.size(pieces) == F.size(matches), F.concat(F.array(F.lit("")), pieces)).otherwise(pieces)
+    before = F.concat(F.slice(pieces, 1, occurrence), F.slice(matches, 1, occurrence - 1))
+    start = F.length(F.array_join(before, "")) + 1
+    return F.when(F.size(matches) >= occurrence, start).when(column.isNotNull(), 0)
 
 
 def _tree(conditions: Sequence[Column], join: Callable[[Column, Column], Column]) -> Column:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from veritally.operators.ranges import RANGE, with_range
@@ -71,6 +72,74 @@ def neighbour_violations(
     return inside.unionByName(at_edges).unionByName(repeat_rows(spare, "__spare"))
 
 
+def over_previous(
+    df: DataFrame,
+    made: Mapping[str, Callable[[WindowSpec], Column]],
+    order: Sequence[str],
+    rows_back: int,
+    group_by: Sequence[str] = (),
+    whole_groups: bool = False,
+) -> DataFrame:
+    """``df`` with columns made from each row and at most ``rows_back`` rows before it, at any group size.
+
+    Every function gets the ordered window, to which it may add a frame that looks no further back
+    than ``rows_back`` rows and not ahead. ``order`` must tell the rows of a group apart: which of
+    equal ones comes first is not defined, and all of them are in one range. Rows are cut into
+    ranges over (group, order). Inside a range all but the first rows have what they need; these
+    see the last ``rows_back`` rows of the ranges before, which are put together with them: at
+    most ``2 * rows_back`` rows for each range and group. ``whole_groups`` sorts each group in one
+    task instead: for groups known to be small.
+    """
+    keys, columns = list(group_by), list(df.columns)
+    if whole_groups:
+        window = W.partitionBy(*keys).orderBy(*order)
+        return df.withColumns({alias: make(window) for alias, make in made.items()})
+    ranged = with_range(df, [*[(k, False) for k in keys], *[(c, False) for c in order]])
+    in_range = W.partitionBy(RANGE, *keys).orderBy(*order)
+    placed = ranged.select(
+        "*",
+        F.row_number().over(in_range).alias("__place"),
+        F.lead(F.lit(True), rows_back).over(in_range).isNull().alias("__is_tail"),
+        *[make(in_range).alias(alias) for alias, make in made.items()],
+    )
+    inside = placed.filter(F.col("__place") > rows_back).select(*columns, *made)
+    edges = placed.drop(*made).filter((F.col("__place") <= rows_back) | F.col("__is_tail"))
+    across = W.partitionBy(*keys).orderBy(RANGE, "__place")
+    heads = edges.select("*", *[make(across).alias(alias) for alias, make in made.items()])
+    return inside.unionByName(heads.filter(F.col("__place") <= rows_back).select(*columns, *made))
+
+
+def lag_rows(
+    df: DataFrame,
+    value: str,
+    order: Sequence[str],
+    rows_back: int = 1,
+    group_by: Sequence[str] = (),
+    alias: str = "lag",
+    whole_groups: bool = False,
+) -> DataFrame:
+    """Every row with ``value`` of the row ``rows_back`` before it in its group, null where there is none."""
+    return over_previous(df, {alias: lambda w: F.lag(value, rows_back).over(w)}, order, rows_back, group_by, whole_groups)
+
+
+def trailing(
+    df: DataFrame,
+    aggregates: Mapping[str, Column],
+    order: Sequence[str],
+    rows_back: int,
+    group_by: Sequence[str] = (),
+    and_current: bool = False,
+    whole_groups: bool = False,
+) -> DataFrame:
+    """Every row with aggregates of the ``rows_back`` rows before it, and of itself with ``and_current``."""
+    last = 0 if and_current else -1
+
+    def over(aggregate: Column) -> Callable[[WindowSpec], Column]:
+        return lambda window: aggregate.over(window.rowsBetween(-rows_back, last))
+
+    return over_previous(df, {n: over(a) for n, a in aggregates.items()}, order, rows_back, group_by, whole_groups)
+
+
 def running_sum(
     df: DataFrame,
     value: str,

@@ -12,7 +12,7 @@ from veritally.sources import landing, tables, watermark
 from veritally.sources.commits import CommitLog
 from veritally.sources.keyed import KeyedTable
 
-VIEWS = ("stg_patient", "stg_coverage", "stg_eob", "int_eob_diagnoses", "int_eob_procedures")
+VIEWS = ("stg_patient", "stg_coverage", "stg_eob", "int_eob_diagnoses")
 MARTS = ("dim_patient", "fct_claims", "fct_coverage")
 KEYS = {"Patient": "patient_id", "Coverage": "coverage_id", "ExplanationOfBenefit": "eob_id"}
 
@@ -76,7 +76,6 @@ def staged(silver: Mapping[str, DataFrame], loaded_at=None) -> dict[str, DataFra
         "stg_coverage": staging.stg_coverage(silver["Coverage"], loaded_at),
         "stg_eob": eob,
         "int_eob_diagnoses": intermediate.int_eob_diagnoses(eob),
-        "int_eob_procedures": intermediate.int_eob_procedures(eob),
     }
 
 
@@ -100,13 +99,14 @@ def save_models(silver: Mapping[str, DataFrame], location: str, loaded_at=None)
 def dashboard_queries(models: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Every dashboard query over the models, not yet run."""
     people, claims, coverage = (models[name] for name in MARTS)
+    diagnoses = intermediate.int_eob_diagnoses(models["stg_eob"], dashboards.DIAGNOSIS_COUNT_COLUMNS)
     return {
         "population_overview": dashboards.population_overview(people),
         "gender_distribution": dashboards.gender_distribution(people),
         "race_distribution": dashboards.race_distribution(people),
         "claims_summary": dashboards.claims_summary(claims),
         "claims_by_type": dashboards.claims_by_type(claims),
-        "top_diagnoses": dashboards.top_diagnoses(models["int_eob_diagnoses"]),
+        "top_diagnoses": dashboards.top_diagnoses(diagnoses),
         "monthly_claim_volume": dashboards.monthly_claim_volume(claims),
         "medicare_part_distribution": dashboards.medicare_part_distribution(coverage),
         "enrollment_activity": dashboards.enrollment_activity(coverage),

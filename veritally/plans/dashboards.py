@@ -61,6 +61,9 @@ def claims_by_type(fct_claims: DataFrame) -> DataFrame:
     )
 
 
+DIAGNOSIS_COUNT_COLUMNS = ("diagnosis_code", "diagnosis_display")  # what ``top_diagnoses`` needs
+
+
 def top_diagnoses(int_eob_diagnoses: DataFrame, top: int = TOP_DIAGNOSES) -> DataFrame:
     return (
         int_eob_diagnoses.filter(F.col("diagnosis_code").isNotNull())

@@ -44,7 +44,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not context.master.startswith("local"):
+    if context.master != "local" and not context.master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="veritally-"))
     return context.getCheckpointDir().rstrip("/")

@@ -19,6 +19,7 @@ logger = logging.getLogger(__name__)
 # Downloads end in .ndjson; lines landed by a Spark text write end in .txt.
 FILE_PATTERN = "*.{ndjson,txt}"
 ENDINGS = (".ndjson", ".txt")
+CORRUPT = "_corrupt_record"
 
 
 def landing_path(root: str, resource: str, transaction_time: str) -> str:
@@ -37,11 +38,16 @@ def read_ndjson(
     """The records of one snapshot, or None (with a warning) where no file has landed.
 
     The folder may be named by the transaction time as it is, or escaped. Blank lines are skipped.
-    A malformed line fails the job unless ``strict`` is off.
+    A malformed line fails the job; with ``strict`` off it is a row of nulls whose column
+    ``CORRUPT`` holds the line, which is null in all other rows.
     """
+    kinds = schema or RESOURCES[resource]
+    if not strict:
+        kinds = T.StructType([*kinds.fields, T.StructField(CORRUPT, T.StringType())])
     reader = (
-        spark.read.schema(schema or RESOURCES[resource])
+        spark.read.schema(kinds)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", FILE_PATTERN)
     )
     escaped = landing_path(root, resource, transaction_time)
