@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from veritally.llm import (
     exact_dedup,
@@ -294,14 +295,36 @@ def test_mix(docs, nothing, scratch, rows):
     assert mixing.mix_sources(nothing, scratch).taken().count() == 0
 
 
-def test_mixed_documents(docs, scratch):
-    known = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
-    taken = {r["doc_id"]: r["taken"] for r in mixing.mix_sources(known, scratch).taken().collect()}
-    counted = Counter()
-    for r in mixing.mixed_documents(docs.filter("doc_id is not null"), scratch).collect():
+def test_mixed_documents(docs, spark, scratch):
+    sizes = Counter()
+    for r in ROWS:
+        sizes[r[0]] += len(split(r[1]))
+    counted, total = Counter(), 0
+    for r in mixing.mixed_documents(docs, scratch).collect():
         counted[r["doc_id"]] += len(WORDS.findall(r["text"]))
         assert r["n_chars"] == len(r["text"])
-    assert counted == Counter({k: v for k, v in taken.items() if v})
+    assert all(n <= 3 * sizes[i] for i, n in counted.items())
+    plan = mixing.mix_sources(docs, scratch).taken().collect()
+    assert sum(counted.values()) == pytest.approx(sum(r["taken"] for r in plan), abs=4 * mixing.BLOCK_WORDS)
+    # One id with two texts and a null, and rows without id: every text is there.
+    made = [(1, "one two three", "en", "a"), (1, "four five", "en", "a"), (1, None, "en", "a"), (None, "six", None, None)]
+    made += [(None, "seven", None, None)] * 2
+    some = spark.createDataFrame(made, "doc_id long, text string, lang string, source string")
+    found = Counter((r["doc_id"], r["text"]) for r in mixing.mixed_documents(some, scratch).collect())
+    assert {k for k in found} <= {(r[0], r[1]) for r in made} and len({t for _, t in found}) >= 3
+
+
+def test_mix_of_many_sources(spark, scratch):
+    """150,000 sources of a few words each, one of them with a third of all documents."""
+    number = F.col("id")
+    rows = spark.range(225_000).select(
+        number.alias("doc_id"),
+        F.repeat(F.lit("word "), (number % 5).cast("int")).alias("text"),
+        F.when(number < 150_000, F.concat(F.lit("s"), number)).otherwise("s7").alias("source"),
+    )
+    found = mixing.mix_sources(rows, scratch, block_words=4).taken()
+    sums = found.agg(F.sum("size"), F.sum("taken"), F.count("*"), F.max(F.col("taken") - 3 * F.col("size"))).head()
+    assert sums[2] == 225_000 and sums[3] <= 0 and 0.8 * sums[0] <= sums[1] <= 1.2 * sums[0]
 
 
 # ---- packing and token counts ----
@@ -605,3 +628,65 @@ def test_license_scan(spark, scratch):
     assert found[9] == [inherited]
     assert found[10][0][:2] == ("BSD-2-Clause", "own")
     assert license_scan.scan_licenses(frame.limit(0), scratch).count() == 0
+
+
+# ---- caps, repeated and missing ids ----
+
+
+def test_exact_copies_are_dropped_by_row(spark):
+    made = [(1, "T"), (1, "U"), (2, "t"), (None, "V"), (None, "T"), (3, None), (4, "")]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    found = exact_dedup.drop_exact_duplicates(docs).collect()
+    assert Counter(map(tuple, found)) == Counter([(1, "U"), (2, "t"), (None, "V"), (4, "")])
+
+
+def test_a_third_of_the_ids_missing(spark, scratch):
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 != 0, F.col("id")).alias("doc_id"), F.repeat(F.lit("some words "), (F.col("id") % 90).cast("int")).alias("text")
+    )
+    pieces = scratch.table(packing.token_pieces(rows, "doc_id", "text"))
+    found = packing.pack_pieces(pieces, scratch, part_items=1000)
+    sums = found.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
+    assert sums.filter("n != end or n > 1024").count() == 0 and found.count() == pieces.count()
+    assert found.filter("doc_id is null").count() == 3000
+    assert sums.count() <= 1.02 * found.agg(F.sum("length")).head()[0] / 1024 + 2
+
+
+def test_more_labels_than_sixty_four(spark):
+    """Every one of 70 languages is learnt, and one row repeated many times counts once."""
+    rng = np.random.default_rng(8)
+    letters = [chr(c) for c in range(97, 123)]
+    kinds = [["".join(rng.choice(letters, 3)) for _ in range(4)] for _ in range(70)]
+    made = []
+    for i in range(70 * 12):
+        made.append((i, " ".join(kinds[i % 70][k] for k in rng.integers(0, 4, 40)), f"l{i % 70:02}"))
+    made += [made[0]] * 5000
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string").repartition(4)
+    model = language_id.fit(docs)
+    assert model.names == [f"l{k:02}" for k in range(70)]
+    found = language_id.identify(docs.limit(5840).dropDuplicates(), model).collect()
+    truth = {i: lang for i, _, lang in made}
+    assert sum(r["lang_pred"] == truth[r["doc_id"]] for r in found) >= 0.9 * len(found)
+
+
+def test_licence_scores(spark, scratch):
+    """Scores of a line of 20,000 words and of short ones are the cosines of a plain sum; a threshold may be low."""
+    mit = license_scan.TEMPLATES["MIT"][2]
+    texts = [mit, " ".join([mit] * 400), "without restriction use copy modify merge publish " + " ".join(words(11, 6)), "no licence at all"]
+    assert len(texts[1].split()) > 18_000
+    docs = spark.createDataFrame([(i, t, f"d/{i}.txt") for i, t in enumerate(texts)], "doc_id long, text string, path string")
+    found = {r["doc_id"]: r for r in license_scan.own_licenses(docs.select("doc_id", "path", "text"), threshold=0.05).collect()}
+    tokens = [license_scan.TERM.findall(t.lower()) for t in texts]
+    known = {w for ts in license_scan.TEMPLATES.values() for t in ts for w in license_scan.terms(t)}
+    weight = lambda w: np.log(5 / (1 + sum(w in t for t in tokens if w in known))) + 1
+
+    def cosine(one, other):
+        a, b = ({w: (1 + np.log(n)) * weight(w) for w, n in Counter(x).items()} for x in (one, other))
+        dot = sum(v * b.get(w, 0) for w, v in a.items())
+        return dot / np.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+
+    for i, text in enumerate(tokens):
+        best = max(cosine(text, license_scan.TERM.findall(t.lower())) for ts in license_scan.TEMPLATES.values() for t in ts)
+        assert found[i]["score"] == pytest.approx(best if best >= 0.05 else 0, abs=1e-9) or best < 0.05
+    assert found[1]["license"] == "MIT" and found[1]["score"] > 0.9 and found[2]["license"] == "MIT"
+    assert 0.05 < found[2]["score"] < license_scan.THRESHOLD

@@ -1,6 +1,7 @@
 """The registered queries: against their SQL, and the pipeline's stages against each other."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from bindings.compare import compare, connect
@@ -35,3 +36,28 @@ def test_pipeline(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, empty, FOLDER).count() == 0
+
+
+def test_pipeline_keeps_every_text(spark):
+    """Ids that are missing or repeat, with different texts, lose none of them on the way to the mix."""
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    number = F.col("doc_id")
+    blurred = F.when(number % 3 == 0, F.lit(None)).when(number % 3 == 1, F.lit(5)).otherwise(number)
+    mixed_up = docs.withColumn("doc_id", blurred.cast("long")).union(docs.limit(3).withColumn("text", F.lit(None).cast("string")))
+    kept = mixed_up
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        before, kept = kept, stage(spark, kept, FOLDER).cache()
+        assert kept.columns == docs.columns, name
+    unique = {r["text"].lower() for r in before.collect()}
+    assert len(unique) == before.count()
+    # Near copies go, and only they: about as many as with ids that tell all rows apart.
+    alone = docs
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        alone = stage(spark, alone, FOLDER).cache()
+    assert kept.count() == alone.count() and kept.filter("doc_id is null").count() > 10
+    words = kept.select(F.sum(F.regexp_count("text", F.lit(r"[^\\x20\\x09-\\x0D]+")))).head()[0]
+    taken = corpus_pipeline.mix(spark, kept, FOLDER)
+    assert taken.select(F.sum(F.regexp_count("text", F.lit(r"[^\\x20\\x09-\\x0D]+")))).head()[0] >= 0.9 * words
+    pieces = corpus_pipeline.pack(spark, taken.cache(), FOLDER)
+    assert pieces.filter("piece = 0").count() == taken.count()
+    assert corpus_pipeline.pack(spark, docs.limit(0), FOLDER).count() == 0

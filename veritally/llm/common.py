@@ -28,8 +28,18 @@ def lowered(text: Column) -> Column:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Arrow batches to Python limited by bytes, so that long texts do not make large batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Arrow batches to Python limited by bytes, so that long texts do not make large batches.
+
+    The session keeps the limit, or a lower one that it had.
+    """
+    limit_batches(spark, BATCH_BYTES)
+
+
+def limit_batches(spark: SparkSession, most: int) -> None:
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key)
+    if not now.isdigit() or not 0 < int(now) <= most:
+        spark.conf.set(key, str(most))
 
 
 class Scratch:

@@ -83,7 +83,12 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stays, with all their columns."""
-    found = exact_duplicates(docs, id_col, text_col)
-    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns.
+
+    A row is known by its id and its text, so that of rows that share an id only those go whose
+    own text a larger id has.
+    """
+    found = exact_duplicates(docs, id_col, text_col, digest="_digest")
+    gone = found.filter("not kept").select(F.col("doc_id").alias("_gone"), F.col("_digest").alias("_with"))
+    same = F.col(id_col).eqNullSafe(F.col("_gone")) & (full_hash(F.col(text_col)) == F.col("_with"))
+    return docs.join(gone, same, "left_anti")

@@ -21,9 +21,12 @@ from veritally.llm.common import bounded_batches, row_blocks, text_buffer
 WINDOW = 120
 CONTEXT = 4
 HIDDEN = 8
-SAMPLE_DOCS = 600  # per language, at most; chosen by a hash of the id
+SAMPLE_DOCS = 600  # per language, about, at most; chosen by a hash of id and text
+SAMPLE_TOTAL = 38_400  # of all languages; with many, each has fewer
+LEAST_SAMPLE = 32  # per language, whatever their number
 SAMPLE_WINDOWS = 4  # per document, at most
-MOST_LANGUAGES = 64
+UNITS_FOR = 16  # languages that HIDDEN units and STEPS steps suffice for
+MORE_UNITS, MORE_STEPS, MOST_UNITS = 4, 40, 64  # for each further UNITS_FOR languages
 STEPS = 200
 BATCH = 160
 RATE = 0.02
@@ -263,8 +266,9 @@ def fit(
 ) -> LanguageModel | None:
     """A network for the languages of ``labelled``; None if no row has a language and a text.
 
-    Trained on at most about ``sample_docs`` texts of each language, taken by a hash of the id, and
-    at most ``MOST_LANGUAGES`` languages, the most frequent. The same rows give the same network.
+    Every language is learnt, from at most about ``sample_docs`` texts each, fewer where there are
+    more than 64 languages, taken by a hash of id and text; a repeated row counts once. Units and
+    steps grow with the number of languages. The same rows give the same network.
     """
     spark = labelled.sparkSession
     bounded_batches(spark)
@@ -273,11 +277,12 @@ def fit(
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     ).filter("lang is not null and text is not null and text != '' and doc_id is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not counts:
-        return None
-    share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(1.0, sample_docs / r["count"]))) for r in counts])
-    some = rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * (1 << 20))
+    counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    languages = rows.select(F.count_distinct("lang")).scalar()
+    each = F.least(F.lit(sample_docs), F.greatest(F.lit(LEAST_SAMPLE), F.lit(SAMPLE_TOTAL) / languages))
+    shares = counts.select("lang", F.least(F.lit(1.0), each / F.col("_n")).alias("_share"))
+    some = rows.join(shares, "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("_share") * (1 << 20))
+    some = some.select("doc_id", "text", "lang").dropDuplicates()
     take = functools.partial(sample_windows, window=WINDOW, context=CONTEXT, most=sample_windows_per_doc)
     found = some.mapInArrow(take, "doc_id long, lang string, symbols binary").toPandas()
     if found.empty:
@@ -290,7 +295,9 @@ def fit(
     per = np.bincount(truth)
     rows_of = [np.resize(np.flatnonzero(truth == k), per.max()) for k in range(len(names))]
     order = np.concatenate(rows_of)
-    return LanguageModel(names, train(symbols[order], truth[order], len(names)))
+    more = (len(names) - 1) // UNITS_FOR
+    hidden, steps = min(MOST_UNITS, HIDDEN + MORE_UNITS * more), STEPS + MORE_STEPS * more
+    return LanguageModel(names, train(symbols[order], truth[order], len(names), hidden, steps))
 
 
 def identify(

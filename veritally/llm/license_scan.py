@@ -21,7 +21,6 @@ from veritally.llm.common import Scratch, bounded_batches
 
 THRESHOLD = 0.6
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice|unlicense)([.-].*)?$"
-MOST_WORDS = 4000  # of a segment that is compared as one; a longer one holds templates only in its parts
 TERM = re.compile(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*")
 
 # The usual headers and opening words of public licences.
@@ -87,10 +86,12 @@ def weights_of(counts: Counter, idf: dict[str, float], unseen: float) -> dict[st
 
 
 class Matcher:
-    """Cosine of a segment to every template, by an index from words to templates."""
+    """Cosine of a segment to every template, by an index from words to templates; below ``threshold`` it may be 0."""
 
-    def __init__(self, idf: dict[str, float], unseen: float, templates: dict[str, tuple[str, ...]]):
-        self.idf, self.unseen = idf, unseen
+    def __init__(
+        self, idf: dict[str, float], unseen: float, templates: dict[str, tuple[str, ...]], threshold: float = THRESHOLD
+    ):
+        self.idf, self.unseen, self.threshold = idf, unseen, threshold
         self.index: dict[str, list[tuple[int, float]]] = {}
         self.names: list[str] = []
         for name, texts in templates.items():
@@ -109,7 +110,7 @@ class Matcher:
         vector = weights_of(Counter(words), self.idf, self.unseen)
         square = sum(v * v for v in vector.values())
         # The cosine is at most the share of the segment's length that lies on known words.
-        if sum(vector[w] ** 2 for w in hits) < THRESHOLD**2 * square:
+        if sum(vector[w] ** 2 for w in hits) < self.threshold**2 * square:
             return 0.0, None
         dots = [0.0] * len(self.names)
         for word in hits:
@@ -126,7 +127,7 @@ class Matcher:
 
         def consider(words):
             nonlocal best
-            if words and len(words) <= MOST_WORDS:
+            if words:
                 found = self.best(words)
                 if found[0] > best[0]:
                     best = found
@@ -166,7 +167,7 @@ def own_licenses(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESH
     seen = {r["word"]: r["n"] for r in counted.collect()}  # one row for each word of the templates
     total = seen.pop("", 0)
     idf = {w: math.log((1 + total) / (1 + seen.get(w, 0))) + 1 for w in vocabulary}
-    matcher = Matcher(idf, math.log(1 + total) + 1, templates)
+    matcher = Matcher(idf, math.log(1 + total) + 1, templates, threshold)
     scan = functools.partial(scan_batches, matcher=matcher, threshold=threshold)
     return rows.mapInArrow(scan, "doc_id long, path string, license string, score double")
 

@@ -23,7 +23,6 @@ BLOCK_WORDS = 64
 SHARD_SLOTS = 4096
 MOST_REPEATS = 3.0
 WEIGHTS = (1.0, 2.0, 3.0)
-MOST_SOURCES = 100_000
 SEED = 20240601
 
 
@@ -36,15 +35,15 @@ def targets(sizes: list[float], weights: list[float], most: float = MOST_REPEATS
     open_, left = [i for i in range(len(sizes))], float(sum(sizes))
     while open_ and total > 0:
         weight = sum(weights[i] for i in open_)
-        over = [i for i in open_ if left * weights[i] / weight > most * sizes[i]]
+        over = {i for i in open_ if left * weights[i] / weight > most * sizes[i]}
         if not over:
             for i in open_:
                 out[i] = left * weights[i] / weight
             break
-        for i in over:
+        for i in sorted(over):
             out[i] = most * sizes[i]
             left -= out[i]
-        open_ = [i for i in open_ if i not in set(over)]
+        open_ = [i for i in open_ if i not in over]
     return out
 
 
@@ -185,37 +184,38 @@ def mix_sources(
     block, and no document, is taken more often than that. The words taken miss the target by
     less than one block. The same rows give the same mix. Null and empty texts have size 0 and
     nothing taken; repeated rows are documents of their own; a table without words gives targets
-    of 0. The list of sources is held by the driver: more than ``MOST_SOURCES`` are refused.
+    of 0. The driver and every task hold three numbers for each source, whatever their number.
     """
     spark = docs.sparkSession
     size = F.regexp_count(F.coalesce(F.col(text_col), F.lit("")), F.lit(WORD)).cast("long")
+    # Many rows may share an id, or have none: their texts tell them apart.
+    mark = F.xxhash64(F.col(id_col), F.col(text_col)).alias("_mark")
     sized = scratch.table(
-        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"))
+        docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size"), mark)
     )
     found = (
         sized.groupBy("source")
         .agg(F.sum("size").alias("size"), F.count("*").alias("n"))
         .orderBy(F.asc_nulls_last("source"))
-        .limit(MOST_SOURCES + 1)
-        .collect()
+        .toArrow()
+        .to_pydict()
     )
-    if len(found) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
-    sizes = [int(r["size"]) for r in found]
-    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(found))], most_repeats)
+    sizes = found["size"]
+    wanted = targets(sizes, [weights[i % len(weights)] for i in range(len(sizes))], most_repeats)
     blocks = [math.ceil(s / block_words) for s in sizes]
     counts = [
         min(round(t * b / s), math.floor(most_repeats * b)) if s else 0
         for t, b, s in zip(wanted, blocks, sizes, strict=True)
     ]
     table = spark.createDataFrame(
-        [(r["source"], i, sizes[i], wanted[i]) for i, r in enumerate(found)],
+        list(zip(found["source"], range(len(sizes)), sizes, wanted, strict=True)),
         "_source string, source_no int, source_size long, target double",
     )
+    table = scratch.table(table)  # stored, so that Spark knows its size and how to join it
     # Words before each document: within hash chunks of a source, plus the chunks before.
-    parts = math.isqrt(sum(r["n"] for r in found)) + 1
-    rows = sized.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    rows = rows.withColumn("_part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
+    parts = math.isqrt(sum(found["n"])) + 1
+    rows = sized.join(table, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    rows = rows.withColumn("_part", F.pmod(F.col("_mark"), F.lit(parts)))
     per_part = rows.groupBy("source_no", "_part").agg(F.sum("size").alias("_sum"))
     earlier = Window.partitionBy("source_no").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     base = per_part.select(
@@ -223,7 +223,7 @@ def mix_sources(
         F.col("_part").alias("_of"),
         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"),
     )
-    inside = Window.partitionBy("source_no", "_part").orderBy("doc_id", "size")
+    inside = Window.partitionBy("source_no", "_part").orderBy("doc_id", "_mark", "size")
     inside = inside.rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     rows = rows.join(base, (F.col("source_no") == F.col("_no")) & (F.col("_part") == F.col("_of")))
@@ -240,6 +240,9 @@ def mix_sources(
     return Mix(placed, slots, block_words)
 
 
+CUT_BYTES = 1 << 20  # of text that leaves a task at once
+
+
 def cut_words(batches):
     """Rows of a document for every time that it is taken: the words of the blocks drawn that often."""
     import re
@@ -247,11 +250,18 @@ def cut_words(batches):
     import pyarrow as pa
 
     word = re.compile(WORD)
+    kinds = {"doc_id": pa.int64(), "text": pa.string(), "lang": pa.string(), "source": pa.string(), "n_chars": pa.int64()}
+
+    def packed(rows):
+        columns = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
+    rows, held = [], 0
     for batch in batches:
-        out = {name: [] for name in ("doc_id", "text", "lang", "source", "n_chars")}
-        for row in batch.to_pylist():
-            spans = sorted((s["from_word"], s["words"], s["copies"]) for s in row["spans"])
-            places = [m.span() for m in word.finditer(row["text"])]
+        for at in range(batch.num_rows):
+            doc_id, text, lang, source, spans = (c[at].as_py() for c in batch.columns)
+            spans = sorted((s["from_word"], s["words"], s["copies"]) for s in spans)
+            places = [m.span() for m in word.finditer(text)]
             for time in range(max(c for _, _, c in spans)):
                 runs: list[list[int]] = []
                 for first, words, copies in spans:
@@ -260,29 +270,32 @@ def cut_words(batches):
                             runs[-1][1] += words
                         else:
                             runs.append([first, first + words])
-                text = "\n".join(row["text"][places[a][0] : places[b - 1][1]] for a, b in runs)
-                for name, value in (("doc_id", row["doc_id"]), ("text", text), ("lang", row["lang"]), ("source", row["source"])):
-                    out[name].append(value)
-                out["n_chars"].append(len(text))
-        kinds = (pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(out.values(), kinds, strict=True)], names=list(out)
-        )
+                taken = "\n".join(text[places[a][0] : places[b - 1][1]] for a, b in runs)
+                rows.append((doc_id, taken, lang, source, len(taken)))
+                held += len(taken)
+                if held >= CUT_BYTES:
+                    yield packed(rows)
+                    rows, held = [], 0
+    if rows:
+        yield packed(rows)
+    pa.default_memory_pool().release_unused()
 
 
 def mixed_documents(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """doc_id, text, lang, source, n_chars: the words of the mix, as parts of their documents.
 
-    A document whose blocks are drawn up to n times gives n rows with its id; the i-th has the words
-    of the blocks drawn at least i times, runs of them joined by a line feed. ``docs`` has those
-    columns; of rows with one id the least text is used, so that ids are unique.
+    A row whose blocks are drawn up to n times gives n rows with its id; the i-th has the words of
+    the blocks drawn at least i times, runs of them joined by a line feed. ``docs`` has those
+    columns; every row is a document of its own, also where an id is repeated or null. Rows
+    without words, null texts among them, have nothing to be taken.
     """
     bounded_batches(docs.sparkSession)
-    least = F.min(F.struct("text", "source", "lang")).alias("_least")
-    once = docs.groupBy("doc_id").agg(least).select("doc_id", "_least.*")
-    plan = mix_sources(once.select("doc_id", "text", "source"), scratch, **options)
+    # Numbered once and stored, so that both readings agree on the numbers.
+    numbered = docs.select("doc_id", "text", "lang", "source").withColumn("_row", F.monotonically_increasing_id())
+    numbered = scratch.table(numbered)
+    plan = mix_sources(numbered, scratch, id_col="_row", **options)
     span = F.struct("from_word", "words", "copies")
-    spans = plan.taken_pieces().groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(span).alias("spans"))
-    rows = once.select("doc_id", "text", "lang", "source").hint("merge").join(spans, F.col("doc_id").eqNullSafe(F.col("_id")))
+    spans = plan.taken_pieces().groupBy(F.col("doc_id").alias("_of")).agg(F.collect_list(span).alias("spans"))
+    rows = numbered.hint("merge").join(spans, F.col("_row") == F.col("_of"))
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     return rows.select("doc_id", "text", "lang", "source", "spans").mapInArrow(cut_words, kind)

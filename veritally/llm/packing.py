@@ -97,6 +97,7 @@ def tokenized(batches, name: str, end_id: int, capacity: int):
             [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
             names=["doc_id", "piece", "start", "length", "ids_crc32"],
         )
+    pa.default_memory_pool().release_unused()
 
 
 def token_pieces(
@@ -165,8 +166,9 @@ def pack_pieces(
     parts = max(1, math.ceil(count / part_items))
     make = functools.partial(pack_partition, capacity=capacity, slack=slack)
     while count:
-        key = F.xxhash64(F.col("members")[0]["doc_id"], F.col("members")[0]["piece"])
-        dealt = items.select("fill", "members").repartition(parts, key)
+        # By the number of the row in the stored table: ids may be missing or repeat.
+        dealt = items.select("fill", "members", F.monotonically_increasing_id().alias("_row")).repartition(parts, "_row")
+        dealt = dealt.select("fill", "members")
         bins = scratch.table(dealt.mapInArrow(make, f"fill long, members array<{MEMBER}>, closed boolean"))
         done.append(bins.filter("closed").select("fill", "members"))
         items = bins.filter("not closed").select("fill", "members")
