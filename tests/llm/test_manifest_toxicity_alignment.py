@@ -171,7 +171,7 @@ def test_toxicity_learns_and_scores_as_a_plain_loop(spark, scratch):
     for b in counts[0].keys() | counts[1].keys():
         clean, toxic = counts[0][b] + 1, counts[1][b] + 1
         ratio = np.log(toxic / (totals[1] + 2)) - np.log(clean / (totals[0] + 2))
-        if abs(ratio) >= toxicity.LEAST_Z * (1 / toxic + 1 / clean) ** 0.5:
+        if abs(ratio) >= max(toxicity.LEAST_RATIO, toxicity.LEAST_Z * (1 / toxic + 1 / clean) ** 0.5):
             clear[b] = ratio
     assert set(model.buckets.tolist()) == set(clear)
     weight = dict(zip(model.buckets.tolist(), model.weights.tolist(), strict=True))
