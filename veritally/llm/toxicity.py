@@ -3,8 +3,8 @@
 Features are hashed n-grams of 3 to 6 bytes of the text with A-Z in lower case and runs of ASCII
 characters that are no letter or digit as one space, so that n-grams see where words begin and end. A feature
 counts once in a text. Executors count the texts of each class that hold a feature; the logarithm
-of the ratio of the two smoothed shares scales the feature, and features whose ratio is within
-``LEAST_Z`` standard errors of zero are left out. A logistic regression over the scaled features
+of the ratio of the two smoothed shares scales the feature. Features whose ratio is nearer to zero
+than ``LEAST_RATIO`` or ``LEAST_Z`` standard errors are left out. A logistic regression over the scaled features
 is fitted on the driver, from the feature numbers of a bounded sample of labelled texts. Scoring
 reads every whole text once, without a shuffle.
 """
@@ -24,6 +24,7 @@ BUCKET_BITS = 20
 SLICE_BITS = 16  # counts travel in slices of 65,536 buckets
 SAMPLE_ROWS = 8192  # labelled texts of each class to learn from, about, at most; chosen by a hash of the id
 LEAST_Z = 3.0
+LEAST_RATIO = 1.0
 PENALTY = 1e-4
 STEPS = 400
 RATE = 0.05
@@ -136,7 +137,8 @@ def log_count_ratios(counts: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray
     """(buckets whose ratio is clear, their log-count ratios) from the texts of class 0 and 1 that hold a bucket."""
     clean, toxic = counts + 1.0
     ratio = np.log(toxic / (totals[1] + 2.0)) - np.log(clean / (totals[0] + 2.0))
-    chosen = np.flatnonzero(np.abs(ratio) >= LEAST_Z * np.sqrt(1 / toxic + 1 / clean))
+    least = np.maximum(LEAST_RATIO, LEAST_Z * np.sqrt(1 / toxic + 1 / clean))
+    chosen = np.flatnonzero(np.abs(ratio) >= least)
     return chosen, ratio[chosen]
 
 
