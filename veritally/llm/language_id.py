@@ -11,6 +11,7 @@ position is judged from its window's edge alone.
 from __future__ import annotations
 
 import functools
+import json
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -277,11 +278,12 @@ def fit(
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     ).filter("lang is not null and text is not null and text != '' and doc_id is not null")
-    counts = rows.groupBy("lang").agg(F.count("*").alias("_n"))
-    languages = rows.select(F.count_distinct("lang")).scalar()
-    each = F.least(F.lit(sample_docs), F.greatest(F.lit(LEAST_SAMPLE), F.lit(SAMPLE_TOTAL) / languages))
-    shares = counts.select("lang", F.least(F.lit(1.0), each / F.col("_n")).alias("_share"))
-    some = rows.join(shares, "lang").filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < F.col("_share") * (1 << 20))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    each = min(sample_docs, max(LEAST_SAMPLE, SAMPLE_TOTAL // max(1, len(counts))))
+    # The shares travel as one literal: a join on so few keys would send all texts to few tasks.
+    shares = F.from_json(F.lit(json.dumps({lang: min(1.0, each / n) for lang, n in counts.items()})), "map<string,double>")
+    share = F.element_at(shares, F.col("lang"))
+    some = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < share * (1 << 20))
     some = some.select("doc_id", "text", "lang").dropDuplicates()
     take = functools.partial(sample_windows, window=WINDOW, context=CONTEXT, most=sample_windows_per_doc)
     found = some.mapInArrow(take, "doc_id long, lang string, symbols binary").toPandas()
