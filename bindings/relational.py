@@ -331,15 +331,15 @@ def lag_on_raw_events(t):
 
 
 @query(
-    """SELECT event_id, event_type, round(avg(value) OVER w, 4) AS mean, round(stddev_samp(value) OVER w, 4) AS deviation,
+    """SELECT event_id, event_type, round(sum(value) OVER w, 2) AS total, round(stddev_samp(value) OVER w, 4) AS deviation,
        count(*) OVER w AS n FROM events
        WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)"""
 )
 def trailing_on_raw_events(t):
     events = t("events").select("event_id", "event_type", "ts", "value")
-    made = {"mean": F.avg("value"), "deviation": F.stddev_samp("value"), "n": F.count(F.lit(1))}
+    made = {"total": F.sum("value"), "deviation": F.stddev_samp("value"), "n": F.count(F.lit(1))}
     found = trailing(events, made, ["ts", "event_id"], 20, ["event_type"]).drop("ts", "value")
-    return found.withColumns({c: F.round(c, 4) for c in ("mean", "deviation")})
+    return found.withColumns({"total": F.round("total", 2), "deviation": F.round("deviation", 4)})
 
 
 @query(
