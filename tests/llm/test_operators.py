@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -516,6 +517,69 @@ def test_marginals_against_enumeration():
     assert marginal == pytest.approx(on / total)
 
 
+# A tag with quoted values, read by trying every place anew.
+SLOW_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>")
+SLOW_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>", re.S)
+
+
+def test_markup_is_that_of_a_plain_search():
+    rng = np.random.default_rng(6)
+    pieces = ["<", ">", '"', "'", "/", "<a ", "</a>", "<B", '<p x="', "<!--", "-->", "<!", "<?", "<![CDATA[", "]]>", "t", " ", "=", "<a'b>"]
+    for _ in range(4000):
+        page = "".join(pieces[k] for k in rng.integers(len(pieces), size=rng.integers(12)))
+        expected, at = [], 0
+        while at < len(page):
+            if found := SLOW_OTHER.match(page, at):
+                expected.append((at, found.end(), False, "", ""))
+            elif found := SLOW_TAG.match(page, at):
+                expected.append((at, found.end(), bool(found[1]), found[2].lower(), found[3]))
+            at = found.end() if found else at + 1
+        markup, got, at = html_extraction.Markup(page), [], 0
+        while found := markup.next(at):
+            got.append(found)
+            at = found[1]
+        assert got == expected, page
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<span>" * n + "</i>" * n,
+        lambda n: "<p><button>" + "<span>" * n + "<hr>" * n,
+        lambda n: "<a " * n,
+        lambda n: "<a" * n,
+        lambda n: "<a \"" * n + "'",
+        lambda n: "<a '\"" * n,
+        lambda n: "<!" * n,
+        lambda n: "<script>" + "</script " * n,
+    ],
+)
+def test_broken_pages_of_a_megabyte(page):
+    begin = time.process_time()
+    html_extraction.Page(page(100_000))
+    assert time.process_time() - begin < 20
+
+
+def test_pages_unlike_the_layouts():
+    """Pages written by hand, each block labelled by hand."""
+    story = "The river rose through the night and by dawn the lower fields were under water, farmers said on Tuesday."
+    again = "Nobody was hurt, but two roads stay closed until the bridge has been inspected by engineers from the county."
+    pages = [
+        f"<html><body><table><tr><td class=nav><a href=1>Home</a> <a href=2>News</a></td><td><h1>Flood</h1><p>{story}<p>{again}</td></tr></table>"
+        "<div id=footer>Copyright 2020 <a href=3>Terms</a></div></body></html>",
+        f"<body><header><div class='logo'><a href=/>Site</a></div></header><main><section><h2>Flood</h2><div>{story}</div></section>"
+        f"<section><p>{again}</p></section></main><aside class='related'><ul><li><a href=a>Other one</a></li><li><a href=b>Other two</a></li></ul></aside></body>",
+        f"<body><div class='post-content'><p>{story}</p><blockquote><p>{again}</p></blockquote></div>"
+        "<section id='comments'><h3>2 replies</h3><p>I live there and it was very bad indeed, we lost the car.</p></section>"
+        "<script>var a = '<p>no</p>';</script></body>",
+    ]
+    texts = html_extraction.main_texts(pages, html_extraction.fitted())
+    for text in texts:
+        assert story in text and again in text
+    gone = ["Home", "Copyright", "Terms", "Site", "Other one", "replies", "very bad", "var a"]
+    assert not [g for text in texts for g in gone if g in text]
+
+
 def test_extract(spark, rows):
     article = "<article><h1>Tom &amp;amp; Co</h1><p>First  line<br>goes\non &lt;here&gt;.<p>" + "word " * 60 + "</p></article>"
     page = (

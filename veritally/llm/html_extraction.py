@@ -15,6 +15,8 @@ from __future__ import annotations
 import functools
 import html
 import re
+from bisect import bisect_left, bisect_right
+from collections import defaultdict
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -66,16 +68,78 @@ FEATURES = N_TAGS + N_WORDS + N_LENGTHS + N_LINKS
 KINDS = 3  # of children: block, inline, sectioning
 SECTIONS = {"article", "aside", "footer", "form", "header", "main", "nav", "section", "script", "style"}
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>",
-    re.S,
+# A plain tag holds no other angle bracket, so that looking for it stops at the next one.
+START = re.compile(
+    r"<(?:!--|!\[CDATA\[|[!?]"
+    r"|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/<>\"']*+)(?P<rest>(?:[\s/](?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)?+)>"
+    r"|(?P<odd>/?)[a-zA-Z])"
 )
+MARK = re.compile(r"[>\"']")
+NAME_END = re.compile(r"[\s/>]")
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 KEEP = re.compile(r"\bdata-keep=1\b")
 SPLIT = re.compile(r"[^a-z]+")
 
 
+class Markup:
+    """The markup of a page from left to right. However broken it is, the time follows its length."""
+
+    def __init__(self, source: str):
+        self.source, self.last = source, source.rfind(">")
+        self.dead: set[int] = set()  # marks after which no tag ends
+        self.name = (0, -1)  # a place, and the end of every name that begins from there on
+
+    @functools.cached_property
+    def marks(self) -> list[int]:
+        return [m.start() for m in MARK.finditer(self.source)]
+
+    @functools.cached_property
+    def quotes(self) -> dict[str, list[int]]:
+        return {q: [k for k in self.marks if self.source[k] == q] for q in "\"'"}
+
+    def end_of_name(self, at: int) -> int:
+        if not self.name[0] <= at <= self.name[1]:
+            found = NAME_END.search(self.source, at)
+            self.name = (at, found.start() if found else len(self.source))
+        return self.name[1]
+
+    def end_of_tag(self, at: int) -> int:
+        """Place of the ``>`` outside quotes that ends a tag, or -1. A quote that never closes is text."""
+        passed, k = [], bisect_left(self.marks, at)
+        while k < len(self.marks) and k not in self.dead:
+            place = self.marks[k]
+            mark = self.source[place]
+            if mark == ">":
+                return place
+            passed.append(k)
+            same = self.quotes[mark]
+            close = bisect_right(same, place)
+            k = bisect_right(self.marks, same[close] if close < len(same) else place)
+        self.dead.update(passed)
+        return -1
+
+    def next(self, at: int):
+        """(start, end, whether it closes, tag, rest) of the first markup from ``at``, without tag for comments."""
+        for found in START.finditer(self.source, at):
+            first, inner = found.span()
+            if found["tag"]:
+                return first, inner, bool(found["end"]), found["tag"].lower(), found["rest"]
+            kind = self.source[first + 1 : inner]
+            if kind in ("!--", "![CDATA["):
+                ending = "-->" if kind == "!--" else "]]>"
+                stop = self.source.find(ending, inner)
+                return first, len(self.source) if stop < 0 else stop + len(ending), False, "", ""
+            if kind in ("!", "?"):
+                if inner <= self.last:
+                    return first, self.source.index(">", inner) + 1, False, "", ""
+                continue
+            name = self.end_of_name(inner)
+            stop = self.end_of_tag(name)
+            if stop >= 0:
+                return first, stop + 1, bool(found["odd"]), self.source[inner - 1 : name].lower(), self.source[name:stop]
+        return None
+
+
 class Page:
     """Elements of a page in order of their start, and its runs of text."""
 
@@ -91,54 +155,49 @@ class Page:
         return len(self.tags) - 1
 
     def read(self, source: str) -> None:
-        stack, at = [0], 0
-        while at < len(source):
-            found = TOKEN.search(source, at)
-            if not found:
-                break
-            if found.start() > at:
-                self.runs.append((stack[-1], source[at : found.start()]))
-            at = found.end()
-            tag = (found["tag"] or "").lower()
+        at, markup = 0, Markup(source)
+        self.stack, self.places = [0], defaultdict(list)  # open elements, and the places of each tag among them
+        while found := markup.next(at):
+            start, end, closing, tag, rest = found
+            if start > at:
+                self.runs.append((self.stack[-1], source[at:start]))
+            at = end
             if not tag:
                 continue
             if tag in BLOCK:
                 self.runs.append((-1, ""))
-            if found["end"]:
-                self.close(stack, tag)
+            if closing:
+                self.close({tag}, set())
                 continue
             if tag in BLOCK:
-                self.imply(stack, {"p"}, {"table", "td", "th", "button", "li", "div", "article", "section", "body"})
+                self.close({"p"}, {"table", "td", "th", "button", "li", "div", "article", "section", "body"})
             if tag in ENDS:
-                self.imply(stack, *ENDS[tag])
-            node = self.open(tag, found["rest"], stack[-1])
+                self.close(*ENDS[tag])
+            node = self.open(tag, rest, self.stack[-1])
             if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*+>|\Z", re.I).search(source, at)
+                found = re.compile(rf"</{re.escape(tag)}\b", re.I).search(source, at)
+                stop = source.find(">", found.end()) if found else -1
+                text_end, after = (found.start(), stop + 1) if stop >= 0 else (len(source), len(source))
                 if tag not in ("script", "style"):
-                    self.runs.append((node, source[at : end.start()]))
+                    self.runs.append((node, source[at:text_end]))
                 self.runs.append((-1, ""))
-                at = end.end() if end.end() > at else len(source)
+                at = after
             elif tag not in VOID:
-                stack.append(node)
+                self.places[tag].append(len(self.stack))
+                self.stack.append(node)
             elif tag == "br":
-                self.runs.append((stack[-1], " "))
+                self.runs.append((self.stack[-1], " "))
         if at < len(source):
-            self.runs.append((stack[-1], source[at:]))
-
-    def close(self, stack: list[int], tag: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tags[stack[k]] == tag:
-                del stack[k:]
-                return
-
-    def imply(self, stack: list[int], ended: set[str], stop: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            tag = self.tags[stack[k]]
-            if tag in ended:
-                del stack[k:]
-                return
-            if tag in stop:
-                return
+            self.runs.append((self.stack[-1], source[at:]))
+
+    def close(self, ended: set[str], stop: set[str]) -> None:
+        """Close the innermost open element of ``ended`` and all within it, unless one of ``stop`` is in between."""
+        last = lambda tags: max((self.places[t][-1] for t in tags if self.places[t]), default=0)
+        place = last(ended)
+        if place > last(stop):
+            for node in reversed(self.stack[place:]):
+                self.places[self.tags[node]].pop()
+            del self.stack[place:]
 
     def features(self) -> tuple[np.ndarray, np.ndarray]:
         """(element, feature) of all features that are present."""
@@ -297,6 +356,8 @@ def labelled_pages(count: int = TRAIN_PAGES, seed: int = SEED) -> list[str]:
             f"<div{k} class='{pick('content', 'post entry', 'article-body', 'story')}'>{body}</div>",
             f"<div id='wrap'><div{k} id='content'><div{k}>{body}</div></div>{aside()}</div>",
             f"<article{k}><header{k}><h1{k}>{some(5)}</h1></header><div{k}>{body}</div></article>",
+            f"<table{k}><tr{k}><td width=9>{links(5)}</td><td{k}>{body}</td></tr></table>",
+            f"<div{k}>{body}</div>",
             body,
         )
         before = pick(
