@@ -480,12 +480,33 @@ def test_search_stops_only_on_proof():
         (np.frombuffer(s["cells"], "<i4"), np.frombuffer(s["impacts"], "<i8"), np.frombuffer(s["rest"], "<f8"))
         for s in index.column("segments")[0].as_py()
     ]
-    at, row, score = topk_search.best_of_block(query, np.full(7, -1), np.arange(500), segments, 5)
-    assert len(at) < 7 * 500
     exact = query @ rows.T
-    assert (score == exact[at, row]).all()
-    for q in range(7):
-        assert set(np.argsort(-exact[q], kind="stable")[:5]) <= set(row[at == q])
+    for floors in (np.full(7, -np.inf), np.sort(exact, axis=1)[:, -5].copy(), np.full(7, exact.max() + 1)):
+        at, row, score, processed = topk_search.best_of_block(query, np.full(7, -1), floors, np.arange(500), segments, 5)
+        assert (score == exact[at, row]).all() and len(at) < 7 * 500
+        for q in range(7):
+            best = np.argsort(-exact[q], kind="stable")[:5]
+            assert set(best[exact[q, best] >= floors[q]]) <= set(row[at == q])
+        if np.isfinite(floors).all():
+            assert processed.sum() < 7 * len(segments)
+
+
+def test_topk_over_many_blocks(spark, scratch, monkeypatch):
+    monkeypatch.setattr(topk_search, "BLOCK_ROWS", 40)
+    monkeypatch.setattr(topk_search, "QUERY_ROWS", 4)
+    monkeypatch.setattr(topk_search, "TILES", 2)
+    rng = np.random.default_rng(9)
+    x = rng.normal(0, 0.2, (600, 8)).astype(np.float32)
+    x[200:300] = x[200]  # a hot vector, so that the last places are ties
+    ids = [k if k < 400 else 7 for k in range(600)]  # a third of all rows share an id
+    frame = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<float>")
+    q = np.floor(64 * x.astype(np.float64)).astype(np.int64)
+    expected = []
+    for a in range(0, 400, 20):
+        scores = sorted((-int(q[a] @ q[b]), ids[b]) for b in range(600) if ids[b] != a)
+        expected += [(a, rank + 1, i, -s) for rank, (s, i) in enumerate(scores[:20])]
+    found = topk_search.top_k(frame, scratch)
+    assert sorted(tuple(r) for r in found.collect()) == expected
 
 
 # ---- HTML extraction ----

@@ -3,9 +3,14 @@
 Components are quantised to integers, the impacts. A block of rows keeps its posting segments by
 descending magnitude of impact, one segment for every halving. A search adds segment after
 segment to the scores of its queries. What is left of a row then adds at most the length of the
-query times the length of the row's remaining impacts; once that proves that few rows can still
-be among the k best, these are rescored exactly and the other segments are skipped. Without
-proof all segments are processed, and the scores are exact already.
+query times the length of the row's remaining impacts. A query stops in a block as soon as that
+proves that few of its rows can still be among the k best; these are rescored exactly and the
+other segments are skipped for it. Without proof all segments are processed, and the scores are
+exact already.
+
+Blocks are searched in rounds of 1, 1, 2, 4, 8 ... blocks. A query takes the k-th score of the
+rounds before along as its floor, so that a round gives about as many rows as a query keeps,
+however many blocks it has.
 """
 
 from __future__ import annotations
@@ -23,9 +28,11 @@ SCALE = 64
 K = 20
 QUERY_STEP = 20
 BLOCK_ROWS = 4096
-QUERY_ROWS = 8192  # at once on the driver and in a broadcast
+QUERY_ROWS = 1024  # in a block of queries
+TILES = 64  # of blocks and blocks of queries, at least, if there are as many pairs
+TILE_SIDE = 8
 SEGMENTS = 6
-PROVEN = 4  # rescore once at most PROVEN * k rows of a query are possible, on average
+PROVEN = 4  # rescore once at most PROVEN * k rows of a query are possible
 
 
 def quantised(batches, scale: int):
@@ -57,8 +64,8 @@ def matrix(packed) -> np.ndarray:
     return out
 
 
-def block_index(table):
-    """Posting segments of a block: (block, segment, cells, impacts, rest), by descending impact."""
+def block_index(table, block: int = 0):
+    """Posting segments of a block, (cells, impacts, rest) each, by descending impact."""
     import pyarrow as pa
 
     rows = matrix(table.column("impacts"))
@@ -76,6 +83,7 @@ def block_index(table):
     segments = [dict(zip(("cells", "impacts", "rest"), s, strict=True)) for s in out]
     return pa.table(
         {
+            "block": pa.array([block], pa.int64()),
             "ids": pa.array([ids.astype("<i8").tobytes()], pa.binary()),
             "width": pa.array([rows.shape[1]], pa.int32()),
             "segments": pa.array([segments], kind),
@@ -83,68 +91,107 @@ def block_index(table):
     )
 
 
-INDEX = "ids binary, width int, segments array<struct<cells:binary,impacts:binary,rest:binary>>"
+INDEX = "block long, ids binary, width int, segments array<struct<cells:binary,impacts:binary,rest:binary>>"
+QUERIES = "part long, query_ids binary, floors binary, query_width int, queries binary"
+FOUND = "query_id long, vec_id long, score long"
 
 
-def best_of_block(query, query_ids, ids, segments, k: int):
-    """(query row, row, score) of the k best rows of a block for each query, more where scores tie."""
+def query_block(table, part: int):
+    """A block of queries as one row; a null floor is minus infinity."""
+    import pyarrow as pa
+
+    rows = matrix(table.column("impacts"))
+    floors = table.column("floor").cast(pa.float64()).fill_null(-math.inf).to_numpy()
+    packed = [table.column("vec_id").to_numpy().astype("<i8"), floors.astype("<f8"), rows.astype("<f8")]
+    ids, floors, queries = (pa.array([x.tobytes()], pa.binary()) for x in packed)
+    return pa.table(
+        {
+            "part": pa.array([part], pa.int64()),
+            "query_ids": ids,
+            "floors": floors,
+            "query_width": pa.array([rows.shape[1]], pa.int32()),
+            "queries": queries,
+        }
+    )
+
+
+def best_of_block(query, query_ids, floors, ids, segments, k: int):
+    """(query row, row, score, segments processed by each query) of the rows of a block that may be
+    among the ``k`` best of a query and reach its floor."""
     count, width = len(ids), query.shape[1]
-    whole, partial = np.zeros((count, width)), np.zeros((len(query), count))
-    length = np.sqrt((query**2).sum(axis=1))[:, None]
-    own = query_ids[:, None] == ids[None, :]
-    parts = []
-    for number, (cells, impacts, rest) in enumerate(segments):
-        part = np.zeros((count, width))
+    parts = np.zeros((len(segments), count, width))
+    for part, (cells, impacts, _) in zip(parts, segments, strict=True):
         part.ravel()[cells] = impacts
-        whole += part
-        partial += query @ part.T
-        parts.append(part)
+    whole = parts.sum(axis=0)
+    length = np.sqrt((query**2).sum(axis=1))[:, None] * (1 + 1e-9)
+    active, partial = np.arange(len(query)), np.zeros((len(query), count))
+    processed, found = np.zeros(len(query), np.int64), []
+    for number, (_, _, rest) in enumerate(segments):
+        partial += query[active] @ parts[number].T
+        processed[active] += 1
         last = number == len(segments) - 1
-        if not last and number < 1:
-            continue
-        slack = length * rest[None, :] * (1 + 1e-9) + 0 if not last else 0.0
-        lower = partial - slack
-        lower[own] = -np.inf
-        if count > k:
-            floor = np.partition(lower, count - k, axis=1)[:, count - k][:, None]
-        else:
-            floor = np.full((len(query), 1), -np.inf)
-        possible = (partial + slack >= floor) & ~own
-        if last or possible.sum() <= PROVEN * k * len(query):
+        slack = 0.0 if last else length[active] * rest[None, :]
+        own = query_ids[active][:, None] == ids[None, :]
+        floor, free = floors[active].copy(), np.isneginf(floors[active])
+        if free.any() and count > k:
+            lower = np.where(own, -np.inf, partial - slack)[free]
+            floor[free] = np.partition(lower, count - k, axis=1)[:, count - k]
+        possible = (partial + slack >= floor[:, None]) & ~own
+        done = last | (possible.sum(axis=1) <= PROVEN * k)
+        at, row = np.nonzero(possible & np.reshape(done, (-1, 1)))
+        found.append((active[at], row))
+        if last or done.all():
             break
-    for cells, impacts, _ in segments[number + 1 :]:
-        whole.ravel()[cells] = impacts
-    at, row = np.nonzero(possible)
-    return at, row, np.einsum("ij,ij->i", query[at], whole[row]).astype(np.int64)
+        active, partial = active[~done], partial[~done]
+    at, row = (np.concatenate([f[i] for f in found]) for i in range(2)) if found else np.zeros((2, 0), np.int64)
+    return at, row, np.einsum("ij,ij->i", query[at], whole[row]).astype(np.int64), processed
 
 
-def search_blocks(batches, queries, k: int):
+def search_blocks(batches, k: int):
+    """The rows of each pair of a block and a block of queries that may be among the k best."""
     import pyarrow as pa
 
-    query_ids, query = queries.value
     for batch in batches:
         for r in range(batch.num_rows):
-            ids = np.frombuffer(batch.column(0)[r].as_buffer(), "<i8")
-            width = batch.column(1)[r].as_py()
-            both = max(width, query.shape[1])
+            ids, query_ids, floors, query = (
+                np.frombuffer(batch.column(c)[r].as_buffer(), kind)
+                for c, kind in (("ids", "<i8"), ("query_ids", "<i8"), ("floors", "<f8"), ("queries", "<f8"))
+            )
+            width, query_width = (batch.column(c)[r].as_py() for c in ("width", "query_width"))
+            both = max(width, query_width)
+            some = np.zeros((len(query_ids), both))
+            some[:, :query_width] = query.reshape(len(query_ids), query_width)
             segments = []
-            for s in batch.column(2)[r].values.to_pylist() if batch.column(2)[r].is_valid else []:
+            for s in batch.column("segments")[r].values.to_pylist():
                 cells = np.frombuffer(s["cells"], "<i4").astype(np.int64)
                 cells = cells // max(width, 1) * both + cells % max(width, 1)
                 segments.append((cells, np.frombuffer(s["impacts"], "<i8"), np.frombuffer(s["rest"], "<f8")))
-            for first in range(0, len(query), 512):
-                some = np.zeros((len(query[first : first + 512]), both))
-                some[:, : query.shape[1]] = query[first : first + 512]
-                names = query_ids[first : first + 512]
-                at, row, score = best_of_block(some, names, ids, segments, k)
-                order = np.lexsort((ids[row], -score, at))
-                at, row, score = at[order], row[order], score[order]
-                starts = np.searchsorted(at, at)
-                keep = np.arange(len(at)) - starts < k
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names[at[keep]]), pa.array(ids[row[keep]]), pa.array(score[keep])],
-                    names=["query_id", "vec_id", "score"],
-                )
+            at, row, score, _ = best_of_block(some, query_ids, floors, ids, segments, k)
+            order = np.lexsort((ids[row], -score, at))
+            at, row, score = at[order], row[order], score[order]
+            keep = (np.arange(len(at)) - np.searchsorted(at, at) < k) & (score >= floors[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(query_ids[at[keep]]), pa.array(ids[row[keep]]), pa.array(score[keep])],
+                names=["query_id", "vec_id", "score"],
+            )
+
+
+def tiled(index: DataFrame, packs: DataFrame, first: int, last: int, parts: int) -> DataFrame:
+    """Blocks ``first`` to ``last`` with every block of queries, joined by tiles of at most
+    ``TILE_SIDE`` blocks on a side: a key has a bounded number of rows on both sides."""
+    side = max(1, min(TILE_SIDE, math.isqrt((last - first) * parts // TILES)))
+    rows, columns = math.ceil((last - first) / side), math.ceil(parts / side)
+
+    some = index.filter(F.col("block").between(first, last - 1))
+    own = F.floor((F.col("block") - first) / side).cast("int")
+    left = some.select("ids", "width", "segments", own.alias("_i"), F.explode(F.sequence(F.lit(0), F.lit(columns - 1))).alias("_j"))
+    asked = packs.select(
+        "query_ids", "floors", "query_width", "queries",
+        F.floor(F.col("part") / side).cast("int").alias("_p"),
+        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("_b"),
+    )
+    left = left.repartition(min(rows * columns, 8192), "_i", "_j")
+    return left.join(asked, (F.col("_i") == F.col("_b")) & (F.col("_j") == F.col("_p"))).drop("_i", "_j", "_b", "_p")
 
 
 def top_k(
@@ -171,27 +218,29 @@ def top_k(
     valid = scratch.table(rows.mapInArrow(make, "vec_id long, impacts binary"))
     count = valid.count()
     blocks = max(1, math.ceil(count / BLOCK_ROWS))
-    placed = valid.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
+    # By a row number, as an id may repeat in many rows.
+    placed = valid.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+
+    def index_block(key, table):
+        return block_index(table, key[0].as_py())
 
-    def index_block(table):
-        return block_index(table)
+    def pack(key, table):
+        return query_block(table, key[0].as_py())
 
     index = scratch.table(placed.groupBy("block").applyInArrow(index_block, INDEX))
     asked = valid.filter(F.col("vec_id") % query_step == 0)
-    asked = asked.groupBy("vec_id").agg(F.min("impacts").alias("impacts"))
-    asked = scratch.table(asked.withColumn("part", F.pmod(F.xxhash64(F.col("vec_id"), F.lit(1)), F.lit(max(1, math.ceil(count / query_step / QUERY_ROWS))))))
-    kind = "query_id long, vec_id long, score long"
-    found = []
-    for part in range(max(1, math.ceil(count / query_step / QUERY_ROWS))):
-        some = asked.filter(F.col("part") == part).orderBy("vec_id").toArrow()
-        if not some.num_rows:
-            continue
-        packed = [x for c in some.column("impacts").chunks for x in c]
-        queries = spark.sparkContext.broadcast((some.column("vec_id").to_numpy(), matrix(packed)))
-        search = functools.partial(search_blocks, queries=queries, k=k)
-        found.append(scratch.table(index.repartition(blocks).mapInArrow(search, kind)))
-    if not found:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    asked = scratch.table(asked.groupBy("vec_id").agg(F.min("impacts").alias("impacts")))
+    parts = max(1, math.ceil(asked.count() / QUERY_ROWS))
+    asked = asked.withColumn("part", F.pmod(F.xxhash64(F.col("vec_id"), F.lit(1)), F.lit(parts)))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = functools.reduce(DataFrame.unionByName, found).withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best, first = spark.createDataFrame([], FOUND), 0
+    while first < blocks:
+        last = min(blocks, max(1, 2 * first))
+        floors = best.groupBy("query_id").agg(F.count("*").alias("_n"), F.min("score").alias("floor"))
+        floors = floors.filter(F.col("_n") == k).select("query_id", "floor")
+        waiting = asked.join(floors, F.col("vec_id") == F.col("query_id"), "left").select("part", "vec_id", "impacts", "floor")
+        packs = scratch.table(waiting.groupBy("part").applyInArrow(pack, QUERIES))
+        found = tiled(index, packs, first, last, parts).mapInArrow(functools.partial(search_blocks, k=k), FOUND)
+        ranked = best.unionByName(found).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        best, first = scratch.table(ranked.select("query_id", "vec_id", "score")), last
+    return best.withColumn("rank", F.row_number().over(order)).select("query_id", "rank", "vec_id", "score")
