@@ -210,9 +210,11 @@ def test_hot_shingles_are_dealt_over_many_buckets(spark, scratch, monkeypatch):
     profile = scratch.table(frame.mapInArrow(lambda b: jaccard_join.profiles(b, levels, 5, 75), jaccard_join.PROFILE))
     groups = profile.selectExpr("doc_id as gid", "doc_id as comp", "1L as c")
     held = Counter()
-    for r in jaccard_join.group_postings(profile, groups, 75).select("bucket", "tokens").collect():
+    for r in jaccard_join.group_postings(profile, groups, 75, scratch).select("bucket", "part", "tokens").collect():
         held.update((r["bucket"], t) for t in np.frombuffer(r["tokens"], np.uint64).tolist())
     assert max(held.values()) <= 80
+    packed = jaccard_join.group_postings(profile, groups, 75, scratch).groupBy("bucket").agg(F.countDistinct("part").alias("c"))
+    assert packed.count() > 20 and packed.filter("c > 1").count() == 0
     met = {tuple(r) for r in jaccard_join.group_pairs(profile, groups, 75, scratch).collect()}
     sets = {k: shingles(t) for k, t in made}
     for a in sets:
@@ -224,6 +226,33 @@ def test_hot_shingles_are_dealt_over_many_buckets(spark, scratch, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in found.collect()} == brute_components(made)
 
 
+def test_hot_shingles_of_the_lowest_level(spark, scratch, monkeypatch):
+    """Where the mean cell is above HOT, shingles of level 0 are hot, and bits that they share with others do no harm."""
+    monkeypatch.setattr(jaccard_join, "HOT", 8)
+    monkeypatch.setattr(jaccard_join, "HOT_BITS", 8 * 4096)
+    cells = np.full(1 << jaccard_join.CELL_BITS, 100.0)
+    monkeypatch.setattr(jaccard_join, "shingle_sketch", lambda texts, size: cells)
+    assert jaccard_join.first_hot_level(cells) == 0
+    passage = words(30, 60, 5000)
+    made = [(k, " ".join(passage + words(900 + k, 4 + k % 16, 5000))) for k in range(120)]
+    made += [(200 + k, " ".join(words(1200 + k, 30 + k % 9, 5000))) for k in range(120)]
+    frame = spark.createDataFrame(made, "doc_id long, text string")
+    levels = spark.sparkContext.broadcast(jaccard_join.levels_of(cells))
+    profile = scratch.table(frame.mapInArrow(lambda b: jaccard_join.profiles(b, levels, 5, 75), jaccard_join.PROFILE))
+    grids = jaccard_join.hot_grids(profile, 75, 0).collect()
+    assert grids and all(np.array([g["token"]]).view(np.uint64)[0] < 1 << 58 for g in grids)
+    found = jaccard_join.jaccard_components(frame, scratch)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == brute_components(made)
+
+
+def test_levels_bound_their_shingles():
+    cells = np.random.default_rng(4).integers(0, 1 << 20, 1 << 12).astype(float) ** 2 / 1e6
+    levels, bound = jaccard_join.levels_of(cells), jaccard_join.least_level_one(cells)
+    assert (cells < bound * 2.0 ** levels).all()
+    first = jaccard_join.first_hot_level(cells)
+    assert (cells[levels < first] <= jaccard_join.HOT).all()
+
+
 def test_parity_is_a_lower_bound():
     rng = np.random.default_rng(1)
     for n, m, shared in ((5, 5, 5), (100, 700, 60), (3000, 3100, 2900), (0, 3, 0)):

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veritally.llm.common import (
+    BUCKET_BITS,
     Scratch,
     bitmap_of,
     bounded_batches,
@@ -48,6 +49,7 @@ SIGN_BYTES = 32  # of a signature in a bucket
 PART = 1 << 18  # pairs looked at together
 LONG_RUN = 64
 HOT = 1 << 14  # postings of one shingle on each side of a comparison in one task, about
+HOT_BITS = 1 << 24  # of the bitmap of hot shingles
 ID_BITS = 1 << 24
 
 
@@ -145,20 +147,37 @@ def sum_cells(batches):
     )
 
 
-def frequency_levels(texts: DataFrame, size: int) -> np.ndarray:
-    """Level of every cell: 0 up to twice the mean count, then one more for every doubling.
-
-    The sketch counts all shingles of all texts. It has 2**21 cells at every size of the input,
-    so the driver holds 8 MiB. Only the order of shingles depends on it, never which pairs link.
-    """
+def shingle_sketch(texts: DataFrame, size: int) -> np.ndarray:
+    """Counts of all shingles of all texts in 2**21 cells, whatever the size of the input: the driver holds 16 MiB."""
     kind = "chunk int, cells binary"
     parts = texts.select("text").mapInArrow(functools.partial(count_cells, size=size), kind)
     found = parts.repartition(CHUNKS, "chunk").mapInArrow(sum_cells, kind).collect()
     cells = np.zeros((CHUNKS, (1 << CELL_BITS) // CHUNKS))
     for row in found:
         cells[row["chunk"]] = np.frombuffer(row["cells"], np.uint32)
-    floor = 2 * cells.mean() + 16
-    return np.maximum(0, np.floor(np.log2(np.maximum(cells.ravel(), 1) / floor)) + 1).astype(np.uint8)
+    return cells.ravel()
+
+
+def least_level_one(cells: np.ndarray) -> float:
+    return 2 * cells.mean() + 16
+
+
+def levels_of(cells: np.ndarray) -> np.ndarray:
+    """Level of every cell: 0 up to twice the mean count, then one more for every doubling.
+
+    Only the order of shingles depends on it, never which pairs link.
+    """
+    levels = np.floor(np.log2(np.maximum(cells, 1) / least_level_one(cells))) + 1
+    return np.maximum(0, levels).astype(np.uint8)
+
+
+def frequency_levels(texts: DataFrame, size: int) -> np.ndarray:
+    return levels_of(shingle_sketch(texts, size))
+
+
+def first_hot_level(cells: np.ndarray) -> int:
+    """The lowest level whose shingles can occur more than ``HOT`` times; those of level k stand in cells below 2**k times the first bound."""
+    return max(0, math.ceil(math.log2(HOT / least_level_one(cells))))
 
 
 # ---- profiles ----
@@ -358,13 +377,13 @@ def flat_prefixes(column):
     return flat, np.repeat(np.arange(len(length)), length), place
 
 
-def count_frequent(batches, percent: int):
-    """Per batch and shingle above level 0: its postings, and those that reach their own size."""
+def count_frequent(batches, percent: int, level: int):
+    """Per batch and shingle from ``level`` up: its postings, and those that reach their own size."""
     import pyarrow as pa
 
     for batch in batches:
         flat, owner, place = flat_prefixes(batch.column(1))
-        some = np.flatnonzero(flat >= np.uint64(1 << 58))
+        some = np.flatnonzero(flat >= np.uint64(level << 58))
         sizes = batch.column(0).to_numpy()[owner[some]]
         values, inverse = np.unique(flat[some], return_inverse=True)
         early = np.bincount(inverse, reach(sizes, place[some], percent) >= sizes, len(values)).astype(np.int64)
@@ -372,88 +391,150 @@ def count_frequent(batches, percent: int):
         yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts), pa.array(early)], names=["token", "c", "early"])
 
 
-def hot_grids(profile: DataFrame, percent: int, buckets: int):
-    """Shingles of more than ``HOT`` postings, sorted: (shingle, rows and columns of its grid of buckets, first bucket).
+def hot_grids(profile: DataFrame, percent: int, level: int) -> DataFrame:
+    """Shingles of more than ``HOT`` postings: (token, rows and columns of its grid of buckets).
 
     Of two sets that link, the smaller reaches its own size, so that only those rows need comparing
     with all others: they are dealt over the rows of the grid, and all over its columns. A shingle
-    without such rows has no bucket. All documents are counted, of which the groups are a part. Level 0
-    is not looked at: its shingles stand at most some twice the mean of a cell of the sketch. The driver holds a row for ``HOT`` postings at most.
+    without such rows has no bucket. All documents are counted, of which the groups are a part, and
+    all shingles from ``level`` up.
     """
-    made = profile.select("n", "prefix").mapInArrow(functools.partial(count_frequent, percent=percent), "token long, c long, early long")
-    found = made.groupBy("token").agg(F.sum("c").alias("c"), F.sum("early").alias("early")).filter(F.col("c") > HOT).collect()
-    tokens = np.array([r["token"] for r in found], np.int64).view(np.uint64)
-    sides = [np.array([-(-r[c] // HOT) for r in found], np.int64) for c in ("early", "c")]
-    order = np.argsort(tokens)
-    tokens, high, wide = tokens[order], sides[0][order], sides[1][order]
-    return tokens, high, wide, buckets + np.cumsum(high * wide) - high * wide
+    count = functools.partial(count_frequent, percent=percent, level=level)
+    made = profile.select("n", "prefix").mapInArrow(count, "token long, c long, early long")
+    found = made.groupBy("token").agg(F.sum("c").alias("c"), F.sum("early").alias("early")).filter(F.col("c") > HOT)
+    high, wide = (F.ceil(F.col(c) / HOT).cast("long") for c in ("early", "c"))
+    return found.select("token", high.alias("high"), wide.alias("wide"))
 
 
-def placed_postings(flat, early, ids, buckets: int, grids):
-    """(bucket, index of the posting) of every posting, in each bucket that it belongs to.
+def hot_bits(grids: DataFrame) -> np.ndarray:
+    """A bit for every shingle with a grid, by its last bits: 2 MiB at most, whatever their number.
 
-    Ordinary shingles have one bucket. Of a hot one, a posting is in a column of the grid, and if
-    ``early`` also in a row.
+    Buckets of Spark's bitmaps begin with 1, 32769, and so on; 0 is in a bucket of its own, and here the last bit.
     """
-    tokens, high, wide, begin = grids
-    at = np.searchsorted(tokens, flat)
-    hot = np.zeros(len(flat), bool)
-    hot[at < len(tokens)] = tokens[at[at < len(tokens)]] == flat[at < len(tokens)]
-    plain, hot = np.flatnonzero(~hot), np.flatnonzero(hot)
-    out = [(mixed(flat[plain]) % np.uint64(buckets)).astype(np.int64)], [plain]
-    k = at[hot]
-    salt = mixed(ids[hot].astype(np.uint64))
-    row = (salt % np.maximum(high[k], 1).astype(np.uint64)).astype(np.int64)
-    column = (mixed(salt ^ np.uint64(0x5851F42D4C957F2D)) % np.maximum(wide[k], 1).astype(np.uint64)).astype(np.int64)
-    for times, along in ((high[k], False), (np.where(early[hot], wide[k], 0), True)):
-        who = np.repeat(np.arange(len(hot)), times)
-        step = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)
-        if along:
-            new = step != column[who]  # there it is already
-            who, step = who[new], step[new]
-        cell = row[who] * wide[k[who]] + step if along else step * wide[k[who]] + column[who]
-        out[0].append(begin[k[who]] + cell)
-        out[1].append(hot[who])
-    return np.concatenate(out[0]), np.concatenate(out[1])
+    bits = np.zeros(HOT_BITS >> 3, np.uint8)
+    for bucket, held in bitmap_of(grids, "token", HOT_BITS).collect():
+        some = np.frombuffer(held, np.uint8)
+        at = (bucket - 1) * (BUCKET_BITS >> 3)
+        if bucket:
+            bits[at : at + len(some)] |= some
+        else:
+            bits[-1] |= 128
+    return bits
 
 
-def postings(batches, buckets: int, percent: int, grids):
-    """Prefix shingles of every batch of groups, packed by bucket.
+def has_bit(flat: np.ndarray, bits: np.ndarray | None) -> np.ndarray:
+    if bits is None:
+        return np.zeros(len(flat), bool)
+    at = ((flat - np.uint64(1)) & np.uint64((len(bits) << 3) - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
-    A group's signature goes along to each of its buckets, in ``SIGN_BYTES`` at most; null gives none.
-    """
+
+def plain_bucket(flat: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(flat) % np.uint64(buckets)).astype(np.int64)
+
+
+def packed_postings(bucket, at, flat, owner, place, ids, comps, sizes, signs):
+    """A batch of ``POSTINGS``: the postings ``at`` of a batch, each in its ``bucket``. ``owner`` is the row of a posting."""
+    import pyarrow as pa
+
+    order = np.argsort(bucket, kind="stable")
+    bucket, at = bucket[order], at[order]
+    cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(at))
+    wide = np.array([len(s) // 8 for s in signs], np.uint32)
+    rows = []
+    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+        some = at[begin:end]
+        docs, index = np.unique(owner[some], return_inverse=True)
+        made = (ids[docs], comps[docs], sizes[docs], flat[some], index.astype(np.uint32), place[some].astype(np.uint32))
+        signed = b"".join([signs[d] for d in docs])
+        rows.append((int(bucket[begin]), *(m.tobytes() for m in made), wide[docs].tobytes(), signed))
+    names = ["bucket", "ids", "comps", "sizes", "tokens", "owners", "places", "wide", "signs"]
+    kinds = [pa.int64()] + [pa.binary()] * 8
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
+    )
+
+
+def short_signs(column) -> list[bytes]:
+    """Signatures in ``SIGN_BYTES`` at most; null gives none."""
+    return [folded(s, max(8, min(len(s) // 2, SIGN_BYTES))) if s else b"" for s in column.to_pylist()]
+
+
+def postings(batches, buckets: int, bits):
+    """Prefix shingles of every batch of groups without a bit, packed by bucket, with the group's short signature."""
+    for batch in batches:
+        flat, owner, place = flat_prefixes(batch.column(3))
+        at = np.flatnonzero(~has_bit(flat, bits))
+        if len(at):
+            columns = [batch.column(i).to_numpy() for i in range(3)]
+            bucket = plain_bucket(flat[at], buckets)
+            yield packed_postings(bucket, at, flat, owner, place, *columns, short_signs(batch.column(4)))
+
+
+MARKED = "token long, gid long, comp long, n long, place long, early boolean, sign binary"
+
+
+def marked_postings(batches, percent: int, bits):
+    """Prefix shingles of every batch of groups with a bit, a row each: those with a grid, and a few others."""
     import pyarrow as pa
 
     for batch in batches:
-        ids, comps, sizes = (batch.column(i).to_numpy() for i in range(3))
         flat, owner, place = flat_prefixes(batch.column(3))
-        if not len(flat):
+        signs = short_signs(batch.column(4))
+        some = np.flatnonzero(has_bit(flat, bits))
+        for low in range(0, len(some), PART):
+            at = some[low : low + PART]
+            who = owner[at]
+            ids, comps, sizes = (batch.column(i).to_numpy()[who] for i in range(3))
+            made = [pa.array(flat[at].view(np.int64)), pa.array(ids), pa.array(comps), pa.array(sizes), pa.array(place[at])]
+            made += [pa.array(reach(sizes, place[at], percent) >= sizes), pa.array([signs[w] for w in who], pa.binary())]
+            yield pa.RecordBatch.from_arrays(made, names=[c.split()[0] for c in MARKED.split(", ")])
+
+
+def grid_cells(token, early, salt, high, wide):
+    """(posting, cell) of every posting in each cell of its shingle's grid that it belongs to.
+
+    A posting is in all cells of one column, and if ``early`` also in all of one row.
+    """
+    row = (salt % np.maximum(high, 1).astype(np.uint64)).astype(np.int64)
+    column = (mixed(salt ^ np.uint64(0x5851F42D4C957F2D)) % np.maximum(wide, 1).astype(np.uint64)).astype(np.int64)
+    who, cells = [], []
+    for times, along in ((high, False), (np.where(early & (high > 0), wide, 0), True)):
+        some = np.repeat(np.arange(len(token)), times)
+        step = np.arange(len(some)) - np.repeat(np.cumsum(times) - times, times)
+        if along:
+            new = step != column[some]  # there it is already
+            some, step = some[new], step[new]
+        who.append(some)
+        cells.append(row[some] * wide[some] + step if along else step * wide[some] + column[some])
+    return np.concatenate(who), np.concatenate(cells)
+
+
+def dealt_postings(batches, buckets: int):
+    """``marked_postings`` with the grid of their shingle, packed by bucket: a cell's is above all plain ones.
+
+    Two cells may get one bucket, which then has pairs of both. A shingle without a grid is in its plain bucket.
+    """
+    for batch in batches:
+        token, ids, comps, sizes, place = (batch.column(i).to_numpy() for i in range(5))
+        if not len(token):
             continue
-        signs = [folded(s, max(8, min(len(s) // 2, SIGN_BYTES))) if s else b"" for s in batch.column(4).to_pylist()]
-        wide = np.array([len(s) // 8 for s in signs], np.uint32)
-        early = reach(sizes[owner], place, percent) >= sizes[owner]
+        flat, early = token.view(np.uint64), batch.column(5).to_numpy(zero_copy_only=False)
+        signs = batch.column(6).to_pylist()
+        hot = batch.column(7).is_valid().to_numpy(zero_copy_only=False)
+        high, wide = (batch.column(i).fill_null(0).to_numpy() for i in (7, 8))
         # A hot posting has many buckets: a slice of postings at a time.
-        step = max(1, (PART << 3) // max(1, int((grids[1] + grids[2]).max(initial=1))))
-        for low in range(0, len(flat), step):
+        step = max(1, PART // max(1, int((high + wide).max())))
+        salt = mixed(ids.astype(np.uint64))
+        for low in range(0, len(token), step):
             part = slice(low, low + step)
-            bucket, at = placed_postings(flat[part], early[part], ids[owner[part]], buckets, grids)
-            if not len(at):
-                continue
-            order = np.argsort(bucket, kind="stable")
-            bucket, at = bucket[order], at[order] + low
-            cuts = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])), len(at))
-            rows = []
-            for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-                some = at[begin:end]
-                docs, index = np.unique(owner[some], return_inverse=True)
-                made = (ids[docs], comps[docs], sizes[docs], flat[some], index.astype(np.uint32), place[some].astype(np.uint32))
-                signed = b"".join([signs[d] for d in docs])
-                rows.append((int(bucket[begin]), *(m.tobytes() for m in made), wide[docs].tobytes(), signed))
-            names = ["bucket", "ids", "comps", "sizes", "tokens", "owners", "places", "wide", "signs"]
-            kinds = [pa.int64()] + [pa.binary()] * 8
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names
-            )
+            who, cell = grid_cells(flat[part], early[part], salt[part], high[part], wide[part])
+            key = mixed(flat[part][who] + mixed(cell.astype(np.uint64)))
+            plain = np.flatnonzero(~hot[part])
+            bucket = np.concatenate([plain_bucket(flat[part][plain], buckets), buckets + (key >> np.uint64(4)).astype(np.int64)])
+            at = np.concatenate([plain, who]) + low
+            if len(at):
+                yield packed_postings(bucket, at, flat, np.arange(len(flat)), place, ids, comps, sizes, signs)
 
 
 POSTINGS = (
@@ -551,29 +632,47 @@ def token_pairs(table, percent: int):
     return pa.table({"a": pa.array(np.minimum(a, b)), "b": pa.array(np.maximum(a, b))})
 
 
-def group_postings(profile: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """The ``POSTINGS`` of the groups; those of a hot shingle in a grid of buckets, so that no bucket grows with it.
+def group_postings(profile: DataFrame, groups: DataFrame, percent: int, scratch: Scratch, level: int = 0) -> DataFrame:
+    """The ``POSTINGS`` of the groups and the partition of each bucket, one for a plain bucket.
 
+    Those of a hot shingle are in a grid of buckets, so that no bucket grows with it. The grids are
+    a table, which is joined to the postings of shingles that share some bits with a hot one.
     ``groups`` has (gid, comp, c); the prefix of a group is that of the document ``gid``. Only of a
     group of one (c) is the signature of ``gid`` that of every member.
     """
     total = profile.agg(F.sum(F.octet_length("prefix"))).first()[0] or 0
     buckets = max(1, math.ceil(total / 8 / BUCKET_POSTINGS))
     heads = profile.select("doc_id", "n", "prefix", "signature").join(groups.hint("merge"), F.col("doc_id") == F.col("gid"))
-    grids = hot_grids(profile, percent, buckets)
-    make = functools.partial(postings, buckets=buckets, percent=percent, grids=grids)
     signature = F.when(F.col("c") == 1, F.col("signature")).alias("signature")
-    return heads.select("gid", "comp", "n", "prefix", signature).mapInArrow(make, POSTINGS)
+    heads = heads.select("gid", "comp", "n", "prefix", signature)
+    grids = scratch.table(hot_grids(profile, percent, level))
+    cells = grids.agg(F.sum(F.col("high") * F.col("wide"))).first()[0]
+    bits = None if cells is None else profile.sparkSession.sparkContext.broadcast(hot_bits(grids))
+
+    def plain(batches):
+        return postings(batches, buckets, bits and bits.value)
+
+    def marked(batches):
+        return marked_postings(batches, percent, bits.value)
+
+    packed = heads.mapInArrow(plain, POSTINGS)
+    if bits:
+        met = heads.mapInArrow(marked, MARKED).join(grids.withColumnRenamed("token", "_token"), F.col("token") == F.col("_token"), "left")
+        dealt = met.drop("_token").mapInArrow(functools.partial(dealt_postings, buckets=buckets), POSTINGS)
+        packed = packed.unionByName(dealt)
+    spread = math.ceil((cells or 0) * 2 * HOT / BUCKET_POSTINGS)
+    part = F.when(F.col("bucket") < buckets, F.col("bucket")).otherwise(buckets + F.col("bucket") % max(1, spread))
+    return packed.withColumn("part", part.cast("int")).repartitionById(buckets + spread, F.col("part"))
 
 
-def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def group_pairs(profile: DataFrame, groups: DataFrame, percent: int, scratch: Scratch, level: int = 0) -> DataFrame:
     """Pairs of groups in different components that share a prefix shingle and pass the filters."""
 
     def join(table):
         return token_pairs(table, percent)
 
-    packed = group_postings(profile, groups, percent)
-    return scratch.table(packed.groupBy("bucket").applyInArrow(join, "a long, b long").distinct())
+    packed = group_postings(profile, groups, percent, scratch, level)
+    return scratch.table(packed.groupBy("bucket", "part").applyInArrow(join, "a long, b long").distinct())
 
 
 def jaccard_components(
@@ -596,7 +695,8 @@ def jaccard_components(
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    levels = spark.sparkContext.broadcast(frequency_levels(texts, size))
+    cells = shingle_sketch(texts, size)
+    levels = spark.sparkContext.broadcast(levels_of(cells))
     make = functools.partial(profiles, levels=levels, size=size, percent=percent)
     profile = scratch.table(texts.mapInArrow(make, PROFILE))
 
@@ -615,7 +715,7 @@ def jaccard_components(
     placed = scratch.table(placed)
     grouped = placed.groupBy("n", "prefix_hash", "comp").agg(F.min("rep").alias("gid"), F.count("*").alias("c"))
     grouped = scratch.table(grouped)
-    met = group_pairs(profile, grouped.select("gid", "comp", "c"), percent, scratch)
+    met = group_pairs(profile, grouped.select("gid", "comp", "c"), percent, scratch, first_hot_level(cells))
 
     # Groups to members; a group of one is its own member and takes no part in these joins.
     several = grouped.filter("c > 1").select("n", F.col("prefix_hash").alias("_hash"), F.col("comp").alias("_comp"), "gid")
