@@ -435,6 +435,29 @@ def test_separator_scan_over_any_blocks(spark):
     assert sorted(tuple(r) for r in found.collect()) == [*expected, (8, 0, 0, 2)]
 
 
+def test_flat_files_on_storage(spark, scratch, tmp_path):
+    rng = np.random.default_rng(11)
+    flats = {f"f{k}.bin": rng.integers(0, 40, n).astype("<u4") for k, n in enumerate((0, 1, 257, 1000))}
+    flats["none.bin"] = np.ones(700, "<u4")  # no separator at all
+    for name, flat in flats.items():
+        flat.tofile(tmp_path / name)
+    blocks = token_counts.flat_blocks(spark, str(tmp_path), block_tokens=64)
+    assert blocks.count() == sum(-(-len(f) // 64) for f in flats.values())
+    names = {r["file"]: r["path"].rsplit("/", 1)[1] for r in blocks.select("file", "path").distinct().collect()}
+    found = Counter((names[r[0]], *r[1:]) for r in token_counts.count_tokens(blocks, 0, scratch).collect())
+    expected = Counter()
+    for name, flat in flats.items():
+        start, ordinal = 0, 0
+        for at in [*np.flatnonzero(flat == 0).tolist(), len(flat)]:
+            if at < len(flat) or at > start:
+                expected[name, ordinal, start, at - start] += 1
+            start, ordinal = at + 1, ordinal + 1
+    assert found == expected
+    (tmp_path / "cut.bin").write_bytes(b"12345")
+    with pytest.raises(Exception, match="no number of 32-bit ids"):
+        token_counts.flat_blocks(spark, str(tmp_path)).collect()
+
+
 # ---- language ID ----
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import functools
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from veritally.llm.common import Scratch, bounded_batches
@@ -83,25 +83,34 @@ def documents_of(scanned: DataFrame) -> DataFrame:
     """(file, ordinal, start, n_tokens) of every document of scanned blocks; the separator is not counted.
 
     Tokens after the last separator of a file are a last document, if there are any. Windows run
-    over the blocks of a file, one row each, and never over its tokens.
+    over one narrow row for each block of a file (size, separators, place of the last one), and what
+    they give is joined back to the places of the separators.
     """
     blocks = scanned.filter("size is not null").select("file", "block", "size", "separators")
     order = Window.partitionBy("file").orderBy("block")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    count = F.size("separators").cast("long")
-    placed = blocks.select(
+    narrow = blocks.select(
         "file",
         "block",
         "size",
-        "separators",
+        F.size("separators").cast("long").alias("_count"),
+        F.get("separators", F.size("separators") - 1).alias("_last"),
+    )
+    placed = narrow.select(
+        "file",
+        "block",
+        "size",
+        "_count",
+        "_last",
         F.coalesce(F.sum("size").over(before), F.lit(0)).alias("_at"),
-        F.coalesce(F.sum(count).over(before), F.lit(0)).alias("_documents"),
+        F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_documents"),
     )
-    last = F.col("_at") + F.element_at("separators", -1)
-    placed = placed.withColumn("_end", F.when(count > 0, last))
+    placed = placed.withColumn("_end", F.col("_at") + F.col("_last"))
     # The separator before the block: the last of the nearest earlier block that has one.
     placed = placed.withColumn("_open", F.coalesce(F.max("_end").over(before), F.lit(-1)))
-    ends = placed.select(
+    starts = placed.select("file", "block", "_at", "_documents", "_open")
+    joined = blocks.filter(F.size("separators") > 0).join(starts.hint("merge"), ["file", "block"])
+    ends = joined.select(
         "file", "_at", "_documents", "_open", "separators", F.posexplode("separators").alias("k", "place")
     )
     inner = F.col("_at") + F.get("separators", F.col("k") - 1)
@@ -113,7 +122,7 @@ def documents_of(scanned: DataFrame) -> DataFrame:
         (F.col("_at") + F.col("place") - start).alias("n_tokens"),
     )
     total = placed.groupBy("file").agg(
-        F.sum(count).alias("ordinal"),
+        F.sum("_count").alias("ordinal"),
         (F.coalesce(F.max("_end"), F.lit(-1)) + 1).alias("start"),
         F.sum("size").alias("_size"),
     )
@@ -121,19 +130,48 @@ def documents_of(scanned: DataFrame) -> DataFrame:
     return whole.unionByName(tail.filter("n_tokens > 0"))
 
 
-def count_tokens(
-    blocks: DataFrame, separator: int = SEPARATOR
-) -> DataFrame:
+def cut_files(batches, block_tokens: int):
+    """Blocks of the files of every batch of (path, content)."""
+    import pyarrow as pa
+
+    step = 4 * block_tokens
+    for batch in batches:
+        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            held = content.as_buffer()
+            if held.size % 4:
+                raise ValueError(f"{path} has {held.size} bytes, which is no number of 32-bit ids")
+            for block in range(-(-held.size // step)):
+                part = held.slice(block * step, min(step, held.size - block * step))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([path]), pa.array([block], pa.int64()), pa.array([part.to_pybytes()], pa.binary())],
+                    names=["path", "block", "tokens"],
+                )
+
+
+def flat_blocks(spark: SparkSession, path: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """(path, file, block, tokens) of the flat files in a folder: little-endian 32-bit ids and nothing else.
+
+    ``file`` is a hash of the path. Spark's reader holds a file at a time in its task and takes up
+    to 2 GB; files of some 100 MB suit it. An empty file gives no blocks, a cut id fails.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    cut = files.mapInArrow(functools.partial(cut_files, block_tokens=block_tokens), "path string, block long, tokens binary")
+    return cut.select("path", F.xxhash64("path").alias("file"), "block", "tokens")
+
+
+def count_tokens(blocks: DataFrame, separator: int = SEPARATOR, scratch: Scratch | None = None) -> DataFrame:
     """(file, ordinal, start, n_tokens) for blocks (file, block, tokens) of flat files of 32-bit ids.
 
     Blocks may have any length, also 0, and cut documents anywhere; ``block`` orders those of a file.
+    With ``scratch`` the scan is stored, without it the blocks are read twice.
     """
     rows = blocks.select(
         F.col("file").cast("long").alias("file"), F.col("block").cast("long").alias("block"),
         F.lit(None).cast("long").alias("ordinal"), F.lit(None).cast("long").alias("doc_id"),
         F.coalesce("tokens", F.lit(b"")).alias("tokens"),
     )
-    return documents_of(rows.mapInArrow(functools.partial(scan_blocks, separator=separator), SCANNED))
+    scanned = rows.mapInArrow(functools.partial(scan_blocks, separator=separator), SCANNED)
+    return documents_of(scratch.table(scanned) if scratch else scanned)
 
 
 def document_tokens(
