@@ -197,6 +197,28 @@ def test_ranges_follow_the_order(skewed, descending):
     assert max(Counter(numbers).values()) < len(placed) / 4
 
 
+def test_ranges_are_not_put_into_what_uses_them(spark, skewed):
+    """A filter by the range must not write the search into itself, whose size doubles twice with every step."""
+    placed = with_range(skewed.select("g", "i"), [("g", False), ("i", False)])
+    plan = placed.filter("__range = 3")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CASE WHEN") < 20
+    assert placed.filter("__range = 3").count() == sum(r["__range"] == 3 for r in placed.collect()) > 0
+
+
+def test_running_sums_at_the_default_partitions(spark, skewed):
+    """One running sum on top of another, planned in seconds also with many ranges."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        started, df = time.monotonic(), skewed
+        for alias, descending in (("up", False), ("down", True)):
+            df = running_sum(df, "v", "s", ["g"], alias, descending)
+        df._jdf.queryExecution().executedPlan()
+        assert time.monotonic() - started < 60
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_repeated_rows(spark, monkeypatch):
     monkeypatch.setattr(ordered, "COPIES_PER_TASK", 7)
     df = spark.createDataFrame([("a", 1), ("b", 7), ("c", 8), ("d", 50)], "k string, n bigint")

@@ -58,4 +58,7 @@ def with_range(df: DataFrame, order: Sequence[tuple[str, bool]]) -> DataFrame:
             F.get("__bounds", place - 1), F.col("__at"), directions
         )
         placed = placed.withColumn(RANGE, F.when(passed, place).otherwise(F.col(RANGE)))
-    return placed.drop("__bounds", "__at")
+    # Every step names the one before four times. What joins or filters by the range would put the
+    # steps into one another, an expression that grows with the square of the partitions and takes
+    # minutes to plan; no rule looks for a column below the generator that made it.
+    return placed.select(*df.columns, F.explode(F.array(RANGE)).alias(RANGE))
