@@ -1,5 +1,7 @@
 """Landing, snapshots, tables, the watermark and streams."""
 
+import gzip
+
 import pytest
 
 from veritally.operators.flatten import flatten_patient
@@ -42,6 +44,26 @@ def test_landing_again_replaces(spark, tmp_path):
     assert landing.read_ndjson(spark, root, "Patient", TIME).count() == 2
 
 
+def test_landed_lines_are_compressed(spark, tmp_path, monkeypatch):
+    """Landed records take a fraction of their JSON, a task's lines go to several files, and all are read."""
+    root, text = str(tmp_path), '{"id": "%d", "gender": "female", "meta": {"lastUpdated": "2024-01-15T08:30:00Z"}}'
+    lines = json_lines(spark, *[text % i for i in range(3000)]).coalesce(1)
+    monkeypatch.setattr(landing, "LINES_PER_FILE", 1000)
+    landing.land_ndjson(lines, root, "Patient", TIME)
+    (folder,) = (tmp_path / "Patient").iterdir()
+    sizes = [f.stat().st_size for f in folder.iterdir() if not f.name.startswith((".", "_"))]
+    assert len(sizes) == 3 and 0 < sum(sizes) < 3000 * len(text) / 5
+    found = landing.read_ndjson(spark, root, "Patient", TIME)
+    assert sorted(int(r["id"]) for r in found.collect()) == list(range(3000))
+    state = landing.landed_state(spark, root, "Patient", TIME)
+    assert state
+    # Downloads may be compressed or not.
+    (folder / "b.ndjson").write_text(text % 3000)
+    (folder / "c.ndjson.gz").write_bytes(gzip.compress((text % 3001).encode()))
+    assert landing.read_ndjson(spark, root, "Patient", TIME).count() == 3002
+    assert landing.landed_state(spark, root, "Patient", TIME) != state
+
+
 def test_snapshots(spark, tmp_path):
     root = str(tmp_path)
     landing.land_ndjson(json_lines(spark, '{"id": "1"}'), f"{root}/bronze", "Patient", TIME)

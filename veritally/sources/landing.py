@@ -16,9 +16,13 @@ from veritally.sources.schemas import RESOURCES
 
 logger = logging.getLogger(__name__)
 
-# Downloads end in .ndjson; lines landed by a Spark text write end in .txt.
-FILE_PATTERN = "*.{ndjson,txt}"
-ENDINGS = (".ndjson", ".txt")
+# Downloads end in .ndjson; lines landed by a Spark text write end in .txt. Both may be compressed.
+FILE_PATTERN = "*.{ndjson,txt,ndjson.gz,txt.gz}"
+ENDINGS = (".ndjson", ".txt", ".ndjson.gz", ".txt.gz")
+# Records repeat their field names and codes: landed lines shrink to about a twentieth.
+COMPRESSION = "gzip"
+# A compressed file is read by one task, so that what one task lands goes to several files.
+LINES_PER_FILE = 250_000
 CORRUPT = "_corrupt_record"
 
 
@@ -91,11 +95,11 @@ def land_ndjson(
 ) -> str:
     """Land a one-column frame of JSON lines, replacing whatever this snapshot held before.
 
-    Landing the same transaction time twice leaves one copy, however the files are named.
+    Landing the same transaction time twice leaves one copy, however the files are named. Files are
+    compressed and hold ``lines_per_file`` lines at most, ``LINES_PER_FILE`` where none is given.
     """
     path = landing_path(root, resource, transaction_time)
     writer = lines.select(F.col(lines.columns[0]).alias("value")).write.mode("overwrite")
-    if lines_per_file:
-        writer = writer.option("maxRecordsPerFile", lines_per_file)
-    writer.text(path)
+    writer = writer.option("maxRecordsPerFile", lines_per_file or LINES_PER_FILE)
+    writer.option("compression", COMPRESSION).text(path)
     return path
