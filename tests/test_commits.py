@@ -329,3 +329,63 @@ def test_a_committed_batch_is_not_written_again(spark, tmp_path):
     shutil.rmtree(tmp_path / "checkpoint")
     with pytest.raises(Exception, match="another stream"):
         stream_of(spark, root, ()).awaitTermination()
+
+
+def test_a_batch_that_completes_levels_is_written_once(spark, tmp_path, rows):
+    root = str(tmp_path)
+    land_files(root, 1, 9)
+    stream_of(spark, root).awaitTermination()
+    assert [p["level"] for p in increments.parts_of(spark, f"{root}/silver")] == [2]
+    folders = sorted(p.name[:7] for p in (tmp_path / "silver").iterdir() if p.name.startswith("level"))
+    assert folders == ["level-0"] * 6 + ["level-1"] * 2 + ["level-2"]
+    latest = {str(n % 5): f"2025-01-{n:02}" for n in range(1, 10)} | {str(100 + n): "x" for n in range(1, 10)}
+    found = rows(increments.read_batches(spark, f"{root}/silver").select("patient_id", "last_updated"))
+    assert dict(found) == latest and len(found) == len(latest)
+
+
+def test_a_compressed_file_is_parsed_by_all_cores(spark, tmp_path, rows):
+    root, kinds = str(tmp_path), plans.landing.RESOURCES["Patient"]
+    lines = spark.range(4000).select(F.format_string('{"id": "%d", "gender": "female"}', "id")).coalesce(1)
+    landing.land_ndjson(lines, f"{root}/bronze", "Patient", "t", lines_per_file=-1)
+    assert len([f for f in (tmp_path / "bronze" / "Patient" / "t").iterdir() if f.name.endswith(".gz")]) == 1
+    found = {}
+    for spread in (False, True):
+        path = f"{root}/{spread}"
+        stream = increments.stream_ndjson(spark, f"{root}/bronze", kinds, 1, spread=spread)
+        increments.write_batches(stream, f"{path}/silver", f"{path}/checkpoint").awaitTermination()
+        (part,) = increments.parts_of(spark, f"{path}/silver")
+        parts = [f for f in (Path(path) / "silver" / part["folder"]).iterdir() if f.name.endswith(".parquet")]
+        assert part["rows"] == 4000 and len(parts) == (spark.sparkContext.defaultParallelism if spread else 1)
+        found[spread] = rows(increments.read_batches(spark, f"{path}/silver"))
+    assert found[True] == found[False]
+
+
+def test_lines_are_parsed_as_the_reader_does(spark, tmp_path, rows):
+    kinds = plans.landing.RESOURCES["Patient"]
+    odd = ['{"id": "é", "deceasedBoolean": true}', "", " \t ", '[{"id": "2"}, {"gender": "x"}]', "[]", ' {"id": 5}', "{}", '{"id": null, "z": 1}']
+    (tmp_path / "odd.ndjson").write_bytes("\r\n".join(odd).encode())
+    read = lambda name: spark.read.schema(kinds).option("mode", "FAILFAST").json(f"{tmp_path}/{name}.ndjson")
+    parse = lambda name: increments.parse_lines(spark.read.text(f"{tmp_path}/{name}.ndjson"), kinds)
+    assert rows(parse("odd")) == rows(read("odd")) and len(rows(parse("odd"))) == 6
+    for n, bad in enumerate((b'{"id": "1"', b"null", b"3", b"[null]", b'[{"id": "1"]', b"[[]]", b'{"id": "\xff"}', b'{"meta": "x"}', b"x")):
+        (tmp_path / f"bad{n}.ndjson").write_bytes(b'{"id": "1"}\n' + bad + b"\n")
+        for how in (read, parse):
+            with pytest.raises(Exception, match="(?i)malformed|invalid"):
+                how(f"bad{n}").collect()
+
+
+def test_compacted_batches_do_not_grow_in_number(spark, tmp_path, monkeypatch, rows):
+    """A landing of nine files is nine batches, whatever the files hold."""
+    from bindings import QUERIES, streams
+
+    orders = spark.range(270).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 7).alias("o_custkey"), F.expr("substr('FOP', 1 + id % 3, 1)").alias("o_orderstatus"),
+        (F.col("id") * 1000.0).alias("o_totalprice"), F.lit("1995-03-01 00:00:00").cast("timestamp_ntz").alias("o_orderdate"),
+        F.lit("1-URGENT").alias("o_orderpriority"),
+    )
+    orders.coalesce(1).write.parquet(f"{tmp_path}/tables/orders.parquet")
+    monkeypatch.setattr(landing, "LINES_PER_FILE", 5)
+    monkeypatch.setattr(streams, "scratch_path", lambda *_: f"{tmp_path}/run")
+    found = rows(QUERIES["stream_compacted"](spark, f"{tmp_path}/tables"))
+    assert found == sorted(((str(i), "active" if i % 3 else "ended", True, True) for i in range(270)), key=repr)
+    assert len(versions.log_of(spark, f"{tmp_path}/run/silver").numbers()) == 18

@@ -96,7 +96,8 @@ def land_ndjson(
     """Land a one-column frame of JSON lines, replacing whatever this snapshot held before.
 
     Landing the same transaction time twice leaves one copy, however the files are named. Files are
-    compressed and hold ``lines_per_file`` lines at most, ``LINES_PER_FILE`` where none is given.
+    compressed and hold ``lines_per_file`` lines at most, ``LINES_PER_FILE`` where none is given; below
+    zero every task lands one file.
     """
     path = landing_path(root, resource, transaction_time)
     writer = lines.select(F.col(lines.columns[0]).alias("value")).write.mode("overwrite")

@@ -2,10 +2,11 @@
 
 Each micro-batch is written to a fresh folder and committed under its number, so a restart neither
 loses nor repeats records: a batch whose number is committed is not written again, and what a
-failed attempt left is named by no commit. Whenever ``FAN_IN`` parts of one level are there, the
-batch that completes them merges them into a part of the next level, within its own commit: reads
-touch at most ``FAN_IN - 1`` parts of each level, and a record is rewritten once a level. A
-snapshot that lands again arrives as new files; by key, the latest row of each record stays.
+failed attempt left is named by no commit. The batch that completes ``FAN_IN`` parts of one level is
+written together with them, within its own commit, as a part of the next level, or of the level
+after where it completes that one too: reads touch at most ``FAN_IN - 1`` parts of each level, and a
+record is rewritten once a level at most. A snapshot that lands again arrives as new files; by key,
+the latest row of each record stays.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from veritally.sources.versions import counted_write, fresh_folder, log_of, remo
 BATCH = "batch_id"
 FAN_IN = 8
 VERSION = "version"
+SEED = 7
 
 
 def stream_ndjson(
@@ -35,17 +37,33 @@ def stream_ndjson(
     landing: str,
     schema: T.StructType,
     files_per_batch: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
-    """A stream of the files landing below a folder."""
-    reader = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", FILE_PATTERN)
-        .option("recursiveFileLookup", True)
-        .option("mode", "FAILFAST")
-    )
+    """A stream of the files landing below a folder.
+
+    A compressed file has a single reader. With ``spread`` readers only split lines and deal them out,
+    and all cores parse them, which pays where a batch has fewer files than there are cores. The rows
+    are the same, but what a text column finds instead of text, such as an array, is written anew.
+    """
+    reader = spark.readStream.option("pathGlobFilter", FILE_PATTERN).option("recursiveFileLookup", True)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(landing)
+    if not spread:
+        return reader.schema(schema).option("mode", "FAILFAST").json(landing)
+    return parse_lines(reader.text(landing).repartition(spark.sparkContext.defaultParallelism, F.rand(SEED)), schema)
+
+
+def parse_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The records of JSON lines, as the strict JSON reader finds them.
+
+    A blank line has none, an array one for each element; a malformed line fails the job.
+    """
+    strict, text = {"mode": "FAILFAST"}, F.validate_utf8(lines.columns[0])
+    start = F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1)
+    found = F.when(start == "[", F.from_json(text, "array<string>", strict)).when(start != "", F.array(text))
+    one = F.coalesce(F.col("text"), F.lit("null"))  # an element that is null is malformed
+    parsed = lines.select(F.explode(found).alias("text")).select(F.from_json(one, schema, strict).alias("record"))
+    return parsed.select("record.*")
 
 
 def write_batches(
@@ -72,18 +90,16 @@ def write_batches(
         if found and found[0] >= number:
             return
         rows = (transform(batch) if transform else batch).withColumn(BATCH, F.lit(number).cast("long"))
-
-        def store(df: DataFrame, level: int) -> dict:
-            folder = fresh_folder(f"level-{level}")
-            return {"level": level, "folder": folder, "rows": counted_write(df, f"{path}/{folder}")}
-
-        parts = [*parts, store(rows, 0)]
-        while len(parts) >= fan_in and len({p["level"] for p in parts[-fan_in:]}) == 1:
-            merged = _read_parts(spark, path, parts[-fan_in:], rows.schema)
+        schema, level, others = rows.schema, 0, []
+        while [p["level"] for p in parts[1 - fan_in :]] == [level] * (fan_in - 1):
+            parts, others, level = parts[: 1 - fan_in], [*parts[1 - fan_in :], *others], level + 1
+        if others:
+            rows = _read_parts(spark, path, others, schema).unionByName(rows)
             if keys:
-                merged = latest_by_key(merged, keys, order, (BATCH,))
-            parts = [*parts[:-fan_in], store(merged, parts[-1]["level"] + 1)]
-        log.append(number, {"parts": parts, "stream": source, "schema": rows.schema.json()})
+                rows = latest_by_key(rows, keys, order, (BATCH,))
+        folder = fresh_folder(f"level-{level}")
+        part = {"level": level, "folder": folder, "rows": counted_write(rows, f"{path}/{folder}")}
+        log.append(number, {"parts": [*parts, part], "stream": source, "schema": schema.json()})
 
     return (
         stream.writeStream.foreachBatch(write)
